@@ -21,7 +21,8 @@ from events"""
 VIEWS: dict[str, tuple[str, str]] = {
     "v_gantry": ("ev", """
 select concat('T', cast(event_id as string)) as trade_id, concat('G', cast(user_id as string)) as gantry_id,
-  concat('L', cast(event_id % 7 as string)) as lane_id, concat('C', cast(user_id % 10 as string)) as sub_center,
+  concat('S', cast(user_id % 25 as string)) as station_id, concat('L', cast(event_id % 7 as string)) as lane_id,
+  concat('C', cast(user_id % 5 as string)) as sub_center,
   event_ts, unix_s as event_unix, delay_s, unix_s + delay_s as receive_unix,
   case event_type when 'view' then 1 when 'purchase' then 1 when 'click' then 2 when 'signup' then 3 else 9 end
     as media_type,

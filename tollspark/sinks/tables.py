@@ -63,12 +63,10 @@ def overwrite(df: DataFrame, table: str) -> None:
 def overwrite_partitions(df: DataFrame, path: str, columns: list[str]) -> None:
     """Replace exactly the partitions `df` has rows for.
 
-    Rows are brought together by partition and salted by content, so that neither every task writes every partition
-    nor one task writes a huge one.
+    Rebalancing brings the rows of a partition together, so that not every task writes into every partition, and lets
+    Spark split a partition that has grown large and merge small ones.
     """
-    rest = [c for c in df.columns if c not in columns]
-    salt = F.pmod(F.xxhash64(*rest), F.lit(16)) if rest else F.lit(0)
-    df.repartition(*columns, salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+    df.hint("rebalance", *columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
       .partitionBy(*columns).parquet(path)
 
 

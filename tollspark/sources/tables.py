@@ -42,11 +42,15 @@ def split_by_topic(messages: DataFrame, topic: str) -> DataFrame:
 
 
 def stream_table(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Replay a Parquet table as a stream."""
+    """Replay a Parquet table, a folder or a single file, as a stream.
+
+    The path goes in as a pattern that matches only itself, because a plain path has to be a folder.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+    path = path.rstrip("/")
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def read_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -21,7 +21,7 @@ def stream_interval_match(left: DataFrame, right: DataFrame, on: list[str], lt:
     rhs = with_lateness(right, rt, delay).select(
         *[F.col(k).alias(f"_r_{k}") for k in on], *[c for c in right.columns if c not in on],
         F.explode(F.sequence(first, last)).alias("_r_slot"))
-    reach = F.make_dt_interval(secs=F.lit(tolerance))
+    reach = F.expr(f"interval {tolerance} seconds")
     cond = (F.col("_slot") == F.col("_r_slot")) & F.col(rt).between(F.col(lt) - reach, F.col(lt) + reach)
     for key in on:
         cond = cond & (F.col(key) == F.col(f"_r_{key}"))
