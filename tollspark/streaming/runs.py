@@ -12,6 +12,7 @@ from tollspark.sinks.tables import Upsert
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 def with_lateness(df: DataFrame, column: str = "event_time", delay: str = "1 day") -> DataFrame:
@@ -20,17 +21,24 @@ def with_lateness(df: DataFrame, column: str = "event_time", delay: str = "1 day
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Streams started inside keep their state in RocksDB, off the heap; a day of windows need not fit in memory."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
+def started_with(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings for the streams started inside; a stream keeps those it was started with."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def rocksdb_state(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB, off the heap; a day of windows need not fit in memory."""
+    return started_with(spark, {_PROVIDER: ROCKSDB})
 
 
 def _triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
@@ -40,11 +48,18 @@ def _triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWrite
 
 def foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "update",
                   trigger: str | None = None, name: str | None = None) -> StreamingQuery:
-    """Hand every micro-batch to `fn` as a table."""
+    """Hand every micro-batch to `fn` as a table.
+
+    A run that takes what is there and stops has no use for batches without data, and with a processing-time timeout
+    would never run out of them.
+    """
     writer = _triggered(df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint), trigger)
     if name:
         writer = writer.queryName(name)
-    with rocksdb_state(df.sparkSession):
+    settings = {_PROVIDER: ROCKSDB}
+    if trigger is None and mode != "append":
+        settings[_EMPTY_BATCHES] = "false"
+    with started_with(df.sparkSession, settings):
         return writer.foreachBatch(fn).start()
 
 
