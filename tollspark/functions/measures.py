@@ -27,20 +27,25 @@ def cents(column: Column | str) -> Column:
     return (money(column) * 10_000).cast("bigint")
 
 
-def amount(total: Column) -> Column:
-    """Sum of `cents` back as decimal(20,4), the type a sum of decimal(10,4) has."""
-    return (total.cast("decimal(20,0)") * F.lit("0.0001").cast("decimal(4,4)")).cast("decimal(20,4)")
+def amount(total: str) -> str:
+    """SQL text: sum of `cents` back as decimal(20,4), the type a sum of decimal(10,4) has."""
+    return f"cast(cast({total} as decimal(20,0)) * 0.0001BD as decimal(20,4))"
 
 
-def sum_where(weight: str, condition: Column) -> Column:
-    """Sum of the bigint column `weight` over the rows where `condition` holds; 0 when there are none."""
-    return F.sum(F.when(condition, F.col(weight)).otherwise(F.lit(0).cast("bigint")))
+def amount_text(total: str) -> str:
+    """SQL text: `amount` as text; most cells of a wide report are zero and skip the decimal arithmetic."""
+    return f"case when {total} = 0 then '0.0000' else cast({amount(total)} as string) end"
 
 
-def code_matrix(weight: str, code: Column, codes: Iterable[int], condition: Column | None = None) -> list[Column]:
-    """One conditional sum of `weight` per code, all evaluated in a single aggregate."""
-    return [sum_where(weight, code == F.lit(value) if condition is None else condition & (code == F.lit(value)))
-            for value in codes]
+def sum_where(weight: str, condition: str) -> str:
+    """SQL text: sum of the bigint column `weight` over the rows where `condition` holds; 0 when there are none."""
+    return f"sum(case when {condition} then {weight} else 0L end)"
+
+
+def code_matrix(weight: str, code: str, codes: Iterable[int], condition: str | None = None) -> list[str]:
+    """One conditional sum of `weight` per code, all to be evaluated in a single aggregate."""
+    prefix = f"{condition} and " if condition else ""
+    return [sum_where(weight, f"{prefix}{code} = {value}") for value in codes]
 
 
 def pack(cells: Column, outer: bool) -> Column:
@@ -49,6 +54,12 @@ def pack(cells: Column, outer: bool) -> Column:
     return F.concat(F.lit("|"), text, F.lit("|")) if outer else text
 
 
+def pack_cells(texts: list[str], outer: bool) -> str:
+    """SQL text: `pack` of single text expressions, which need not become an array first."""
+    joined = f"concat_ws('|', {', '.join(texts)})"
+    return f"concat('|', {joined}, '|')" if outer else joined
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """Plain quotient, NULL for an empty denominator."""
     return F.try_divide(part, whole)

@@ -173,13 +173,19 @@ def _cuts(length: Column, pieces: int) -> list[tuple[Column, Column]]:
 
 
 def _probes(plate: Column, distance: int) -> Column:
-    """Every signature a text within `distance` edits of `plate` may have: one of its distance + 1 segments is
-    untouched and occurs in `plate` shifted by at most `distance`."""
-    length, pieces, found = F.length(plate), distance + 1, []
+    """Every signature a text within `distance` edits of `plate` may have in common with it.
+
+    Of its distance + 1 segments one is left untouched and occurs in `plate`. The first i segments can have been
+    shifted by at most i edits on their left and distance - i on their right, which leaves few places to look at
+    (the multi-match-aware selection of the PassJoin paper, Li et al., VLDB 2011).
+    """
+    length, found = F.length(plate), []
     for drift in range(-distance, distance + 1):
         other = length + drift
-        for i, (start, size) in enumerate(_cuts(other, pieces)):
-            for shift in range(-distance, distance + 1):
+        for i, (start, size) in enumerate(_cuts(other, distance + 1)):
+            first = max(-i, -drift - (distance - i))
+            last = min(i, -drift + (distance - i))
+            for shift in range(first, last + 1):
                 at = start + shift
                 fits = (other >= 0) & (at >= 0) & (at + size <= length)
                 found.append(F.when(fits, F.concat_ws(":", other, F.lit(i), F.substring(plate, at + 1, size))))

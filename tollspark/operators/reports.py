@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tollspark.functions import times
-from tollspark.functions.measures import amount, cents, code_matrix, count_where, pack, sum_where
+from tollspark.functions.measures import (amount, amount_text, cents, code_matrix, count_where, pack_cells,
+                                          sum_where)
 
 # Codes of the toll records.
 ETC, CPC, PAPER, M1, NO_MEDIA = 1, 2, 3, 4, 9
@@ -16,10 +17,6 @@ PAY_TYPES = (1, 2, 3, 4, 5, 6, 7)
 FEE_CLASSES = (1, 2, 3, 4, 5, 6, 11)
 CHARGE_CARD, STORED_VALUE_CARD, OBU = (2, 82), (1, 9), (3, 65)  # (card type, operation type)
 
-MATRICES = ("etcTypeCount", "etcClassCount", "cpcTypeCount", "cpcClassCount", "payTypeTotalNum", "payTypeTotalFee",
-            "actualWayTotalNum", "actualWayTotalFee")
-
-
 CODES = {
     "media_type": (ETC, CPC, PAPER, M1, NO_MEDIA),
     "vehicle_type": VEHICLE_TYPES,
@@ -32,69 +29,67 @@ CODES = {
 ENTRANCE_CODES = ("media_type", "vehicle_type", "vehicle_class", "sign_status")
 
 
-def _media(code: int) -> Column:
-    return F.col("media_type") == code
+# Measures are SQL text: a report has over a hundred, and one parsed text each is far cheaper to set up than a tree of
+# column calls. A list of texts is a code matrix.
+Measures = dict[str, str | list[str]]
 
 
-def _vehicle_measures() -> dict[str, Column]:
-    kinds, classes = F.col("vehicle_type"), F.col("vehicle_class")
-    return {
-        "etcTypeCount": F.array(*code_matrix("_n", kinds, VEHICLE_TYPES, _media(ETC))),
-        "etcClassCount": F.array(*code_matrix("_n", classes, VEHICLE_CLASSES, _media(ETC))),
-        "etcSuccessCount": sum_where("_n", _media(ETC) & (F.col("sign_status") == SIGN_OK)),
-        "etcFailCount": sum_where("_n", _media(ETC) & (F.col("sign_status") == SIGN_FAIL)),
-        "cpcTypeCount": F.array(*code_matrix("_n", kinds, VEHICLE_TYPES, _media(CPC))),
-        "cpcClassCount": F.array(*code_matrix("_n", classes, VEHICLE_CLASSES, _media(CPC))),
-    }
+def _vehicle_measures() -> Measures:
+    measures: Measures = {}
+    for label, media in (("etc", ETC), ("cpc", CPC)):
+        here = f"media_type = {media}"
+        measures[f"{label}TypeCount"] = code_matrix("_n", "vehicle_type", VEHICLE_TYPES, here)
+        measures[f"{label}ClassCount"] = code_matrix("_n", "vehicle_class", VEHICLE_CLASSES, here)
+        if media == ETC:
+            measures["etcSuccessCount"] = sum_where("_n", f"{here} and sign_status = {SIGN_OK}")
+            measures["etcFailCount"] = sum_where("_n", f"{here} and sign_status = {SIGN_FAIL}")
+    return measures
 
 
-def _exit_measures(legacy: bool = False) -> dict[str, Column]:
-    """All exit-station measures over cells; code matrices are arrays, amounts still in ten-thousandths.
+def _exit_measures(legacy: bool = False) -> Measures:
+    """All exit-station measures over cells, amounts still in ten-thousandths.
 
     `legacy` sums the fee classes by payment type, as the reports of old did.
     """
-    signed = {"Success": F.col("sign_status") == SIGN_OK, "Fail": F.col("sign_status") == SIGN_FAIL}
-    province = {"singlePro": F.col("multi_province") == 0, "mutilPro": F.col("multi_province") == 1}
     measures = _vehicle_measures()
-    for outcome, sign in signed.items():
-        measures[f"cpc{outcome}Count"] = sum_where("_n", _media(CPC) & sign)
-        measures[f"cpc{outcome}Fee"] = sum_where("_fee", _media(CPC) & sign)
-    for outcome, sign in signed.items():
-        measures[f"paper{outcome}Count"] = sum_where("_n", _media(PAPER) & sign)
-        measures["pagerIssueSuccessSumFee" if outcome == "Success" else "paperFailFee"] = \
-            sum_where("_fee", _media(PAPER) & sign)
+    fees = {("cpc", "Success"): "cpcSuccessFee", ("cpc", "Fail"): "cpcFailFee",
+            ("paper", "Success"): "pagerIssueSuccessSumFee", ("paper", "Fail"): "paperFailFee"}
+    for label, media in (("cpc", CPC), ("paper", PAPER)):
+        for outcome, sign in (("Success", SIGN_OK), ("Fail", SIGN_FAIL)):
+            here = f"media_type = {media} and sign_status = {sign}"
+            measures[f"{label}{outcome}Count"] = sum_where("_n", here)
+            measures[fees[label, outcome]] = sum_where("_fee", here)
     measures |= {
-        "totalVeCnt": F.sum("_n"),
-        "totalTransFee": F.sum("_fee"),
-        "totalDiscountFee": F.sum("_discount"),
-        "etcCnt": sum_where("_n", _media(ETC)),
-        "etcTotalTransFee": sum_where("_fee", _media(ETC)),
-        "etcTotalDiscountFee": sum_where("_discount", _media(ETC)),
-        "noMediaTypeTotalNum": sum_where("_n", _media(NO_MEDIA)),
-        "m1PassNum": sum_where("_n", _media(M1)),
+        "totalVeCnt": "sum(_n)",
+        "totalTransFee": "sum(_fee)",
+        "totalDiscountFee": "sum(_discount)",
+        "etcCnt": sum_where("_n", f"media_type = {ETC}"),
+        "etcTotalTransFee": sum_where("_fee", f"media_type = {ETC}"),
+        "etcTotalDiscountFee": sum_where("_discount", f"media_type = {ETC}"),
+        "noMediaTypeTotalNum": sum_where("_n", f"media_type = {NO_MEDIA}"),
+        "m1PassNum": sum_where("_n", f"media_type = {M1}"),
     }
-    for label, here in province.items():
-        measures[f"{label}TransTotalNum"] = sum_where("_n", here)
-        measures[f"{label}TransTotalFee"] = sum_where("_fee", here)
-    pay, way = F.col("pay_type"), F.col("actual_fee_class")
+    for label, several in (("singlePro", 0), ("mutilPro", 1)):
+        measures[f"{label}TransTotalNum"] = sum_where("_n", f"multi_province = {several}")
+        measures[f"{label}TransTotalFee"] = sum_where("_fee", f"multi_province = {several}")
     return measures | {
-        "payTypeTotalNum": F.array(*code_matrix("_n", pay, PAY_TYPES)),
-        "payTypeTotalFee": F.array(*code_matrix("_fee", pay, PAY_TYPES)),
-        "actualWayTotalNum": F.array(*code_matrix("_n", way, FEE_CLASSES)),
-        "actualWayTotalFee": F.array(*code_matrix("_fee", pay if legacy else way, FEE_CLASSES)),
+        "payTypeTotalNum": code_matrix("_n", "pay_type", PAY_TYPES),
+        "payTypeTotalFee": code_matrix("_fee", "pay_type", PAY_TYPES),
+        "actualWayTotalNum": code_matrix("_n", "actual_fee_class", FEE_CLASSES),
+        "actualWayTotalFee": code_matrix("_fee", "pay_type" if legacy else "actual_fee_class", FEE_CLASSES),
     }
 
 
-def _entrance_measures() -> dict[str, Column]:
+def _entrance_measures() -> Measures:
     return _vehicle_measures() | {
-        "cpcCount": sum_where("_n", _media(CPC)),
-        "paperCount": sum_where("_n", _media(PAPER)),
-        "allCarCount": F.sum("_n"),
+        "cpcCount": sum_where("_n", f"media_type = {CPC}"),
+        "paperCount": sum_where("_n", f"media_type = {PAPER}"),
+        "allCarCount": "sum(_n)",
     }
 
 
-def _report(df: DataFrame, keys: dict[str, Column], codes: tuple[str, ...], measures: dict[str, Column],
-            amounts: dict[str, str]) -> DataFrame:
+def _report(df: DataFrame, keys: dict[str, Column], codes: tuple[str, ...],
+            measures: Measures, amounts: dict[str, str]) -> DataFrame:
     """Wide aggregate in two steps.
 
     The first counts rows and sums amounts per cell, a cell being the key with one combination of the listed codes:
@@ -111,18 +106,31 @@ def _report(df: DataFrame, keys: dict[str, Column], codes: tuple[str, ...], meas
         *[cents(column).alias(name) for name, column in amounts.items()])
     if not df.isStreaming:
         rows = rows.groupBy(*keys, *codes).agg(*[F.sum(c).alias(c) for c in sums]).repartition(*keys)
-    return rows.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()])
+    flat: dict[str, str] = {}
+    for name, measure in measures.items():
+        flat |= {_cell(name, i): sql for i, sql in enumerate(measure)} if isinstance(measure, list) else {name: measure}
+    return rows.groupBy(*keys).agg(*[F.expr(f"{sql} as {name}") for name, sql in flat.items()])
+
+
+def _cell(name: str, index: int) -> str:
+    return f"_{name}_{index}"
 
 
-def _finished(report: DataFrame, packed: bool, outer: bool) -> DataFrame:
-    """Amounts to decimal(20,4) and, on request, matrices to text."""
+def _finished(report: DataFrame, labels: list[Column], measures: Measures, packed: bool, outer: bool) -> DataFrame:
+    """Amounts to decimal(20,4) and matrices, until here one column per cell, to text or arrays."""
     columns = []
-    for name in report.columns:
-        column = F.col(name)
-        if name.endswith("Fee"):
-            column = F.transform(column, amount) if name in MATRICES else amount(column)
-        columns.append((pack(column, outer) if packed and name in MATRICES else column).alias(name))
-    return report.select(*columns)
+    for name, measure in measures.items():
+        is_amount = name.endswith("Fee")
+        if isinstance(measure, list):
+            cells = [_cell(name, i) for i in range(len(measure))]
+            if packed:
+                sql = pack_cells([amount_text(c) if is_amount else f"cast({c} as string)" for c in cells], outer)
+            else:
+                sql = f"array({', '.join(amount(c) if is_amount else c for c in cells)})"
+        else:
+            sql = amount(name) if is_amount else name
+        columns.append(F.expr(f"{sql} as {name}"))
+    return report.select(*labels, *columns)
 
 
 _AMOUNTS = {"_fee": "fee", "_discount": "discount_fee"}
@@ -136,16 +144,16 @@ def exit_station_daily(df: DataFrame, collect_day: Column, event_day: Column, pa
     """
     keys = {"extollstationid": F.col("station_id"), "exTollStationName": F.col("station_name"),
             "collectDay": collect_day, "eventDay": event_day}
-    report = _report(df, keys, tuple(CODES), _exit_measures(legacy), _AMOUNTS)
-    return _finished(report, packed, outer=True)
+    measures = _exit_measures(legacy)
+    report = _report(df, keys, tuple(CODES), measures, _AMOUNTS)
+    return _finished(report, [F.col(k) for k in keys], measures, packed, outer=True)
 
 
-def _labelled(report: DataFrame, keys: list[str], legacy_label: bool) -> DataFrame:
+def _period_labels(station: list[str], legacy_label: bool) -> list[Column]:
     start, end = F.col("window").getField("start"), F.col("window").getField("end")
     label = times.period_label(start, legacy=True) if legacy_label else \
         F.concat(times.fmt_ts(start), F.lit(","), times.fmt_ts(end))
-    rest = [c for c in report.columns if c not in keys and c != "window"]
-    return report.select(*keys, label.alias("statisticDay"), *rest)
+    return [*[F.col(c) for c in station], label.alias("statisticDay")]
 
 
 def exit_station_period(df: DataFrame, length: str = "10 minutes", event: str = "event_time", packed: bool = True,
@@ -153,8 +161,9 @@ def exit_station_period(df: DataFrame, length: str = "10 minutes", event: str =
     """Exit-station report per station and event-time period: 33 columns, matrices as `1|2` text. Table or stream."""
     keys = {"extollstationid": F.col("station_id"), "exTollStationName": F.col("station_name"),
             "window": times.tumbling(event, length)}
-    report = _report(df, keys, tuple(CODES), _exit_measures(legacy), _AMOUNTS)
-    return _finished(_labelled(report, ["extollstationid", "exTollStationName"], legacy_label), packed, outer=False)
+    measures = _exit_measures(legacy)
+    report = _report(df, keys, tuple(CODES), measures, _AMOUNTS)
+    return _finished(report, _period_labels(list(keys)[:2], legacy_label), measures, packed, outer=False)
 
 
 def entrance_station_period(df: DataFrame, length: str = "10 minutes", event: str = "event_time",
@@ -166,8 +175,9 @@ def entrance_station_period(df: DataFrame, length: str = "10 minutes", event: st
     name = "station_name" if "station_name" in df.columns else "station_id"
     keys = {"enTollStationId": F.col("station_id"), "enTollStationName": F.col(name),
             "window": times.tumbling(event, length)}
-    report = _report(df, keys, ENTRANCE_CODES, _entrance_measures(), {})
-    return _finished(_labelled(report, ["enTollStationId", "enTollStationName"], legacy_label), packed, outer=False)
+    measures = _entrance_measures()
+    report = _report(df, keys, ENTRANCE_CODES, measures, {})
+    return _finished(report, _period_labels(list(keys)[:2], legacy_label), measures, packed, outer=False)
 
 
 def issue_flow_daily(df: DataFrame, collect_day: Column, event_day: Column) -> DataFrame:

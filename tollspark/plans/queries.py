@@ -438,9 +438,9 @@ def scan_partition_day(spark, sf_dir):
     path = shared_folder(spark, "ods")
     rows = views.ev(spark, sf_dir).select("event_id", "event_type", *[
         F.date_format("event_ts", fmt).alias(name)
-        for name, fmt in (("year", "yyyy"), ("month", "MM"), ("day", "dd"), ("hour", "HH"))])
-    sinks.overwrite_partitions(rows, path, ["year", "month", "day", "hour"])
-    ods = spark.read.schema("event_id bigint, event_type string, year string, month string, day string, hour string") \
+        for name, fmt in (("hour", "HH"), ("year", "yyyy"), ("month", "MM"), ("day", "dd"))])
+    sinks.overwrite_partitions(rows, path, ["year", "month", "day"])
+    ods = spark.read.schema("event_id bigint, event_type string, hour string, year string, month string, day string") \
                .parquet(path)
     day = sources.scan_partition(spark, ods, "2024", "01", "15")
     return day.groupBy("hour", "event_type").agg(F.count(F.lit(1)).alias("n"))
