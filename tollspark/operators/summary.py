@@ -75,7 +75,7 @@ def tokens(df: DataFrame, column: str, sep: str = " ") -> DataFrame:
     """One row per piece of the text between separators. Empty pieces at the end are dropped, others are kept."""
     quoted = "".join("\\" + c if c in r".^$*+?()[]{}|\\" else c for c in sep)
     text = F.col(column)
-    body = F.regexp_replace(text, f"(?:{quoted})+$", "")
+    body = F.when(text.endswith(sep), F.regexp_replace(text, f"(?:{quoted})+$", "")).otherwise(text)
     pieces = F.when((body == "") & (text != ""), F.array().cast("array<string>")).otherwise(F.split(body, quoted))
     return df.select(F.explode(pieces).alias("value"))
 

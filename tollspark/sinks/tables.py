@@ -20,7 +20,8 @@ class Upsert:
 
     Each batch is written beside the earlier ones under its batch id, so a batch costs what it holds and a repeated
     batch overwrites itself. `read` returns the newest row per key, `compact` rewrites that into a new table.
-    Failures propagate, so a stream never moves past a batch it could not write.
+    Failures propagate, so a stream never moves past a batch it could not write. Batch ids come from the checkpoint:
+    a stream that starts over with a new checkpoint needs a new table as well.
     """
 
     def __init__(self, path: str, keys: list[str], legacy_nulls: bool = False, files: int | None = None,

@@ -19,7 +19,8 @@ def decode(messages: DataFrame, record: Record, value: str = "value", keep_raw:
     """
     schema = T.StructType([*record.wire_schema().fields, T.StructField(_BAD, T.StringType())])
     parsed = F.from_json(F.col(value), schema, {"columnNameOfCorruptRecord": _BAD})
-    staged = messages.withColumn("_record", parsed)
+    # Generated rather than projected: a filter on the decoded columns then cannot be moved below and parse again.
+    staged = messages.select("*", F.explode(F.array(parsed)).alias("_record"))
     body = F.col("_record")
     columns: list[Column] = [
         (body.getField(wire) if kind == "string" else body.getField(wire).try_cast(kind)).alias(name)

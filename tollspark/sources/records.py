@@ -148,14 +148,14 @@ def device_rows(heartbeats, raw: str = "value"):
     """
     devices = {"rsu": ("RSUHeartbeatList", "RSUStatus"), "camera": ("cameraHeartbeatList", "statusCode")}
     schema = ", ".join(f"{arr}: array<struct<gantryId: string, {status}: string>>" for arr, status in devices.values())
-    parsed = F.from_json(F.col(raw), f"struct<{schema}>")
+    parsed = F.explode(F.array(F.from_json(F.col(raw), f"struct<{schema}>"))).alias("_lists")
 
     def described(kind: str, status: str):
         return lambda device: F.struct(F.lit(kind).alias("kind"), device.getField("gantryId").alias("gantry_id"),
                                        device.getField(status).alias("status"))
 
-    entries = [F.coalesce(F.transform(parsed.getField(arr), described(kind, status)), F.array())
+    entries = [F.coalesce(F.transform(F.col("_lists").getField(arr), described(kind, status)), F.array())
                for kind, (arr, status) in devices.items()]
     keep = [F.col(c) for c in heartbeats.columns if c not in ("gantry_id", "rsu_status", "vplr_status", raw)]
-    exploded = heartbeats.select(*keep, F.explode(F.concat(*entries)).alias("device"))
+    exploded = heartbeats.select(*keep, parsed).select(*keep, F.explode(F.concat(*entries)).alias("device"))
     return exploded.select(*[c for c in exploded.columns if c != "device"], "device.*")

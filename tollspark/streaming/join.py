@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tollspark.operators.summary import seconds_of
 from tollspark.streaming.runs import with_lateness
 
 
@@ -33,10 +34,4 @@ def stream_left_join(left: DataFrame, right: DataFrame, on: list[str], lt: str,
                      delay: str = "1 day") -> DataFrame:
     """Left outer equi-join of two streams. `within` bounds how far apart partners may be in event time; without such
     a bound neither side's state could ever be dropped."""
-    lhs, rhs = with_lateness(left, lt, delay), with_lateness(right, rt, delay)
-    rhs = rhs.select(*[F.col(k).alias(f"_r_{k}") for k in on], *[c for c in right.columns if c not in on])
-    reach = F.expr(f"interval {within}")
-    cond = F.col(rt).between(F.col(lt) - reach, F.col(lt) + reach)
-    for key in on:
-        cond = cond & (F.col(key) == F.col(f"_r_{key}"))
-    return lhs.join(rhs, cond, "leftOuter").drop(*[f"_r_{k}" for k in on])
+    return stream_interval_match(left, right, on, lt, rt, seconds_of(within), delay)
