@@ -16,6 +16,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Python call sites in error messages cost a stack trace per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
