@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tollspark.functions import measures, rowkey, text, times
 from tollspark.operators import match, rates, reports, summary
 from tollspark.plans import views
-from tollspark.session import shared_folder
+from tollspark.session import shared_folder, state_partitions
 from tollspark.sinks import tables as sinks
 from tollspark.sources import decode as decoding, records, tables as sources
 from tollspark.streaming import join as stream_join, ledger, runs, stateful
@@ -507,7 +507,9 @@ def _replayed(spark: SparkSession, jobs: list[tuple[DataFrame, list[str]]], mode
     for df, keys in jobs:
         target = sinks.Upsert(shared_folder(spark, "stream-table"), keys)
         started.append((df, target, shared_folder(spark, "stream-checkpoint")))
-    runs.await_all(runs.start_all(started, trigger=None, mode=mode))
+    with runs.started_with(spark, state_partitions(spark)):
+        begun = runs.start_all(started, trigger=None, mode=mode)
+    runs.await_all(begun)
     return [target.read(spark) for _, target, _ in started]
 
 
@@ -622,7 +624,7 @@ def _stream_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 def _appended(df: DataFrame, label: str) -> DataFrame:
     spark, path = df.sparkSession, shared_folder(df.sparkSession, label)
-    with runs.rocksdb_state(spark):
+    with runs.rocksdb_state(spark), runs.started_with(spark, state_partitions(spark)):
         run = runs.passthrough(df, path, shared_folder(spark, "stream-checkpoint"))
     run.awaitTermination()
     return spark.read.schema(df.schema).parquet(path)

@@ -35,6 +35,16 @@ def build_session(app: str = "tollspark", master: str | None = None, zone: str =
     return builder.getOrCreate()
 
 
+def state_partitions(spark: SparkSession) -> dict[str, str]:
+    """Setting for streams to start with: on a local master no more state partitions than there are slots, each being
+    a store of its own to open per batch. A cluster keeps its configured number, which fixes the state's layout."""
+    name = "spark.sql.shuffle.partitions"
+    chosen = int(spark.conf.get(name))
+    if spark.sparkContext.master.startswith("local"):
+        chosen = min(chosen, spark.sparkContext.defaultParallelism)
+    return {name: str(chosen)}
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder for written tables and stream checkpoints.
 
