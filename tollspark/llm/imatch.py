@@ -27,7 +27,9 @@ from tollspark.llm.common import bounded, staged
 
 BROADCAST_TERMS = 2_000_000
 #: (bits of the level, subsets used)
-LEVELS = ((6, 32), (8, 32), (10, 32), (12, 32))
+LEVELS = ((4, 16), (6, 32), (8, 32), (10, 32), (12, 32))
+#: The coarsest level is written for documents of up to so many terms; for longer ones all its subsets differ anyway.
+_SHORT = 64
 _EMPTY = "-"
 _FEW = 8
 
@@ -103,7 +105,9 @@ def fingerprints(rows: DataFrame, keys: list[str], terms: DataFrame) -> DataFram
     sets = met.groupBy(*keys).agg(F.sort_array(F.collect_list("in_band")).alias("hashes"))
     # The subsets used at a level have part of the terms of those used at the level before.
     for i, level in enumerate(LEVELS):
-        sets = sets.withColumn(f"level{i}", _of_level(F.col(f"level{i - 1}" if i else "hashes"), *level))
+        sets = sets.withColumn(f"level{i}", _of_level(F.col(f"level{i - 1}" if i > 1 else "hashes"), *level))
+    sets = sets.withColumn("level0", F.when(F.size("hashes") <= _SHORT, F.col("level0"))
+                           .otherwise(F.array().cast("array<long>")))
     sets = sets.select("*", *[_numbers(F.col(f"level{i}"), bits).alias(f"number{i}")
                               for i, (bits, _) in enumerate(LEVELS)])
     sets = sets.select("*", *[F.reverse(f"number{i}").alias(f"back{i}") for i in range(len(LEVELS))])
