@@ -136,3 +136,9 @@ def test_row_key(spark):
         assert one(spark, rowkey.row_key("x", buckets, "s"), key) == want
     assert one(spark, rowkey.row_key("x", 1), "abc") == "abc"
     assert one(spark, rowkey.row_key("x", 100), "") is None
+
+
+def test_members_are_found_by_their_whole_name(spark):
+    beat = '{"xgantryId":"no","gantryId" : "G-1.a"}'
+    assert one(spark, text.find_first("x", "gantryId"), beat) == "G-1.a"
+    assert one(spark, text.find_all("x", "gantryId"), beat) == ["G-1.a"]

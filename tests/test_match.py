@@ -122,3 +122,20 @@ def test_match_plan(spark):
     left, right = spark.createDataFrame([("E", "G", "P", 1)], ETC), spark.createDataFrame([("V", "G", "P", 1)], VIU)
     plan = match.interval_match(left, right, **KEYS, tolerance=5, collect="pic_id")._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "PythonUDF" not in plan
+
+
+def test_unread_plates_match_nothing_when_told(spark):
+    left = spark.createDataFrame([("E1", "g", "none", 10), ("E2", "g", "P", 10)], ETC)
+    right = spark.createDataFrame([("V1", "g", "none", 10), ("V2", "g", "P", 10)], VIU)
+    found = match.interval_match(left, right, **KEYS, tolerance=1, collect="pic_id", plate="plate", default_plate="none")
+    assert {row.trade_id: (row.matches, row.sign) for row in found.collect()} == {"E1": ([], 0), "E2": (["V2"], 1)}
+
+
+def test_hot_slices_are_a_table_like_any_other(spark):
+    etc = spark.createDataFrame([(f"E{i}", "g", "P", 10) for i in range(30)], ETC)
+    viu = spark.createDataFrame([(f"V{i}", "g", "P", 10 + i % 3) for i in range(40)], VIU)
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    found = match.bucketed_interval_match(etc, viu, **KEYS, tolerance=5, collect="pic_id", bucket=10, hot_rows=3)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before  # no job while the plan is built
+    assert "ResolvedHint" not in found._jdf.queryExecution().analyzed().toString()
+    assert {len(row.matches) for row in found.collect()} == {40}

@@ -70,7 +70,7 @@ def test_decode_with_schema_json(spark, rows):
 def test_kafka_options():
     assert tables.kafka_options("h:9092", ["a", "b"], "earliest", 10) == {
         "kafka.bootstrap.servers": "h:9092", "subscribe": "a,b", "startingOffsets": "earliest",
-        "failOnDataLoss": "false", "maxOffsetsPerTrigger": "10"}
+        "failOnDataLoss": "true", "maxOffsetsPerTrigger": "10"}
     assert "maxOffsetsPerTrigger" not in tables.kafka_options("h:9092", "a")
 
 
@@ -106,3 +106,13 @@ def test_read_dim(spark, tmp_path):
     frame = spark.createDataFrame([tuple("abcdefghi")], ", ".join(f"{c} string" for c in records.DIMENSION_COLUMNS))
     frame.selectExpr("*", "'x' as more").write.parquet(str(tmp_path / "dim"))
     assert tables.read_dim(spark, str(tmp_path / "dim")).columns == list(records.DIMENSION_COLUMNS)
+
+
+def test_hour_decides_the_granularity(spark):
+    ods = spark.createDataFrame([("2020", "05", "13", "22"), ("2020", "05", "13", "23")],
+                                "year string, month string, day string, hour string")
+    assert tables.scan_partition(spark, ods, "2020", "05", "13", "23").count() == 1
+    assert tables.scan_partition(spark, ods, "2020", "05", "13").count() == 2
+    for hour, granularity in (("23", "day"), (None, "hour")):
+        with pytest.raises(ValueError):
+            tables.scan_partition(spark, ods, "2020", "05", "13", hour, granularity)

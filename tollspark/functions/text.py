@@ -63,15 +63,20 @@ def edit_distance(left: Column | str, right: Column | str, default_plate: str |
     return F.when(left == default_plate, F.lit(far)).otherwise(distance)
 
 
+def _member(field: str) -> str:
+    """Pattern of a text member with just this name; its group is everything up to the closing quote."""
+    return rf'"{field}"\s*:\s*"([^"]*)"'
+
+
 def find_all(column: Column | str, field: str) -> Column:
     """Values of every quoted JSON member named `field` in the text, in order of appearance."""
-    return F.regexp_extract_all(_col(column), F.lit(rf'{field}":"(\w*)'), F.lit(1))
+    return F.regexp_extract_all(_col(column), F.lit(_member(field)), F.lit(1))
 
 
 def find_first(column: Column | str, field: str) -> Column:
     """First value of `field` in the text, NULL when it does not occur."""
     column = _col(column)
-    return F.when(column.contains(f'{field}":"'), F.regexp_extract(column, rf'{field}":"(\w*)', 1))
+    return F.when(column.rlike(_member(field)), F.regexp_extract(column, _member(field), 1))
 
 
 def find_count(column: Column | str, pattern: str) -> Column:

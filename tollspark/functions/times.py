@@ -28,7 +28,8 @@ def event_time_from_version(column: Column | str) -> Column:
 
 def event_time_from_raw(column: Column | str, field: str) -> Column:
     """Time found in raw JSON text as `"field":"2020-05-13T23:00:14"` without decoding the record."""
-    pattern = rf'"{field}":"(\w{{4}}-\w{{2}}-\w{{2}}T\w{{2}}:\w{{2}}:\w{{2}})"'
+    day, clock = r"[0-9]{4}(?:-[0-9]{2}){2}", "[0-9]{2}(?::[0-9]{2}){2}"
+    pattern = rf'"{field}"\s*:\s*"({day}T{clock})"'
     return F.try_to_timestamp(F.regexp_extract(_col(column), pattern, 1))
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tollspark.functions import rowkey, text
 
 MATCHED, UNMATCHED = 99, 66  # fixed values: matching degree
-_MAX_HOT_GROUPS = 100_000
 
 
 def _slot(seconds: Column, width: int) -> Column:
@@ -101,15 +100,18 @@ def _collected(pairs: DataFrame, left_columns: list[str], rt: str, collect: str,
 
 def interval_match(left: DataFrame, right: DataFrame, on: list[str], lt: str, rt: str, tolerance: int, collect: str,
                    how: str = "left", null_safe: bool = False, bucket: int | None = None,
-                   unique_left: bool = False) -> DataFrame:
+                   unique_left: bool = False, plate: str | None = None, default_plate: str | None = None) -> DataFrame:
     """Exactly one row per left row: its columns, `matches` (the `collect` values of its partners in time order, then
     by value), `sign` 1/0 and `degree` 99/66.
 
-    `unique_left=True` promises that no two left rows are identical and saves one aggregation. A key that is hot in
-    one slice of time is left to Spark's skew join: the grouping that follows has its own exchange, so a skewed join
-    partition can be split.
+    `unique_left=True` promises that no two left rows are identical and saves one aggregation. With `default_plate`,
+    the text that stands for an unread plate, rows whose key `plate` holds it match nothing instead of each other.
+    A slice of time with very many left rows is left to Spark's skew join: the grouping that follows has its own
+    exchange, so its partition can be split. `bucketed_interval_match` also splits slices with very many right rows.
     """
     folded = _folded(left, unique_left)
+    if default_plate is not None:
+        right = right.where(~F.col(plate).eqNullSafe(F.lit(default_plate)))
     pairs = interval_pairs(folded, right.select(*on, rt, collect), on, lt, rt, tolerance, how, null_safe, bucket)
     out = _collected(pairs, folded.columns, rt, collect, [])
     out = out.withColumn("matches", F.transform("_hits", lambda h: h.getField("v")))
@@ -122,29 +124,27 @@ def bucketed_interval_match(left: DataFrame, right: DataFrame, on: list[str], lt
     """`interval_match` with hot (key, bucket) groups cut into a grid before the join.
 
     A group with more than `hot_rows` rows on either side is split by row hash into enough parts on that side, and the
-    other side's rows of that group are copied to each part. Groups are counted first (keys and times only, combined
-    before the shuffle). The list of hot groups is broadcast and holds the largest 100 000 at most; any group beyond
-    it is joined uncut, with the same result.
+    other side's rows of that group are copied to each part. Groups are counted as part of the plan (keys and times
+    only, combined before the shuffle), and the hot ones are a table like any other: however many there are, all are
+    cut, and nothing is collected.
     """
     folded = _folded(left, unique_left)
     lhs, rhs = _bucketed(folded, right.select(*on, rt, collect), on, lt, rt, tolerance, bucket)
-    spark = left.sparkSession
     slices = lhs.select(*on, F.col("_slot"), F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionAll(
         rhs.select(*[F.col(f"_r_{k}").alias(k) for k in on], F.col("_r_slot"), F.lit(0), F.lit(1)))
     sizes = slices.groupBy(*on, "_slot").agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
     largest = F.greatest("_l", "_r")
-    hot = sizes.where(largest > hot_rows).orderBy(largest.desc()).limit(_MAX_HOT_GROUPS).select(
+    hot = sizes.where(largest > hot_rows).select(
         *[F.col(k).alias(f"_h_{k}") for k in on], F.col("_slot").alias("_h_slot"),
         F.ceil(F.greatest(F.col("_l"), F.lit(1)) / hot_rows).cast("int").alias("_parts_l"),
         F.ceil(F.greatest(F.col("_r"), F.lit(1)) / hot_rows).cast("int").alias("_parts_r"))
-    hot = spark.createDataFrame(hot.collect(), hot.schema)
 
     def grid(side: DataFrame, keys: list[str], slot: str, own: str, other: str, mark: str) -> DataFrame:
         at = F.col(slot).eqNullSafe(F.col("_h_slot"))
         for key, name in zip(on, keys):
             at = at & F.col(name).eqNullSafe(F.col(f"_h_{key}"))
         payload = [F.col(c) for c in side.columns]
-        spread = side.join(F.broadcast(hot), at, "left")
+        spread = side.join(hot, at, "left")
         own_part = F.pmod(F.xxhash64(*payload), F.coalesce(F.col(f"_parts_{own}"), F.lit(1))).cast("int")
         copies = F.sequence(F.lit(0), F.coalesce(F.col(f"_parts_{other}"), F.lit(1)) - 1)
         return spread.select(*payload, own_part.alias(f"_{mark}_{own}"), F.explode(copies).alias(f"_{mark}_{other}"))
@@ -199,14 +199,18 @@ def fuzzy_interval_match(left: DataFrame, right: DataFrame, on: list[str], lt: s
     """Interval match whose plates may differ by up to `max_distance` edits.
 
     Candidates share a plate segment as well as the keys and the time bucket, so a busy gantry is not compared plate
-    by plate with itself. Adds `plates`, the matched plates in the order of `matches`.
+    by plate with itself. Left rows with the default plate, which match nothing, get no segment and meet no picture.
+    Adds `plates`, the matched plates in the order of `matches`.
     """
     folded = _folded(left, unique_left)
     a, b = F.coalesce(F.col(left_plate), F.lit("")), F.coalesce(F.col(right_plate), F.lit(""))
     # Identical pictures are folded with their count: a pair may meet at several segments, and the set that undoes
     # that must not swallow true copies.
     pictures = right.groupBy(*on, rt, collect, right_plate).agg(F.count(F.lit(1)).alias("_n"))
-    lhs = folded.withColumn("_seg", F.explode(F.array(*_segments(a, max_distance + 1))))
+    segments = F.array(*_segments(a, max_distance + 1))
+    if default_plate is not None:
+        segments = F.when(a == default_plate, F.array(F.lit(None).cast("string"))).otherwise(segments)
+    lhs = folded.withColumn("_seg", F.explode(segments))
     rhs = pictures.withColumn("_seg", F.explode(_probes(b, max_distance)))
     close = text.edit_distance(left_plate, right_plate, default_plate, max_distance).between(0, max_distance)
     pairs = interval_pairs(lhs, rhs, [*on, "_seg"], lt, rt, tolerance, how, bucket=bucket, condition=close)

@@ -89,14 +89,14 @@ def _entrance_measures() -> Measures:
 
 
 def _report(df: DataFrame, keys: dict[str, Column], codes: tuple[str, ...],
-            measures: Measures, amounts: dict[str, str]) -> DataFrame:
-    """Wide aggregate in two steps.
+            measures: Measures, amounts: dict[str, str], cells: bool = False) -> DataFrame:
+    """Wide aggregate in one step: the measures are combined before the only shuffle, which moves a row per key and
+    task. With `cells` it takes two steps, for stations so busy that their wide rows of all tasks are too many.
 
-    The first counts rows and sums amounts per cell, a cell being the key with one combination of the listed codes:
+    Then the first counts rows and sums amounts per cell, a cell being the key with one combination of the listed codes:
     three narrow sums per row, combined before a shuffle that spreads even the busiest station over its cells. The
     second works out the hundred measures from the cells. Their number per key is bounded by the code lists whatever
-    the traffic, so cells are brought together by key as they are and the wide rows are never shuffled. A stream,
-    which may not aggregate twice, takes the measures from its rows in one step.
+    the traffic, so cells are brought together by key. A stream, which may not aggregate twice, always takes one step.
     """
     sums = ["_n", *amounts]
     rows = df.select(
@@ -104,7 +104,7 @@ def _report(df: DataFrame, keys: dict[str, Column], codes: tuple[str, ...],
         *[F.when(F.col(c).isin(*CODES[c]), F.col(c)).cast("int").alias(c) for c in codes],
         F.lit(1).cast("bigint").alias("_n"),
         *[cents(column).alias(name) for name, column in amounts.items()])
-    if not df.isStreaming:
+    if cells and not df.isStreaming:
         rows = rows.groupBy(*keys, *codes).agg(*[F.sum(c).alias(c) for c in sums]).repartition(*keys)
     flat: dict[str, str] = {}
     for name, measure in measures.items():

@@ -27,7 +27,7 @@ GANTRY_DEVICES = {"rsu_status": "no_zero", "vplr_status": "zero_code"}
 # --- batch ---------------------------------------------------------------------------------------------------------
 
 def match_job(charges: DataFrame, pictures: DataFrame, out: str, run_time: str, tolerance: int, year: str, month: str,
-              day: str, hour: str | None = None, granularity: str = "day", buckets: int = 100,
+              day: str, hour: str | None = None, granularity: str | None = None, buckets: int = 100,
               unique_left: bool = False) -> DataFrame:
     """Match one day or hour of charges to pictures and write `success`, `failure` and the row-key table under `out`.
 
@@ -52,7 +52,7 @@ def match_job(charges: DataFrame, pictures: DataFrame, out: str, run_time: str,
 
 
 def exit_daily_job(transactions: DataFrame, out: str, year: str, month: str, day: str, hour: str | None = None,
-                   granularity: str = "day", legacy: bool = False) -> None:
+                   granularity: str | None = None, legacy: bool = False) -> None:
     """Daily exit-station report into a table partitioned by collection and event day."""
     day_rows = sources.scan_partition(transactions.sparkSession, transactions, year, month, day, hour, granularity)
     report = reports.exit_station_daily(day_rows, reports.collect_day_of(), F.substring("ex_time", 1, 10),
@@ -61,7 +61,7 @@ def exit_daily_job(transactions: DataFrame, out: str, year: str, month: str, day
 
 
 def issue_daily_job(issues: DataFrame, out: str, year: str, month: str, day: str, hour: str | None = None,
-                    granularity: str = "day") -> None:
+                    granularity: str | None = None) -> None:
     """Daily card-issuance report into a table partitioned by collection and event day."""
     day_rows = sources.scan_partition(issues.sparkSession, issues, year, month, day, hour, granularity)
     report = reports.issue_flow_daily(day_rows, reports.collect_day_of(), F.col("oper_time"))

@@ -355,6 +355,7 @@ fact as (select lane_id, station_id, {_DAY} as w,
 select station_id, cast(sum(r) as double) as rate_sum from fact group by station_id""",
         "interval_match": f"{rows} select * from rows_",
         "interval_match_bucketed": f"{rows} select * from rows_",
+        "interval_match_hot": f"{rows} select * from rows_",
         "interval_pairs": f"""{pairs} select e.*, v.pic_id, v.pic_unix from v_etc e left join v_viu v on {_SAME}""",
         "matched": f"{pairs} select * from v_etc e where exists (select 1 from v_viu v where {_SAME})",
         "unmatched": f"{pairs} select * from v_etc e where not exists (select 1 from v_viu v where {_SAME})",

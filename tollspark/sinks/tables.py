@@ -35,7 +35,7 @@ class Upsert:
         if self.legacy_nulls:
             batch = with_text_nulls(batch)
         if self.files is not None:
-            batch = batch.coalesce(self.files)
+            batch = batch.repartition(self.files)  # coalesce would take the parallelism of the aggregate as well
         batch.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -83,8 +83,9 @@ def write_by_row_key(df: DataFrame, path: str, partitions: int | None = None,
     ranged.sortWithinPartitions("rowkey").write.mode("overwrite").parquet(path)
 
 
-def append_json(df: DataFrame, path: str, files: int = 5) -> None:
-    df.repartition(files).write.mode("append").json(path)
+def append_json(df: DataFrame, path: str, files: int | None = None) -> None:
+    """One file per partition, or `files` of them where the volume is known to be small."""
+    (df if files is None else df.repartition(files)).write.mode("append").json(path)
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, **properties: str) -> None:

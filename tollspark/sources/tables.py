@@ -9,23 +9,26 @@ from tollspark.sources.records import DIMENSION_COLUMNS, PLATE_LOG_SCHEMA
 
 
 def read_kafka(spark: SparkSession, servers: str, topics: str | list[str], starting: str = "latest",
-               max_per_trigger: int | None = None, **options: str) -> DataFrame:
+               max_per_trigger: int | None = None, fail_on_data_loss: bool = True, **options: str) -> DataFrame:
     """Stream of (topic, partition, offset, value text) from one or several topics.
 
+    Offsets that have expired stop the stream unless `fail_on_data_loss` is off.
+
     `starting` is `earliest`, `latest` or the JSON that `starting_offsets` builds; it only matters for a query
     without a checkpoint.
     """
-    reader = spark.readStream.format("kafka").options(**kafka_options(servers, topics, starting, max_per_trigger))
+    reader = spark.readStream.format("kafka").options(**kafka_options(servers, topics, starting, max_per_trigger,
+                                                                      fail_on_data_loss))
     return kafka_text(reader.options(**options).load())
 
 
 def kafka_options(servers: str, topics: str | list[str], starting: str = "latest",
-                  max_per_trigger: int | None = None) -> dict[str, str]:
+                  max_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> dict[str, str]:
     chosen = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topics if isinstance(topics, str) else ",".join(topics),
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_per_trigger is not None:
         chosen["maxOffsetsPerTrigger"] = str(max_per_trigger)
@@ -62,11 +65,14 @@ def read_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None
 
 
 def scan_partition(spark: SparkSession, table: str | DataFrame, year: str, month: str, day: str,
-                   hour: str | None = None, granularity: str = "day") -> DataFrame:
-    """Rows of one day, or of one hour of it, from a table partitioned by text year/month/day/hour."""
+                   hour: str | None = None, granularity: str | None = None) -> DataFrame:
+    """Rows of one day, or of one hour of it if `hour` is given, from a table partitioned by text year/month/day/hour.
+    `granularity` (`day` or `hour`) may say so as well, but not otherwise."""
+    if granularity is not None and granularity != ("day" if hour is None else "hour"):
+        raise ValueError(f"granularity {granularity} with hour {hour}")
     frame = spark.read.table(table) if isinstance(table, str) else table
     chosen = (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
-    if granularity == "hour":
+    if hour is not None:
         chosen = chosen & (F.col("hour") == hour)
     return frame.where(chosen)
 
