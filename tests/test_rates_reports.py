@@ -107,7 +107,7 @@ def test_period_reports(spark):
 
 def test_report_cells_shrink_a_busy_station(spark):
     frame = exit_frame(spark, *[row()] * 500, *[row(2)] * 500)
-    plan = reports.exit_station_daily(frame, F.lit("d"), F.to_date("event_time"))._jdf.queryExecution().executedPlan().toString()
+    plan = reports.exit_station_daily(frame, F.lit("d"), F.to_date("event_time"), cells=True)._jdf.queryExecution().executedPlan().toString()
     first_exchange = plan.rindex("Exchange hashpartitioning")
     assert "partial_sum" in plan[first_exchange:]
     assert "PythonUDF" not in plan
@@ -140,3 +140,10 @@ def test_issue_flow_and_rate_sum(spark):
     assert tuple(got) == ("P", "c", "e", 1, 1, 1)
     sums = rates.rate_sum_by_station(spark.sql("select 's' station_id, cast(0.5 as decimal(10,3)) rsu_status_rate"))
     assert sums.first().rate_sum == Decimal("0.500")
+
+
+def test_daily_report_has_one_exchange(spark, sf_dir):
+    from tollspark.plans.queries import all_queries
+
+    plan = all_queries()["exit_station_daily"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -89,14 +89,16 @@ def _entrance_measures() -> Measures:
 
 
 def _report(df: DataFrame, keys: dict[str, Column], codes: tuple[str, ...],
-            measures: Measures, amounts: dict[str, str], cells: bool = False) -> DataFrame:
-    """Wide aggregate in one step: the measures are combined before the only shuffle, which moves a row per key and
-    task. With `cells` it takes two steps, for stations so busy that their wide rows of all tasks are too many.
-
-    Then the first counts rows and sums amounts per cell, a cell being the key with one combination of the listed codes:
-    three narrow sums per row, combined before a shuffle that spreads even the busiest station over its cells. The
-    second works out the hundred measures from the cells. Their number per key is bounded by the code lists whatever
-    the traffic, so cells are brought together by key. A stream, which may not aggregate twice, always takes one step.
+            measures: Measures, amounts: dict[str, str], cells: bool = False,
+            constant: tuple[str, ...] = ()) -> DataFrame:
+    """Wide aggregate behind one exchange: the rows, narrow by then, are dealt by the keys that `constant` doesn't
+    name (a literal among the partitioning keys would cost an exchange of the wide rows), and each task works out the
+    hundred measures of its keys. A key is one station's day or shorter period, so its rows fit a task.
+
+    With `cells`, for keys busier than that, rows are first counted per cell, a cell being the key with one combination
+    of the listed codes, combined before a shuffle that spreads even the busiest station over its cells; the measures
+    come from the cells, whose number per key is bounded by the code lists whatever the traffic. A stream takes the
+    measures from its rows in one step.
     """
     sums = ["_n", *amounts]
     rows = df.select(
@@ -104,8 +106,10 @@ def _report(df: DataFrame, keys: dict[str, Column], codes: tuple[str, ...],
         *[F.when(F.col(c).isin(*CODES[c]), F.col(c)).cast("int").alias(c) for c in codes],
         F.lit(1).cast("bigint").alias("_n"),
         *[cents(column).alias(name) for name, column in amounts.items()])
-    if cells and not df.isStreaming:
-        rows = rows.groupBy(*keys, *codes).agg(*[F.sum(c).alias(c) for c in sums]).repartition(*keys)
+    if not df.isStreaming:
+        if cells:
+            rows = rows.groupBy(*keys, *codes).agg(*[F.sum(c).alias(c) for c in sums])
+        rows = rows.repartition(*[key for key in keys if key not in constant])
     flat: dict[str, str] = {}
     for name, measure in measures.items():
         flat |= {_cell(name, i): sql for i, sql in enumerate(measure)} if isinstance(measure, list) else {name: measure}
@@ -137,7 +141,7 @@ _AMOUNTS = {"_fee": "fee", "_discount": "discount_fee"}
 
 
 def exit_station_daily(df: DataFrame, collect_day: Column, event_day: Column, packed: bool = True,
-                       legacy: bool = False) -> DataFrame:
+                       legacy: bool = False, cells: bool = False) -> DataFrame:
     """Exit-station report per station, collection day and event day: 34 columns, matrices as `|1|2|` text.
 
     `packed=False` keeps the matrices as arrays.
@@ -145,7 +149,7 @@ def exit_station_daily(df: DataFrame, collect_day: Column, event_day: Column, pa
     keys = {"extollstationid": F.col("station_id"), "exTollStationName": F.col("station_name"),
             "collectDay": collect_day, "eventDay": event_day}
     measures = _exit_measures(legacy)
-    report = _report(df, keys, tuple(CODES), measures, _AMOUNTS)
+    report = _report(df, keys, tuple(CODES), measures, _AMOUNTS, cells, ("collectDay",))
     return _finished(report, [F.col(k) for k in keys], measures, packed, outer=True)
 
 
