@@ -356,8 +356,11 @@ def labelled_pages(pages: list[str], copies: int = 3, seed: int = 7) -> list[tup
 def fit(pages: DataFrame, sample: int = 300, longest: int = 50_000) -> Crf:
     """Train on at most `sample` pages (page_id, html), drawn in the order of a hash of the page, of at most `longest`
     code points each; both bounds concern training only."""
-    drawn = pages.select("html").where(F.length("html").between(1, longest)) \
-        .orderBy(F.xxhash64("html"), "html").limit(sample).collect()
+    rows = pages.select("html", F.xxhash64("html").alias("h")).where(F.length("html").between(1, longest))
+    # The hashes are drawn first and alone: ordering whole pages would send a sample from every task to the driver.
+    chosen = rows.select("h").distinct().orderBy("h").limit(sample).collect()
+    chosen = F.broadcast(pages.sparkSession.createDataFrame([(row.h,) for row in chosen], "h long"))
+    drawn = rows.join(chosen, "h", "left_semi").groupBy("h").agg(F.min("html").alias("html")).orderBy("h").collect()
     return train(labelled_pages([row.html for row in drawn]))
 
 
