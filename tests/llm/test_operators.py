@@ -196,6 +196,33 @@ def test_simhash_components_against_all_pairs(spark):
     assert simhash.grouped(frame(spark, [])).count() == 0
 
 
+def test_simhash_hot_keys_are_cut_without_loss(spark):
+    """Fingerprints that nearly all agree on the low blocks, so that most keys count as hot."""
+    pick = random.Random(9)
+    bits = {(pick.getrandbits(16) << 48) ^ sum({1 << pick.randrange(48) for _ in range(pick.randrange(3))}) for _ in range(300)}
+    bits |= {b ^ 1 << pick.randrange(64) for b in list(bits)[:120]}
+    bits = sorted(bits)
+    nodes = spark.createDataFrame([(i, b - (b >> 63 << 64)) for i, b in enumerate(bits)], "node long, fingerprint long")
+    label = list(range(len(bits)))
+    pairs = [(i, j) for i in range(len(bits)) for j in range(i) if (bits[i] ^ bits[j]).bit_count() <= 3]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            if label[a] != label[b]:
+                label[a] = label[b] = min(label[a], label[b])
+                changed = True
+    for hot_rows in (1, 20, 10_000):
+        found = dict(map(tuple, simhash.components(simhash.links(nodes, hot_rows=hot_rows)).collect()))
+        assert [found.get(i, i) for i in range(len(bits))] == label
+
+
+def test_components_that_do_not_settle_are_an_error(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        simhash.components(edges, max_rounds=1)
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     found = dict(map(tuple, simhash.components(edges).collect()))

@@ -111,6 +111,10 @@ def test_every_close_pair_shares_a_choice_of_blocks():
         a = pick.getrandbits(64)
         b = a ^ sum(1 << i for i in pick.sample(range(64), 3))
         assert any(a & mask == b & mask for mask in masks)
+        shared = next(mask for mask in masks if a & mask == b & mask)
+        finer = simhash._finer_masks(shared, 6, 3)
+        assert len(finer) == 20 and any(a & mask == b & mask for mask in finer)
+        assert all(mask & shared == shared and mask.bit_count() >= 46 for mask in finer)
 
 
 def test_block_max_search_is_exact():

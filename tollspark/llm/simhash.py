@@ -5,8 +5,11 @@ count). Documents of one fingerprint are folded first, so a group of copies is o
 is cut into blocks; two fingerprints that differ in at most `distance` bits agree on some choice of `blocks - distance`
 blocks, and every such choice is a key. Rows of a key meet in one sorted run, are compared by Hamming distance, and
 leave links that connect what is linked; links inside what is connected already are not written, so a group of near
-copies costs a number of rows in proportion to its members and no pair of the group is lost to connectivity. Components
-follow by large-star / small-star rounds over the links, staged in the shared folder.
+copies costs a number of rows in proportion to its members and no pair of the group is lost to connectivity. A key of
+very many fingerprints is cut once more by the same rule: its close pairs agree on `blocks - distance` blocks of the
+bits that the key leaves open. With 6 blocks and distance 3 that leaves 18 open bits at most, so a run never has more
+than 2^18 fingerprints, whatever the documents are. Components follow by large-star / small-star rounds over the links,
+staged in the shared folder.
 
 Nulls count as empty texts; texts without words have fingerprint zero and link like any other. Repeated rows are rows
 of their own and land in one component. An id is taken to name one text: if it comes with several, the id may tie their
@@ -66,21 +69,30 @@ def fingerprints(documents: DataFrame, keep: list[str], words: int = 3) -> DataF
         lambda batches: batches_with(batches, keep, make), widened(documents, keep, "fingerprint long"))
 
 
-def _block_masks(blocks: int, distance: int) -> list[int]:
-    """A mask for every choice of `blocks - distance` blocks of nearly equal width."""
-    edges = [round(i * 64 / blocks) for i in range(blocks + 1)]
-    single = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:], strict=False)]
+def _block_masks(blocks: int, distance: int, places: list[int] | None = None) -> list[int]:
+    """A mask for every choice of `blocks - distance` blocks, of nearly equal width, of the bits at `places` (all 64)."""
+    places = list(range(64)) if places is None else places
+    edges = [round(i * len(places) / blocks) for i in range(blocks + 1)]
+    single = [sum(1 << at for at in places[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
     return [sum(chosen) for chosen in combinations(single, blocks - distance)]
 
 
+def _finer_masks(mask: int, blocks: int, distance: int) -> list[int]:
+    """`mask` together with every choice of blocks of the bits that it leaves open."""
+    return [mask | more for more in _block_masks(blocks, distance, [at for at in range(64) if not mask >> at & 1])]
+
+
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def block_keys(bits: Column, blocks: int, distance: int) -> Column:
-    """Array of (choice, masked bits), one per choice of blocks."""
-    return F.array(*[F.struct(F.lit(i).cast("byte").alias("choice"), bits.bitwiseAND(F.lit(_signed(mask))).alias("key"))
-                     for i, mask in enumerate(_block_masks(blocks, distance))])
+def _longs(masks: list[int]) -> Column:
+    return F.array(*[F.lit(_signed(mask)).cast("long") for mask in masks])
+
+
+def block_keys(bits: Column, masks: Column) -> Column:
+    """Array of (choice, masked bits), one per mask of an array of masks."""
+    return F.transform(masks, lambda mask, i: F.struct(i.alias("choice"), bits.bitwiseAND(mask).alias("key")))
 
 
 def _hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -173,14 +185,32 @@ def _linked(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Rec
         yield emit([np.concatenate(x) for x in zip(*waiting, strict=True)])
 
 
-def links(nodes: DataFrame, distance: int = 3, blocks: int = 6) -> DataFrame:
-    """Links (a, b), a < b, between the nodes (node long, fingerprint long, distinct) that connect what Hamming
-    distances up to `distance` connect."""
-    keyed = nodes.select(F.explode(block_keys(F.col("fingerprint"), blocks, distance)).alias("k"), "fingerprint", "node")
-    keyed = keyed.select("k.choice", "k.key", "fingerprint", "node").repartition("choice", "key") \
+def _in_runs(keyed: DataFrame, distance: int) -> DataFrame:
+    """Links of rows (choice, key, fingerprint, node), found run by run."""
+    rows = keyed.select("choice", "key", "fingerprint", "node").repartition("choice", "key") \
         .sortWithinPartitions("choice", "key")
-    return keyed.mapInArrow(lambda batches: _linked(batches, distance), "a long, b long") \
-        .where(F.col("a") != F.col("b")).distinct()
+    return rows.mapInArrow(lambda batches: _linked(batches, distance), "a long, b long")
+
+
+def links(nodes: DataFrame, distance: int = 3, blocks: int = 6, hot_rows: int = 20_000) -> DataFrame:
+    """Links (a, b), a < b, between the nodes (node long, fingerprint long, distinct) that connect what Hamming
+    distances up to `distance` connect. Keys of more than `hot_rows` nodes are cut into finer ones."""
+    masks = _block_masks(blocks, distance)
+    keyed = nodes.select(F.explode(block_keys(F.col("fingerprint"), _longs(masks))).alias("k"), "fingerprint", "node") \
+        .select("k.choice", "k.key", "fingerprint", "node")
+    hot = staged(keyed.groupBy("choice", "key").agg(F.count("*").alias("rows")).where(F.col("rows") > hot_rows)
+                 .select("choice", "key"), "simhash-hot")
+    if hot.isEmpty():
+        found = _in_runs(keyed, distance)
+    else:
+        finer = F.array(*[_longs(_finer_masks(mask, blocks, distance)) for mask in masks])
+        cut = keyed.join(hot, ["choice", "key"], "left_semi").select(
+            "choice", "fingerprint", "node",
+            F.explode(block_keys(F.col("fingerprint"), F.get(finer, F.col("choice")))).alias("k"))
+        width = len(masks)  # every mask has as many finer ones
+        cut = cut.select((F.col("choice") * width + F.col("k.choice")).alias("choice"), "k.key", "fingerprint", "node")
+        found = _in_runs(keyed.join(hot, ["choice", "key"], "left_anti"), distance).union(_in_runs(cut, distance))
+    return found.where(F.col("a") != F.col("b")).distinct()
 
 
 def components(edges: DataFrame, label: str = "components", max_rounds: int = 60) -> DataFrame:
@@ -204,6 +234,8 @@ def components(edges: DataFrame, label: str = "components", max_rounds: int = 60
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components have not settled after {max_rounds} rounds")
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")) \
         .union(edges.select("a", "a").distinct())
 
