@@ -1,3 +1,4 @@
+import pytest
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -114,6 +115,14 @@ def test_money(spark):
     assert frame.agg(F.sum(measures.cents("fee")).alias("t")).selectExpr(measures.amount("t"), measures.amount_text("t")).first()[0] == Decimal("1.2500")
 
 
+def test_wide_money(spark):
+    frame = spark.createDataFrame([("1.25",), (None,), ("12345678",), ("x",)], "fee string")
+    total = frame.agg(F.sum(measures.cents("fee", wide=True)).alias("t")).selectExpr(measures.amount("t")).first()[0]
+    assert total == Decimal("12345679.2500")
+    with pytest.raises(Exception, match="(?i)overflow|out of range|cannot be represented"):
+        spark.createDataFrame([("1e15",)], "fee string").agg(F.sum(measures.cents("fee", wide=True))).collect()
+
+
 def java_hash(key: str) -> int:
     word = 0
     units = key.encode("utf-16-be")

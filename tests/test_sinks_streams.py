@@ -31,6 +31,30 @@ def test_upsert_within_a_batch_and_text_nulls(spark, rows):
     assert rows(target.read(spark)) == [("1", "6", "null")]
 
 
+def test_upsert_of_many_batches_stays_near_its_live_rows(spark, rows, tmp_path):
+    target = Upsert(str(tmp_path / "t"), ["k"], files=1, merge_after=4)
+    for batch_id in range(30):
+        target.write(spark.range(20).selectExpr("id as k", f"id + {batch_id} as v"), batch_id)
+    target.write(spark.range(20).selectExpr("id as k", "id + 29 as v"), 29)  # a repeated batch
+    assert {r.k: r.v for r in target.read(spark).collect()} == {k: k + 29 for k in range(20)}
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert stored.count() <= 20 * 2 * (4 + 2) and stored.where("part = 'merged'").count() <= 40
+    *_, base, fresh = target._layout(spark)
+    assert len(base) == 1 and len(fresh) < 8
+
+
+def test_an_unfinished_merge_is_not_read(spark, rows, tmp_path):
+    target = Upsert(str(tmp_path / "t"), ["k"], merge_after=2)
+    frame = lambda *r: spark.createDataFrame(r, "k int, v string")
+    target.write(frame((1, "a")), 0)
+    frame((1, "half")).write.parquet(str(tmp_path / "t" / "part=merged" / "batch_id=0"))
+    (tmp_path / "t" / "part=merged" / "batch_id=0" / "_SUCCESS").unlink()
+    assert rows(target.read(spark)) == [(1, "a")]
+    target.write(frame((2, "b")), 1)
+    target.write(frame((1, "c")), 2)
+    assert rows(target.read(spark)) == [(1, "c"), (2, "b")]
+
+
 def test_upsert_failure_propagates(spark, tmp_path):
     (tmp_path / "file").write_text("x")
     with pytest.raises(Exception):
@@ -186,6 +210,26 @@ def test_running_count_sums_over_batches(spark, split_events, sf_dir):
     assert {r.event_type: r.n for r in target.read(spark).collect()} == want
 
 
+def test_a_count_that_timed_out_starts_a_new_session(spark, tmp_path):
+    """`a` pauses for longer than its timeout and returns: its first session keeps its count, a second one begins."""
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "c")
+    target = Upsert(str(tmp_path / "out"), ["k", "session"])
+    for keys in (["a", "a", "b"], ["b"], ["b"], ["a"]):
+        spark.createDataFrame([(k,) for k in keys], "k string").coalesce(1).write.mode("append").parquet(source)
+        counts = stateful.keyed_count(sources.stream_table(spark, source, "k string"), ["k"], 1, "n", sessions=True)
+        runs.run_update(counts, target, checkpoint, trigger=None).awaitTermination()
+    stored = target.read(spark)
+    assert sorted(r.n for r in stored.where("k = 'a'").collect()) == [1, 2]
+    assert {r.k: r.n for r in stateful.session_totals(stored, ["k"], "n").collect()} == {"a": 3, "b": 3}
+
+
+def test_pv_windows_count_like_the_keyed_state(spark):
+    t = datetime(2024, 1, 1, 8, 0, 30)
+    views_ = spark.createDataFrame([(t, "v", "u"), (t, "v", "u"), (t, None, "u"), (None, "v", "u"), (t + timedelta(minutes=1), "v", "u")],
+                                   "timestamp timestamp, eventType string, userID string")
+    assert sorted(map(tuple, stateful.pv_per_minute_windowed(views_).collect())) == [("2024-01-01 08:00", "u", 2), ("2024-01-01 08:01", "u", 1)]
+
+
 def test_pv_per_minute_ignores_incomplete_rows(spark, tmp_path):
     source = str(tmp_path / "in")
     t = datetime(2024, 1, 1, 8, 0, 30)

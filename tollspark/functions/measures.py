@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, functions as F
 
 MONEY = "decimal(10,4)"
+WIDE_MONEY = "decimal(18,4)"
 RATE = "decimal(10,3)"
 
 
@@ -21,10 +22,18 @@ def money(column: Column | str) -> Column:
     return F.coalesce(column.try_cast(MONEY), F.lit(0).cast(MONEY))
 
 
-def cents(column: Column | str) -> Column:
+def cents(column: Column | str, wide: bool = False) -> Column:
     """`money` in ten-thousandths as a bigint: sums of these stay in machine words. A total beyond nine hundred
-    trillion raises an overflow error."""
-    return (money(column) * 10_000).cast("bigint")
+    trillion raises an overflow error.
+
+    With `wide` only missing amounts and text that is no number count as zero. Amounts of a million and more, which
+    `money` counts as zero, are summed, and one of a hundred trillion or more raises.
+    """
+    if not wide:
+        return (money(column) * 10_000).cast("bigint")
+    column = F.col(column) if isinstance(column, str) else column
+    readable = F.when(column.try_cast("double").isNotNull(), column)
+    return (F.coalesce(readable.cast(WIDE_MONEY), F.lit(0).cast(WIDE_MONEY)) * 10_000).cast("bigint")
 
 
 def amount(total: str) -> str:

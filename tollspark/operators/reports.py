@@ -90,7 +90,7 @@ def _entrance_measures() -> Measures:
 
 def _report(df: DataFrame, keys: dict[str, Column], codes: tuple[str, ...],
             measures: Measures, amounts: dict[str, str], cells: bool = False,
-            constant: tuple[str, ...] = ()) -> DataFrame:
+            constant: tuple[str, ...] = (), wide: bool = False) -> DataFrame:
     """Wide aggregate behind one exchange: the rows, narrow by then, are dealt by the keys that `constant` doesn't
     name (a literal among the partitioning keys would cost an exchange of the wide rows), and each task works out the
     hundred measures of its keys. A key is one station's day or shorter period, so its rows fit a task.
@@ -105,7 +105,7 @@ def _report(df: DataFrame, keys: dict[str, Column], codes: tuple[str, ...],
         *[expr.alias(name) for name, expr in keys.items()],
         *[F.when(F.col(c).isin(*CODES[c]), F.col(c)).cast("int").alias(c) for c in codes],
         F.lit(1).cast("bigint").alias("_n"),
-        *[cents(column).alias(name) for name, column in amounts.items()])
+        *[cents(column, wide).alias(name) for name, column in amounts.items()])
     if not df.isStreaming:
         if cells:
             rows = rows.groupBy(*keys, *codes).agg(*[F.sum(c).alias(c) for c in sums])
@@ -141,15 +141,16 @@ _AMOUNTS = {"_fee": "fee", "_discount": "discount_fee"}
 
 
 def exit_station_daily(df: DataFrame, collect_day: Column, event_day: Column, packed: bool = True,
-                       legacy: bool = False, cells: bool = False) -> DataFrame:
+                       legacy: bool = False, cells: bool = False, wide: bool = False) -> DataFrame:
     """Exit-station report per station, collection day and event day: 34 columns, matrices as `|1|2|` text.
 
-    `packed=False` keeps the matrices as arrays.
+    `packed=False` keeps the matrices as arrays, `wide` sums amounts of a million and more instead of taking them for
+    zero.
     """
     keys = {"extollstationid": F.col("station_id"), "exTollStationName": F.col("station_name"),
             "collectDay": collect_day, "eventDay": event_day}
     measures = _exit_measures(legacy)
-    report = _report(df, keys, tuple(CODES), measures, _AMOUNTS, cells, ("collectDay",))
+    report = _report(df, keys, tuple(CODES), measures, _AMOUNTS, cells, ("collectDay",), wide)
     return _finished(report, [F.col(k) for k in keys], measures, packed, outer=True)
 
 
@@ -161,12 +162,12 @@ def _period_labels(station: list[str], legacy_label: bool) -> list[Column]:
 
 
 def exit_station_period(df: DataFrame, length: str = "10 minutes", event: str = "event_time", packed: bool = True,
-                        legacy_label: bool = False, legacy: bool = False) -> DataFrame:
+                        legacy_label: bool = False, legacy: bool = False, wide: bool = False) -> DataFrame:
     """Exit-station report per station and event-time period: 33 columns, matrices as `1|2` text. Table or stream."""
     keys = {"extollstationid": F.col("station_id"), "exTollStationName": F.col("station_name"),
             "window": times.tumbling(event, length)}
     measures = _exit_measures(legacy)
-    report = _report(df, keys, tuple(CODES), measures, _AMOUNTS)
+    report = _report(df, keys, tuple(CODES), measures, _AMOUNTS, wide=wide)
     return _finished(report, _period_labels(list(keys)[:2], legacy_label), measures, packed, outer=False)
 
 

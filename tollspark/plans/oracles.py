@@ -221,16 +221,18 @@ def _label(w: str, length: str) -> str:
     return f"strftime({w}, {_TS}) || ',' || strftime({w} + interval '{length}', {_TS})"
 
 
-def _exit_daily() -> str:
-    return f"""{views.ctes('v_exit')}
+def _exit_daily(view: str = "v_exit") -> str:
+    return f"""{views.ctes(view)}
 select station_id as extollstationid, station_name as exTollStationName, '{COLLECT_DAY}' as collectDay,
   strftime(event_day, '%Y-%m-%d') as eventDay, {_exit_columns(True)}
-from v_exit group by station_id, station_name, event_day"""
+from {view} group by station_id, station_name, event_day"""
 
 
-def _exit_period() -> str:
-    return f"""{views.ctes('v_exit_evt')}, rows_ as (select *, {_START10} as w from v_exit_evt)
-select station_id as extollstationid, station_name as exTollStationName, {_LEGACY.format(w='w')} as statisticDay,
+def _exit_period(length: str = "10 minutes") -> str:
+    label = _LEGACY.format(w="w") if length == "10 minutes" else _label("w", length)
+    return f"""{views.ctes('v_exit_evt')},
+rows_ as (select *, time_bucket(interval '{length}', event_ts) as w from v_exit_evt)
+select station_id as extollstationid, station_name as exTollStationName, {label} as statisticDay,
   {_exit_columns(False)}
 from rows_ group by station_id, station_name, w"""
 
@@ -311,11 +313,32 @@ _UPSERT = f"""select user_id, n, last_event, kind from (
   from events group by user_id, event_type) where r = 1"""
 
 _STREAM_PAIRS = f"""{views.ctes('v_etc', 'v_viu')}
-select e.trade_id, e.gantry_id, e.plate, e.trans_unix, v.pic_id, v.pic_unix from v_etc e join v_viu v on {_SAME}"""
+select e.trade_id, e.gantry_id, e.plate, e.trans_unix, v.pic_id, v.pic_unix from v_etc e left join v_viu v on {_SAME}"""
 
-_STREAM_LEFT = f"""{views.ctes('v_etc', 'v_viu')}
-select e.trade_id, e.plate, v.pic_id from v_etc e join v_viu v
+_LEFT = """from v_etc e left join v_viu v
   on v.plate = e.plate and v.pic_unix between e.trans_unix - 14400 and e.trans_unix + 14400"""
+_STREAM_LEFT = f"{views.ctes('v_etc', 'v_viu')} select e.trade_id, e.plate, v.pic_id {_LEFT}"
+_STREAM_LEFT_COUNT = f"""{views.ctes('v_etc', 'v_viu')}
+select strftime(date_trunc('day', make_timestamp(e.trans_unix * 1000000)), {_TS}) as window_start, count(*) as n {_LEFT}
+group by 1"""
+
+_SIDES = f"""{views.ctes('v_etc', 'v_viu')}
+select id, plate, gantry_id, strftime(make_timestamp(unix * 1000000), {_TS}) as at, unix from (
+  select trade_id as id, plate, gantry_id, trans_unix as unix from v_etc
+  union all select pic_id, plate, gantry_id, pic_unix from v_viu)"""
+
+_ISSUES_COLLECTED = f"""{views.ctes('v_issue')}
+select pos_id, strftime(event_day + interval '1 day', '%Y-%m-%d') as collectDay, strftime(event_day, '%Y-%m-%d') as eventDay,
+  {_count('card_type = 2 and oper_type = 82')} as chargeCardNum,
+  {_count('card_type = 1 and oper_type = 9')} as storeCardNum, {_count('card_type = 3 and oper_type = 65')} as obuNum
+from v_issue group by pos_id, event_day"""
+
+_BLANKS = f"""{views.ctes('v_gantry')}
+select trade_id, coalesce(special_type, '') as special, case when media_type = 2 then delay_s else 0 end as cpc_delay
+from v_gantry"""
+
+_LINES = """with pieces as (select unnest([event_type, cast(user_id as varchar)]) as value from events)
+select value, count(*) as n from pieces group by value"""
 
 
 def all_oracles() -> dict[str, str]:
@@ -410,8 +433,21 @@ select lpad(trade_id, 19, 'G') as id, plate, strftime(make_timestamp(trans_unix
         "stream_passthrough": "select event_id, event_type, props from events",
         "stream_interval_match": _STREAM_PAIRS,
         "stream_left_join": _STREAM_LEFT,
+        "stream_left_join_count": _STREAM_LEFT_COUNT,
+        "match_sides": _SIDES,
+        "issue_flow_collected": _ISSUES_COLLECTED,
+        "blank_or_zero": _BLANKS,
+        "epoch_times": "select event_id, epoch_us(ts) // 1000 as ms, cast(floor(epoch(ts)) as bigint) as s from events",
+        "line_stream": _LINES,
+        "dimension_scan": f"""{views.ctes('v_dim')}
+select mjid, roadid, tollstation, cast(null as varchar) as stationname from v_dim""",
+        "exit_station_10s": _exit_period("10 seconds"),
+        "exit_station_wide": _exit_daily("v_exit_large"),
+        "scan_partition_hour": """select strftime(ts, '%H') as hour, event_type, count(*) as n from events
+where strftime(ts, '%Y-%m-%d %H') = '2024-01-15 07' group by 1, 2""",
         "running_count": "select event_type, count(*) as n from events group by event_type",
         "pv_per_minute": _PV,
+        "pv_per_minute_windowed": _PV,
     }
     same = {
         "stream_gantry_timeliness": "gantry_timeliness_daily", "stream_picture_timeliness": "picture_timeliness_daily",

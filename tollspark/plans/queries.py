@@ -265,6 +265,18 @@ def exit_station_10min(spark, sf_dir):
     return reports.exit_station_period(views.view(spark, sf_dir, "v_exit_evt"), event="event_ts", legacy_label=True)
 
 
+@query
+def exit_station_10s(spark, sf_dir):
+    return reports.exit_station_period(views.view(spark, sf_dir, "v_exit_evt"), "10 seconds", event="event_ts")
+
+
+@query
+def exit_station_wide(spark, sf_dir):
+    """Every 97th order paid a thousandfold, so that amounts of a million and more are summed as well."""
+    rows = views.view(spark, sf_dir, "v_exit_large")
+    return reports.exit_station_daily(rows, F.lit(COLLECT_DAY), F.col("event_day").cast("string"), wide=True)
+
+
 @query
 def entrance_station_10min(spark, sf_dir):
     return reports.entrance_station_period(views.view(spark, sf_dir, "v_exit_evt"), event="event_ts")
@@ -285,6 +297,16 @@ def issue_flow_daily(spark, sf_dir):
     return _issues(spark, sf_dir)
 
 
+@query
+def issue_flow_collected(spark, sf_dir):
+    """Collection days from partition columns: cards are collected the day after the event."""
+    issues = views.view(spark, sf_dir, "v_issue")
+    day = F.date_add("event_day", 1)
+    parts = issues.select("*", *[F.date_format(day, fmt).alias(name)
+                                 for name, fmt in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))])
+    return reports.issue_flow_daily(parts, reports.collect_day_of(), F.col("event_day").cast("string"))
+
+
 @query
 def overwrite_partitions(spark, sf_dir):
     path = shared_folder(spark, "issue-flow")
@@ -432,6 +454,32 @@ def time_zone_parse(spark, sf_dir):
     return local.select("event_id", F.unix_seconds(times.parse_zoned("local")).alias("unix_s"))
 
 
+@query
+def epoch_times(spark, sf_dir):
+    return views.ev(spark, sf_dir).select("event_id", times.epoch_ms("event_ts").alias("ms"),
+                                          times.epoch_s("event_ts").alias("s"))
+
+
+@query
+def blank_or_zero(spark, sf_dir):
+    rows = views.view(spark, sf_dir, "v_gantry")
+    cpc = F.when(F.col("media_type") == 2, F.col("delay_s"))
+    return rows.select("trade_id", text.or_blank("special_type").alias("special"), text.or_zero(cpc).alias("cpc_delay"))
+
+
+@query
+def match_sides(spark, sf_dir):
+    """Charges and pictures as messages bring them, with their times as text, in the shape that the match takes."""
+    etc, viu = _sides(spark, sf_dir)
+
+    def iso(seconds: str) -> Column:
+        return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss")
+
+    left = sources.etc_view(etc.select("trade_id", "plate", "gantry_id", iso("trans_unix").alias("trans_time")))
+    right = sources.viu_view(viu.select("pic_id", "plate", "gantry_id", iso("pic_unix").alias("pic_time")))
+    return left.toDF("id", "plate", "gantry_id", "at", "unix").unionAll(right.toDF("id", "plate", "gantry_id", "at", "unix"))
+
+
 @query
 def period_label(spark, sf_dir):
     start = times.period_start("event_ts")
@@ -441,19 +489,50 @@ def period_label(spark, sf_dir):
 
 # --- sources and sinks that write and read back --------------------------------------------------------------------
 
-@query
-def scan_partition_day(spark, sf_dir):
+def _ods(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
     path = shared_folder(spark, "ods")
     rows = views.ev(spark, sf_dir).select("event_id", "event_type", *[
         F.date_format("event_ts", fmt).alias(name)
         for name, fmt in (("hour", "HH"), ("year", "yyyy"), ("month", "MM"), ("day", "dd"))])
-    sinks.overwrite_partitions(rows, path, ["year", "month", "day"])
-    ods = spark.read.schema("event_id bigint, event_type string, hour string, year string, month string, day string") \
-               .parquet(path)
+    sinks.overwrite_partitions(rows, path, columns)
+    return spark.read.schema("event_id bigint, event_type string, hour string, year string, month string, day string") \
+                .parquet(path)
+
+
+@query
+def scan_partition_day(spark, sf_dir):
+    ods = _ods(spark, sf_dir, ["year", "month", "day"])
     day = sources.scan_partition(spark, ods, "2024", "01", "15")
     return day.groupBy("hour", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def scan_partition_hour(spark, sf_dir):
+    ods = _ods(spark, sf_dir, ["year", "month", "day", "hour"])
+    hour = sources.scan_partition(spark, ods, "2024", "01", "15", "07")
+    return hour.groupBy("hour", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def dimension_scan(spark, sf_dir):
+    """The dimension with more columns than are read; those that the suppliers lack are null."""
+    path = shared_folder(spark, "dim")
+    dim = views.view(spark, sf_dir, "v_dim")
+    missing = [F.lit(None).cast("string").alias(c) for c in records.DIMENSION_COLUMNS if c not in dim.columns]
+    dim.select("*", *missing, F.lit("x").alias("unread")).write.parquet(path)
+    return sources.read_dim(spark, path).select("mjid", "roadid", "tollstation", "stationname")
+
+
+@query
+def line_stream(spark, sf_dir):
+    """Text lines as a stream, counted as they come."""
+    path = shared_folder(spark, "lines")
+    views.table(spark, sf_dir, "events").select(F.concat_ws(" ", "event_type", "user_id").alias("value")) \
+        .write.text(path)
+    counts = summary.token_count(sources.read_lines(spark, path), "value", " ")
+    return _replay(counts, ["value"])
+
+
 @query
 def plate_log(spark, sf_dir):
     path = shared_folder(spark, "plate-log")
@@ -623,49 +702,91 @@ def stream_passthrough(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-def _stream_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    etc = views.over("v_etc", _events_stream(spark, sf_dir))
-    viu = views.over("v_viu", _events_stream(spark, sf_dir))
-    return (etc.withColumn("trans_time", F.timestamp_seconds("trans_unix")),
-            viu.withColumn("pic_time", F.timestamp_seconds("pic_unix")))
-
-
-def _appended(df: DataFrame, label: str) -> DataFrame:
-    spark, path = df.sparkSession, shared_folder(df.sparkSession, label)
-    with runs.rocksdb_state(spark), runs.started_with(spark, state_partitions(spark)):
-        run = runs.passthrough(df, path, shared_folder(spark, "stream-checkpoint"))
-    run.awaitTermination()
-    return spark.read.schema(df.schema).parquet(path)
+def _event_slices(spark: SparkSession, sf_dir: str, slices: int = 3) -> list[DataFrame]:
+    """The events in slices of time, in order, and then a closing charge and picture of two users of their own, ten days
+    after the last, which take the watermark of both sides past all others and stay in the state themselves."""
+    events = views.table(spark, sf_dir, "events")
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(seconds), F.max(seconds)).first()
+    if first is None:
+        return [events]
+    at = F.least(F.floor((seconds - first) * slices / (last - first + 1)), F.lit(slices - 1))
+    parts = [events.where(F.coalesce(at, F.lit(0)) == i) for i in range(slices)]
+    both = events.agg((F.max("ts") + F.expr("interval 10 days")).alias("ts")).select(
+        "ts", F.lit("0").alias("props"), F.inline(F.expr("array(named_struct('event_type', 'purchase', 'user_id', -1), "
+                                                         "named_struct('event_type', 'view', 'user_id', -2))")))
+    closing = both.select(*[(F.col(c) if c in both.columns else F.lit(None)).cast(events.schema[c].dataType).alias(c)
+                            for c in events.columns])
+    return [*parts, closing]
+
+
+def _joined_stream(spark: SparkSession, sf_dir: str, label: str,
+                   build: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """What `build` makes of the streams of charges and pictures, which arrive slice by slice, each slice in a run of its
+    own from one checkpoint."""
+    source, path, checkpoint = (shared_folder(spark, name) for name in (f"{label}-events", label, f"{label}-checkpoint"))
+    out = None
+    for part in _event_slices(spark, sf_dir):
+        part.write.mode("append").parquet(source)
+        if out is None:
+            events = sources.stream_table(spark, source, part.schema)
+            etc, viu = (views.over(name, events) for name in ("v_etc", "v_viu"))
+            out = build(etc.withColumn("trans_time", F.timestamp_seconds("trans_unix")),
+                        viu.withColumn("pic_time", F.timestamp_seconds("pic_unix")))
+        with runs.rocksdb_state(spark), runs.started_with(spark, state_partitions(spark)):
+            run = runs.passthrough(out, path, checkpoint)
+        run.awaitTermination()
+    return spark.read.schema(out.schema).parquet(path)
 
 
 @query
 def stream_interval_match(spark, sf_dir):
-    """Matched pairs; transactions without picture appear as the watermark passes and are left out here."""
-    pairs = stream_join.stream_interval_match(*_stream_sides(spark, sf_dir), MATCH["on"], "trans_time", "pic_time",
-                                              TOLERANCE)
-    return _appended(pairs, "stream-match").where(F.col("pic_id").isNotNull()) \
+    """Pairs of charges and pictures, and the charges without picture, which follow once the watermark has passed them."""
+    def build(etc: DataFrame, viu: DataFrame) -> DataFrame:
+        return stream_join.stream_interval_match(etc, viu, MATCH["on"], "trans_time", "pic_time", TOLERANCE)
+
+    return _joined_stream(spark, sf_dir, "stream-match", build) \
         .select("trade_id", "gantry_id", "plate", "trans_unix", "pic_id", "pic_unix")
 
 
+def _left_joined(etc: DataFrame, viu: DataFrame) -> DataFrame:
+    return stream_join.stream_left_join(etc, viu.drop("gantry_id"), ["plate"], "trans_time", "pic_time", within="4 hours")
+
+
 @query
 def stream_left_join(spark, sf_dir):
-    """Pictures of the same plate within four hours, on the plate alone; matched pairs as above."""
-    etc, viu = _stream_sides(spark, sf_dir)
-    pairs = stream_join.stream_left_join(etc, viu.drop("gantry_id"), ["plate"], "trans_time", "pic_time",
-                                         within="4 hours")
-    return _appended(pairs, "stream-left-join").where(F.col("pic_id").isNotNull()).select("trade_id", "plate", "pic_id")
+    """Pictures of the same plate within four hours, on the plate alone; charges without one follow as above."""
+    return _joined_stream(spark, sf_dir, "stream-left-join", _left_joined).select("trade_id", "plate", "pic_id")
 
 
 @query
-def running_count(spark, sf_dir):
-    """Occurrences of each event type, kept in state that no pause of a replay outlasts."""
-    counts = stateful.running_count(_events_stream(spark, sf_dir), "event_type", timeout_seconds=86400)
-    return _replay(counts, ["event_type"])
+def stream_left_join_count(spark, sf_dir):
+    """Rows of the left join per day, counted in the same stream."""
+    return _joined_stream(spark, sf_dir, "stream-join-count",
+                          lambda etc, viu: stream_join.joined_count(_left_joined(etc, viu), "trans_time"))
 
 
 @query
-def pv_per_minute(spark, sf_dir):
+def running_count(spark, sf_dir):
+    """Occurrences of each event type, with the idle timeout of 30 seconds; sessions that a pause ends are added up."""
+    counts = stateful.running_count(_events_stream(spark, sf_dir), "event_type", sessions=True)
+    return stateful.session_totals(_replay(counts, ["event_type", "session"]), ["event_type"], "n")
+
+
+def _page_view_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = _page_views(spark, _events_stream(spark, sf_dir))
     flat = decoding.decode_with_schema_json(messages, PAGE_VIEW_SCHEMA, required=[])
-    flat = flat.withColumn("timestamp", times.parse_zoned("eventTime"))
-    return _replay(stateful.pv_per_minute(flat, timeout_seconds=86400), ["minute", "userID"])
+    return flat.withColumn("timestamp", times.parse_zoned("eventTime"))
+
+
+@query
+def pv_per_minute(spark, sf_dir):
+    """Page views with the idle timeout of 10 seconds; sessions that a pause ends are added up."""
+    counts = stateful.pv_per_minute(_page_view_stream(spark, sf_dir), sessions=True)
+    return stateful.session_totals(_replay(counts, ["minute", "userID", "session"]), ["minute", "userID"], "pv")
+
+
+@query
+def pv_per_minute_windowed(spark, sf_dir):
+    stream = runs.with_lateness(_page_view_stream(spark, sf_dir), "timestamp")
+    return _replay(stateful.pv_per_minute_windowed(stream), ["minute", "userID"])

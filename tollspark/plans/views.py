@@ -64,6 +64,18 @@ select concat('S', cast(l_suppkey as string)) as station_id, concat('Station ',
   case when l_orderkey % 11 = 0 then null else cast(l_extendedprice as decimal(10,4)) end as fee,
   cast(cast(l_extendedprice as decimal(10,4)) * cast(l_discount as decimal(10,4)) as decimal(10,4)) as discount_fee,
   l_linenumber % 2 as multi_province, l_partkey % 8 as pay_type, l_orderkey % 12 as actual_fee_class
+from {src}"""),
+    "v_exit_large": ("lineitem", """
+select concat('S', cast(l_suppkey as string)) as station_id, concat('Station ', cast(l_suppkey as string)) as station_name,
+  cast(l_shipdate as date) as event_day,
+  case when l_quantity >= 50 then 9 when l_quantity >= 49 then 4 when l_returnflag = 'A' then 1
+    when l_returnflag = 'R' then 2 else 3 end as media_type,
+  l_linenumber as vehicle_type, case when l_partkey % 2 = 0 then 0 else 8 end as vehicle_class,
+  case when l_linestatus = 'O' then 1 else 2 end as sign_status,
+  case when l_orderkey % 97 = 0 then cast(l_extendedprice as decimal(10,2)) * 1000
+    else cast(l_extendedprice as decimal(10,2)) end as fee,
+  cast(null as decimal(10,4)) as discount_fee,
+  l_linenumber % 2 as multi_province, l_partkey % 8 as pay_type, l_orderkey % 12 as actual_fee_class
 from {src}"""),
     "v_exit_evt": ("ev", """
 select concat('S', cast(user_id % 25 as string)) as station_id,

@@ -15,18 +15,44 @@ def with_text_nulls(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("null")).alias(c) for c in df.columns])
 
 
+class _Folder:
+    """Sub-folders of a table by batch id, in whatever store Spark reaches by the path."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self.path, self._fs = path, self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def batches(self) -> dict[int, str]:
+        """Finished batches: those whose writer left its success mark."""
+        if not self._fs.exists(self._path(self.path)):
+            return {}
+        names = [entry.getPath().getName() for entry in self._fs.listStatus(self._path(self.path))]
+        found = {int(name.split("=")[1]): f"{self.path}/{name}" for name in names if name.startswith(f"{BATCH}=")}
+        return {i: path for i, path in sorted(found.items()) if self._fs.exists(self._path(f"{path}/_SUCCESS"))}
+
+    def bytes(self, paths: list[str]) -> int:
+        return sum(self._fs.getContentSummary(self._path(path)).getLength() for path in paths)
+
+    def remove(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)
+
+
 class Upsert:
     """Keyed replace-into of batches into a Parquet table; pass `write` to foreachBatch.
 
     Each batch is written beside the earlier ones under its batch id, so a batch costs what it holds and a repeated
-    batch overwrites itself. `read` returns the newest row per key, `compact` rewrites that into a new table.
+    batch overwrites itself. `read` returns the newest row per key. Once there are `merge_after` batches that weigh no
+    less than the last merge, `write` merges them with it, so over time a row is rewritten a bounded number of times and
+    a read costs little more than the live rows. What a merge replaces is kept until the next one, for readers that are
+    still at it. `compact` rewrites the live rows into a table elsewhere.
     Failures propagate, so a stream never moves past a batch it could not write. Batch ids come from the checkpoint:
-    a stream that starts over with a new checkpoint needs a new table as well.
+    a stream that starts over with a new checkpoint needs a new table as well. One writer at a time.
     """
 
     def __init__(self, path: str, keys: list[str], legacy_nulls: bool = False, files: int | None = None,
-                 order: list[str] | None = None):
+                 order: list[str] | None = None, merge_after: int = 16):
         self.path, self.keys, self.legacy_nulls, self.files, self.order = path, keys, legacy_nulls, files, order
+        self.merge_after = merge_after
 
     def write(self, batch: DataFrame, batch_id: int = 0) -> None:
         """`order` decides between rows of one batch with the same key, where a batch can hold several."""
@@ -36,15 +62,41 @@ class Upsert:
             batch = with_text_nulls(batch)
         if self.files is not None:
             batch = batch.repartition(self.files)  # coalesce would take the parallelism of the aggregate as well
-        batch.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{self.path}/part=new/{BATCH}={batch_id}")
+        self._merge(batch.sparkSession)
+
+    def _layout(self, spark: SparkSession) -> tuple[_Folder, _Folder, int, list[str], list[str]]:
+        """Both folders, the batch of the last merge (-1 for none), its path in a list, and the paths of newer batches."""
+        merged, new = _Folder(spark, f"{self.path}/part=merged"), _Folder(spark, f"{self.path}/part=new")
+        bases = merged.batches()
+        last = max(bases, default=-1)
+        return merged, new, last, [bases[last]] if bases else [], [p for i, p in new.batches().items() if i > last]
+
+    def _rows(self, spark: SparkSession, paths: list[str]) -> DataFrame:
+        return spark.read.option("basePath", self.path).parquet(*paths).drop("part")
+
+    def _merge(self, spark: SparkSession) -> None:
+        merged, new, last, base, fresh = self._layout(spark)
+        if len(fresh) < self.merge_after or new.bytes(fresh) < merged.bytes(base):
+            return
+        newest = max(new.batches())
+        rows = latest_by_key(self._rows(spark, base + fresh), self.keys, [BATCH]).drop(BATCH)
+        rows.write.mode("overwrite").parquet(f"{merged.path}/{BATCH}={newest}")
+        # The last merge and the batches after it stay for readers that began before this one.
+        for folder, before in ((merged, last), (new, last + 1)):
+            for batch_id, path in folder.batches().items():
+                if batch_id < before:
+                    folder.remove(path)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return latest_by_key(spark.read.parquet(self.path), self.keys, [BATCH]).drop(BATCH)
+        *_, base, fresh = self._layout(spark)
+        return latest_by_key(self._rows(spark, base + fresh), self.keys, [BATCH]).drop(BATCH)
 
     def compact(self, spark: SparkSession, path: str) -> Upsert:
         """The current rows as a new table that carries on after the last batch."""
-        last = spark.read.parquet(self.path).agg(F.max(BATCH)).first()[0]
-        fresh = Upsert(path, self.keys, False, self.files)
+        _, new, last, *_ = self._layout(spark)
+        last = max([last, *new.batches()])
+        fresh = Upsert(path, self.keys, False, self.files, merge_after=self.merge_after)
         fresh.write(self.read(spark), last)
         fresh.legacy_nulls, fresh.order = self.legacy_nulls, self.order
         return fresh

@@ -30,6 +30,13 @@ def stream_interval_match(left: DataFrame, right: DataFrame, on: list[str], lt:
     return joined.drop("_slot", "_r_slot", *[f"_r_{k}" for k in on])
 
 
+def joined_count(pairs: DataFrame, time: str, length: str = "1 day") -> DataFrame:
+    """Number of joined rows, those without partner included, per window of the left time `time`; a window follows once
+    the watermark has passed it."""
+    counts = pairs.groupBy(F.window(time, length).alias("window")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(F.col("window.start").alias("window_start"), "n")
+
+
 def stream_left_join(left: DataFrame, right: DataFrame, on: list[str], lt: str, rt: str, within: str = "1 hour",
                      delay: str = "1 day") -> DataFrame:
     """Left outer equi-join of two streams. `within` bounds how far apart partners may be in event time; without such

@@ -1,4 +1,4 @@
-"""Keyed state with an idle timeout. These two are the package's only Python operators.
+"""Keyed state with an idle timeout. `keyed_count` and what is made of it are the package's only Python operators.
 
 Rows are counted per key inside each Arrow batch before the shuffle, so what a busy key sends to its one state row is
 a partial count per batch and not its rows.
@@ -24,35 +24,57 @@ def _partial_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*keys).mapInPandas(count, schema)
 
 
-def keyed_count(df: DataFrame, keys: list[str], timeout_ms: int, name: str) -> DataFrame:
+def keyed_count(df: DataFrame, keys: list[str], timeout_ms: int, name: str, sessions: bool = False) -> DataFrame:
     """Running count per key in update mode. A key idle for `timeout_ms` of processing time loses its state and
-    starts again from zero."""
+    starts again from zero.
+
+    `sessions` adds the column `session`, the processing time in milliseconds at which the key's state began (a batch
+    that is repeated has the same). Upsert by key and session then, and no stored count ever goes down: a key's total is
+    the sum over its sessions, see `session_totals`.
+    """
     fields = [df.schema[k] for k in keys]
-    out = T.StructType([*fields, T.StructField(name, T.LongType())])
-    state_schema = T.StructType([T.StructField("n", T.LongType())])
+    names = ["session", name] if sessions else [name]
+    out = T.StructType([*fields, *[T.StructField(n, T.LongType()) for n in names]])
+    state_schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("session", T.LongType())])
 
     def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        total = (state.get[0] if state.exists else 0) + sum(int(part["_n"].sum()) for part in parts)
-        state.update((total,))
+        before, session = state.get if state.exists else (0, state.getCurrentProcessingTimeMs())
+        total = before + sum(int(part["_n"].sum()) for part in parts)
+        state.update((total, session))
         state.setTimeoutDuration(timeout_ms)
-        yield pd.DataFrame([[*key, total]], columns=out.fieldNames())
+        yield pd.DataFrame([[*key, *([session] if sessions else []), total]], columns=out.fieldNames())
 
     return _partial_counts(df, keys).groupBy(*keys).applyInPandasWithState(
         update, out, state_schema, "update", GroupStateTimeout.ProcessingTimeTimeout)
 
 
-def running_count(df: DataFrame, key: str, timeout_seconds: int = 30) -> DataFrame:
+def session_totals(counts: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Totals per key over all sessions of a table of session counts."""
+    return counts.groupBy(*keys).agg(F.sum(name).alias(name))
+
+
+def running_count(df: DataFrame, key: str, timeout_seconds: int = 30, sessions: bool = False) -> DataFrame:
     """Running number of occurrences of each `key`."""
-    return keyed_count(df, [key], timeout_seconds * 1000, "n")
+    return keyed_count(df, [key], timeout_seconds * 1000, "n", sessions)
 
 
 def pv_per_minute(df: DataFrame, event: str = "timestamp", user: str = "userID", kind: str | None = "eventType",
-                  timeout_seconds: int = 10) -> DataFrame:
+                  timeout_seconds: int = 10, sessions: bool = False) -> DataFrame:
     """Page views per (minute, user); rows lacking time, user or event type are left out."""
     needed = [event, user, *([kind] if kind else [])]
     rows = df.dropna(subset=needed).select(F.date_format(event, "yyyy-MM-dd HH:mm").alias("minute"),
                                            F.col(user).cast("string").alias("userID"))
-    return keyed_count(rows, ["minute", "userID"], timeout_seconds * 1000, "pv")
+    return keyed_count(rows, ["minute", "userID"], timeout_seconds * 1000, "pv", sessions)
+
+
+def pv_per_minute_windowed(df: DataFrame, event: str = "timestamp", user: str = "userID",
+                           kind: str | None = "eventType") -> DataFrame:
+    """`pv_per_minute` as a native count per event-time window: state goes with the watermark of `event`, if it has one,
+    and no count ever starts again. Table or stream."""
+    needed = [event, user, *([kind] if kind else [])]
+    counts = df.dropna(subset=needed).groupBy(F.window(event, "1 minute").alias("window"),
+                                              F.col(user).cast("string").alias("userID")).agg(F.count(F.lit(1)).alias("pv"))
+    return counts.select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("minute"), "userID", "pv")
