@@ -66,6 +66,17 @@ def test_flow_fills_quotas_at_least_cost(sizes, quotas):
     assert sum(cost(p, w) for p, w in taken.items()) == least
 
 
+def test_flow_over_very_many_patterns():
+    """Twice the words of 2509 patterns of one size are wanted: quotas fill, no pattern takes a third pass."""
+    sources = [f"s{i}" for i in range(12)]
+    names = [p for n in (1, 2, 3, 4, 5, 6) for p in itertools.combinations(sources, n)][:3000]
+    patterns = dict.fromkeys(names, 7)
+    quota = 2 * 7 * len(names) // 12
+    taken = mixing.route(patterns, dict.fromkeys(sources, quota), 3)
+    assert sum(taken.values()) == 12 * quota and max(taken.values()) <= 14
+    assert taken == mixing.route(patterns, dict.fromkeys(sources, quota), 3)
+
+
 def test_targets_stop_at_the_limit_and_share_the_rest():
     found = mixing.targets({"a": 10, "b": 1000, None: 1000}, {"a": 1, "b": 2, None: 3}, 2010, 3)
     assert found["a"] == 30 and found["b"] == pytest.approx(1980 * 2 / 5) and found[None] == pytest.approx(1980 * 3 / 5)

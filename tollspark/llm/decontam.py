@@ -152,15 +152,18 @@ class Automaton:
         return spans, found
 
 
-def automata(items: DataFrame, window: int, max_words: int) -> list[Automaton]:
-    """One automaton, or several if the items (item_id, text) have more than `max_words` words."""
+def automata(items: DataFrame, window: int, max_words: int) -> Iterator[tuple[Automaton, bool]]:
+    """One automaton, or several, built one after another, if the items (item_id, text) have more than `max_words`
+    words; each with whether it is the last."""
     items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where(F.col("text").isNotNull())
     size = F.length(F.regexp_replace("text", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "w"))  # no fewer than its words
     total = items.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     parts = max(1, math.ceil(total / max_words))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
-    return [Automaton(sorted(((row.item_id, row.text) for row in items.where(part == i).collect()),
-                             key=lambda item: (item[0] or "", item[1])), window) for i in range(parts)]
+    for i in range(parts):
+        rows = items.where(part == i).collect()
+        yield Automaton(sorted(((row.item_id, row.text) for row in rows), key=lambda item: (item[0] or "", item[1])),
+                        window), i + 1 == parts
 
 
 def _merged(spans: list[list[int]]) -> list[list[int]]:
@@ -187,10 +190,8 @@ def find(documents: DataFrame, items: DataFrame, keep: list[str], window: int =
                             F.col("text").cast("binary").alias("body"))
     rows = rows.select("*", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<int>>").alias("spans"),
                        F.array().cast("array<string>").alias("items"))
-    built = automata(items, window, max_words)
-    for i, automaton in enumerate(built):
+    for automaton, last in automata(items, window, max_words):
         held = spark.sparkContext.broadcast(automaton)
-        last = i + 1 == len(built)
 
         def scan(batches: Iterator[pa.RecordBatch], held=held, last=last) -> Iterator[pa.RecordBatch]:
             def make(batch: pa.RecordBatch) -> dict:
@@ -209,6 +210,7 @@ def find(documents: DataFrame, items: DataFrame, keep: list[str], window: int =
         rows = rows.mapInArrow(scan, widened(rows, places[:-1] if last else places, _FOUND))
         if not last:
             rows = staged(rows, "decontam")
+            held.destroy()  # what was found is written: the next automaton takes its place
     return rows.toDF(*keep, "n_words", "spans", "items")
 
 

@@ -17,6 +17,7 @@ are documents of their own. Without documents the result is empty.
 from __future__ import annotations
 
 import json
+import math
 from collections import deque
 from collections.abc import Callable
 
@@ -56,37 +57,85 @@ def targets(sizes: dict[Source, int], weights: dict[Source, int], total: int, re
         fixed |= {source: repeats * sizes[source] for source in above}
 
 
-def min_cost_flow(arcs: list[tuple[int, int, int, int]], start: int, end: int) -> list[int]:
-    """Flow on each arc (from, to, capacity, cost) of a largest flow of least cost, by successive shortest paths."""
-    to, room, price, out = [], [], [], {}
-    for a, b, capacity, cost in arcs:
-        for x, y, c, p in ((a, b, capacity, cost), (b, a, 0, -cost)):
-            out.setdefault(x, []).append(len(to))
-            to.append(y)
-            room.append(c)
-            price.append(p)
-    while True:
-        best, via, queue, queued = {start: 0}, {}, deque([start]), {start}
+class _Network:
+    """Arcs in pairs, each beside the one that takes its flow back."""
+
+    def __init__(self, arcs: list[tuple[int, int, int, int]]):
+        self.to, self.room, self.price, self.out = [], [], [], {}
+        for a, b, capacity, cost in arcs:
+            for x, y, c, p in ((a, b, capacity, cost), (b, a, 0, -cost)):
+                self.out.setdefault(x, []).append(len(self.to))
+                self.to.append(y)
+                self.room.append(c)
+                self.price.append(p)
+
+    def distances(self, start: int) -> dict[int, int]:
+        """Cost of the cheapest way to every node that can still be reached."""
+        best, queue, queued = {start: 0}, deque([start]), {start}
         while queue:
             node = queue.popleft()
             queued.discard(node)
-            for arc in out.get(node, ()):
-                reach = best[node] + price[arc]
-                if room[arc] and reach < best.get(to[arc], float("inf")):
-                    best[to[arc]], via[to[arc]] = reach, arc
-                    if to[arc] not in queued:
-                        queue.append(to[arc])
-                        queued.add(to[arc])
-        if end not in via:
-            return [room[2 * i + 1] for i in range(len(arcs))]
-        path, node = [], end
-        while node != start:
-            path.append(via[node])
-            node = to[via[node] ^ 1]
-        pushed = min(room[arc] for arc in path)
-        for arc in path:
-            room[arc] -= pushed
-            room[arc ^ 1] += pushed
+            for arc in self.out.get(node, ()):
+                other, reach = self.to[arc], best[node] + self.price[arc]
+                if self.room[arc] and reach < best.get(other, math.inf):
+                    best[other] = reach
+                    if other not in queued:
+                        queue.append(other)
+                        queued.add(other)
+        return best
+
+    def levels(self, start: int, cheapest: dict[int, int]) -> dict[int, int]:
+        """Number of arcs to every node on ways of least cost."""
+        level, queue = {start: 0}, deque([start])
+        while queue:
+            node = queue.popleft()
+            for arc in self.out.get(node, ()):
+                other = self.to[arc]
+                if self.room[arc] and other not in level and cheapest[other] == cheapest[node] + self.price[arc]:
+                    level[other] = level[node] + 1
+                    queue.append(other)
+        return level
+
+    def block(self, start: int, end: int, cheapest: dict[int, int], level: dict[int, int]) -> None:
+        """Fill the ways of least cost and fewest arcs, one after the other, until each has a full arc."""
+        tried, path, node = dict.fromkeys(level, 0), [], start
+        while True:
+            if node == end:
+                pushed = min(self.room[arc] for arc in path)
+                for arc in path:
+                    self.room[arc] -= pushed
+                    self.room[arc ^ 1] += pushed
+                full = next(i for i, arc in enumerate(path) if not self.room[arc])
+                node = self.to[path[full] ^ 1]
+                del path[full:]
+            arcs = self.out[node]
+            while tried[node] < len(arcs):
+                arc = arcs[tried[node]]
+                other = self.to[arc]
+                if self.room[arc] and level.get(other) == level[node] + 1 \
+                        and cheapest[other] == cheapest[node] + self.price[arc]:
+                    path.append(arc)
+                    node = other
+                    break
+                tried[node] += 1
+            else:
+                if not path:
+                    return
+                node = self.to[path.pop() ^ 1]
+                tried[node] += 1
+
+
+def min_cost_flow(arcs: list[tuple[int, int, int, int]], start: int, end: int) -> list[int]:
+    """Flow on each arc (from, to, capacity, cost) of a largest flow of least cost.
+
+    All ways of one cost are filled together before the next cost, so the number of phases is the number of different
+    costs, which the repetition costs keep small however many patterns there are.
+    """
+    network = _Network(arcs)
+    while end in (cheapest := network.distances(start)):
+        while end in (level := network.levels(start, cheapest)):
+            network.block(start, end, cheapest, level)
+    return [network.room[2 * i + 1] for i in range(len(arcs))]
 
 
 def route(patterns: dict[tuple[Source, ...], int], quotas: dict[Source, int], repeats: int) -> dict[tuple, int]:
@@ -120,6 +169,7 @@ def mix(documents: DataFrame, membership: Column, keep: list[str], repeats: int
                             size_of(F.col("text")).alias("size"), order.alias("h"))
     rows = staged(rows.withColumn("bucket", F.substring("h", 1, 3)), "mix")
     found = rows.groupBy("pattern").agg(F.sum("size").alias("size")).limit(max_patterns + 1).collect()
+    found.sort(key=lambda row: row.pattern)  # of several flows of least cost, reruns choose the same
     if len(found) > max_patterns:
         raise ValueError(f"more than {max_patterns} membership patterns; group rare sources first")
     sizes = {tuple(json.loads(row.pattern)): row.size for row in found}
