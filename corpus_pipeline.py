@@ -6,22 +6,21 @@ columns doc_id, text, source and n_chars; a missing n_chars is not added.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollspark.llm import decontam, linedup, mixing, quality, simhash
 from tollspark.llm.common import staged, table
 
 
-def _with_text(rows: DataFrame, documents: DataFrame) -> DataFrame:
-    """The columns of `documents` from rows of (row, text), with the new text and its length."""
+def _with_text(rows: DataFrame, documents: DataFrame, changed: Column) -> DataFrame:
+    """The columns of `documents` from rows of (row, text), with the new text and, where it has changed, its length."""
     def value(name: str):
         if name == "text":
             return F.col("text")
         if name == "n_chars":
             length = F.char_length("text").cast(documents.schema[name].dataType)
-            return F.when(F.col("text").eqNullSafe(F.col("row").getField("text")), F.col("row").getField(name)) \
-                .otherwise(length).alias(name)
+            return F.when(changed, length).otherwise(F.col("row").getField(name)).alias(name)
         return F.col("row").getField(name).alias(name)
     return rows.select(*map(value, documents.columns))
 
@@ -39,7 +38,7 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = linedup.dedup_lines(docs)
     stays = F.col("text").isNull() | (F.btrim("text", F.lit(" \t\n\x0b\f\r")) != "") \
         | (F.btrim(F.col("row").getField("text"), F.lit(" \t\n\x0b\f\r")) == "")
-    return _with_text(found.where(stays), docs)
+    return _with_text(found.where(stays), docs, ~F.col("text").eqNullSafe(F.col("row").getField("text")))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +54,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of the benchmark; a document that is benchmark for more than half of its words goes."""
-    return _with_text(decontam.clean(docs, table(spark, sf_dir, "benchmark")), docs)
+    return _with_text(decontam.clean(docs, table(spark, sf_dir, "benchmark")), docs, F.col("changed"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

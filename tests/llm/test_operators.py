@@ -84,6 +84,10 @@ def test_decontamination(spark, max_words):
     kept = decontam.clean(docs.where("doc_id is null or doc_id != 1"), items, max_words=max_words).collect()
     assert sorted((row.row.doc_id or 0, row.text or "") for row in kept) == [
         (3, ""), (4, ""), (5, "clean text"), (5, "clean text")]
+    long = frame(spark, [(1, "x A b, c d e f g h i J y" + " z" * 20), (2, "clean")]).withColumn("a.b", F.lit(7))
+    kept = {row.row.doc_id: row for row in decontam.clean(long, items, max_words=max_words).collect()}
+    assert kept[1].text == "x  y" + " z" * 20 and kept[1].changed and not kept[2].changed
+    assert kept[2].text == "clean" and kept[2].row["a.b"] == 7
     assert decontam.find(docs, items.limit(0), ["doc_id"]).where("size(spans) > 0").count() == 0
     assert decontam.find(docs.limit(0), items, ["doc_id"]).count() == 0
 

@@ -14,6 +14,7 @@ from tollspark.session import shared_folder
 #: A word of the contracts that split on ASCII white space.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
+_SLICE = 1024  # rows
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -38,11 +39,14 @@ def column(batch: pa.RecordBatch, name: str) -> list:
 
 
 def batches_with(batches: Iterator[pa.RecordBatch], keep: list[str], make) -> Iterator[pa.RecordBatch]:
-    """Pass the columns `keep` through and add those that `make(batch)` returns as {name: arrow array}."""
+    """Pass the columns `keep` through and add those that `make(batch)` returns as {name: arrow array}. Batches come in
+    slices, so that few whole texts are Python objects at a time."""
     for batch in batches:
-        made = make(batch)
-        columns = [batch.column(batch.schema.get_field_index(name)) for name in keep] + list(made.values())
-        yield pa.RecordBatch.from_arrays(columns, names=keep + list(made))
+        for begin in range(0, batch.num_rows, _SLICE):
+            part = batch.slice(begin, _SLICE)
+            made = make(part)
+            columns = [part.column(part.schema.get_field_index(name)) for name in keep] + list(made.values())
+            yield pa.RecordBatch.from_arrays(columns, names=keep + list(made))
 
 
 def bounded(df: DataFrame, rows: int) -> bool:

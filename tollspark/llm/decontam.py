@@ -176,16 +176,32 @@ def _merged(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
+def cut(text: str | bytes | None, spans: list[list[int]], min_words: int) -> str | None:
+    """The text without the spans of `min_words` words and more, from their first to their last character."""
+    if text is None:
+        return None
+    data = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text
+    spans = [span for span in spans if span[1] - span[0] >= min_words]
+    if spans:
+        places = [found.span() for found in _WORD.finditer(data)]
+        parts, at = [], 0
+        for begin, end in spans:
+            parts.append(data[at:places[begin][0]])
+            at = places[end - 1][1]
+        parts.append(data[at:])
+        data = b"".join(parts)
+    return data.decode("utf-8", "surrogatepass")
+
+
 _FOUND = "n_words long, spans array<array<int>>, items array<string>"
 
 
-def find(documents: DataFrame, items: DataFrame, keep: list[str], window: int = 10,
-         max_words: int = 300_000) -> DataFrame:
-    """The columns `keep` of every document (text read as column `text`) with `n_words`, `spans` of hit words and the
-    `items` hit, sorted."""
+def _scanned(documents: DataFrame, items: DataFrame, keep: list[str], window: int, max_words: int,
+             min_words: int | None = None) -> DataFrame:
+    """Columns by place (c0, c1, ... for `keep`, so that no name of the input can clash), n_words, spans and items; and
+    the text without its spans of `min_words` words, if given, cut in the same pass, so that a text is handed over once."""
     spark = documents.sparkSession
-    # Columns by place, so that no name of the input can clash.
-    places = [f"c{i}" for i in range(len(keep))] + ["body"]
+    places = [f"c{i}" for i in range(len(keep))]
     rows = documents.select(*[F.col(name).alias(f"c{i}") for i, name in enumerate(keep)],
                             F.col("text").cast("binary").alias("body"))
     rows = rows.select("*", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<int>>").alias("spans"),
@@ -195,7 +211,7 @@ def find(documents: DataFrame, items: DataFrame, keep: list[str], window: int =
 
         def scan(batches: Iterator[pa.RecordBatch], held=held, last=last) -> Iterator[pa.RecordBatch]:
             def make(batch: pa.RecordBatch) -> dict:
-                sizes, spans, items = [], [], []
+                sizes, spans, items, texts = [], [], [], []
                 for body, old_spans, old_items in zip(column(batch, "body"), column(batch, "spans"),
                                                       column(batch, "items"), strict=True):
                     words = words_of(body)
@@ -203,44 +219,37 @@ def find(documents: DataFrame, items: DataFrame, keep: list[str], window: int =
                     sizes.append(len(words))
                     spans.append(_merged(old_spans + new_spans))
                     items.append(sorted(new_items.union(old_items)))
-                return {"n_words": pa.array(sizes, pa.int64()), "spans": pa.array(spans, pa.list_(pa.list_(pa.int32()))),
+                    if last and min_words is not None:
+                        texts.append(cut(body, spans[-1], min_words))
+                made = {"n_words": pa.array(sizes, pa.int64()), "spans": pa.array(spans, pa.list_(pa.list_(pa.int32()))),
                         "items": pa.array(items, pa.list_(pa.string()))}
-            return batches_with(batches, places[:-1] if last else places, make)
+                return made | ({"text": pa.array(texts, pa.string())} if last and min_words is not None else {})
+            return batches_with(batches, places if last else [*places, "body"], make)
 
-        rows = rows.mapInArrow(scan, widened(rows, places[:-1] if last else places, _FOUND))
+        added = _FOUND + (", text string" if last and min_words is not None else "")
+        rows = rows.mapInArrow(scan, widened(rows, places if last else [*places, "body"], added))
         if not last:
             rows = staged(rows, "decontam")
             held.destroy()  # what was found is written: the next automaton takes its place
-    return rows.toDF(*keep, "n_words", "spans", "items")
+    return rows
 
 
-def cut(text: str | None, spans: list[list[int]], min_words: int) -> str | None:
-    """The text without the spans of `min_words` words and more, from their first to their last character."""
-    spans = [span for span in spans if span[1] - span[0] >= min_words]
-    if not spans or text is None:
-        return text
-    data = text.encode("utf-8", "surrogatepass")
-    places = [found.span() for found in _WORD.finditer(data)]
-    parts, at = [], 0
-    for begin, end in spans:
-        parts.append(data[at:places[begin][0]])
-        at = places[end - 1][1]
-    parts.append(data[at:])
-    return b"".join(parts).decode("utf-8", "surrogatepass")
+def find(documents: DataFrame, items: DataFrame, keep: list[str], window: int = 10,
+         max_words: int = 300_000) -> DataFrame:
+    """The columns `keep` of every document (text read as column `text`) with `n_words`, `spans` of hit words and the
+    `items` hit, sorted."""
+    return _scanned(documents, items, keep, window, max_words).toDF(*keep, "n_words", "spans", "items")
 
 
 def clean(documents: DataFrame, items: DataFrame, window: int = 10, min_words: int = 1, coverage: float = 0.5,
           max_words: int = 300_000) -> DataFrame:
     """`documents` without the hit spans of at least `min_words` words, and without the documents of whose words more
-    than the share `coverage` is hit. Per row: `row`, the document as it was (a struct), and its new `text`."""
-    rows = documents.select(F.struct("*").alias("row"), "text")
-    found = find(rows, items, ["row", "text"], window, max_words)
+    than the share `coverage` is hit. Per row: `row`, a struct of the document's columns other than text, its new
+    `text`, and `changed`, whether something was cut out."""
+    others = [F.col("`" + name.replace("`", "``") + "`") for name in documents.columns if name != "text"]
+    rows = documents.select(F.struct(*others).alias("row"), "text")
+    found = _scanned(rows, items, ["row"], window, max_words, min_words)
     hit = F.aggregate("spans", F.lit(0), lambda total, span: total + span[1] - span[0])
-    kept = found.where(hit <= coverage * F.col("n_words")).select("row", "text", "spans")
-
-    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return batches_with(batches, ["row"], lambda batch: {"text": pa.array(
-            [cut(*pair, min_words) for pair in zip(column(batch, "text"), column(batch, "spans"), strict=True)],
-            pa.string())})
-
-    return kept.mapInArrow(rewrite, widened(kept, ["row"], "text string"))
+    return found.where(hit <= coverage * F.col("n_words")).select(
+        F.col("c0").alias("row"), "text",
+        F.exists("spans", lambda span: span[1] - span[0] >= min_words).alias("changed"))
