@@ -115,6 +115,21 @@ def test_imatch(spark):
     assert imatch.compared(frame(spark, [])).count() == 0
 
 
+def test_imatch_of_texts_without_terms_in_the_band(spark):
+    # Each of two groups of copies has 30 % of the documents, so no term of theirs is in the band.
+    groups = ["alpha beta gamma delta epsilon", "one two three four five six"]
+    rows = [(i, groups[i % 2] if i < 60 else f"w{i} v{i} u{i // 2}" if i < 98 else None if i == 98 else " .. ")
+            for i in range(100)]
+    found = {r.doc_id: r for r in imatch.compared(frame(spark, rows), commonest=0.2).collect()}
+    assert found[0].fingerprint == found[2].fingerprint != found[1].fingerprint == found[3].fingerprint
+    assert found[1].near_next == 0.0  # the next document is of the other group
+    assert set(found[98].fingerprint.split(" ")) == {"-"} and found[98].fingerprint == found[99].fingerprint
+    assert found[99].near_next == 1.0 and found[98].fingerprint not in {found[0].fingerprint, found[1].fingerprint}
+    # Nor have texts whose terms are all too rare, nor those with terms of both kinds.
+    rare = {r.doc_id: r for r in imatch.compared(frame(spark, rows), rarest=0.05).collect()}
+    assert len({rare[i].fingerprint for i in range(60, 98)}) == 38 and rare[61].near_next < 0.5
+
+
 def test_chat(spark):
     rows = [("c", 0, "ann", "hi <|im_end|>"), ("c", 1, "bob", None), ("c", 70, "ann", "bye"), ("c", 70, "ann", "bye"),
             ("d", 0, "system", "be kind"), (None, None, None, "lost")]

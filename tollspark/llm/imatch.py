@@ -12,7 +12,11 @@ subset of the lexicon hashes those that belong to it. Subsets come in levels: at
 ones tell how much two documents share, whatever their length. The fingerprint writes one hash per subset, or `-` for a
 subset without terms; likeness is the share of equal hashes among the subsets that either document fills.
 
-Null and empty texts have no terms; two documents without terms have equal fingerprints and likeness 1.
+Texts with fewer than `_FEW` terms in the band (all terms rare, or all in very many documents, as those of a large group
+of copies) have the same levels of hashes over all their terms behind those of the band, and two such texts are compared
+by them.
+
+Null and empty texts have no terms; two documents without any terms have equal fingerprints and likeness 1.
 """
 
 from __future__ import annotations
@@ -82,16 +86,23 @@ def _subsets(hashes: Column, numbers: Column, back: Column, used: int) -> Column
 
 def likeness(a: Column, b: Column) -> Column:
     """The largest share, over the levels, of equal hashes among the subsets that either fingerprint fills; levels with
-    fewer than `_FEW` filled ones say little and count as if they had that many. 1 for equal fingerprints."""
+    fewer than `_FEW` filled ones say little and count as if they had that many. Where both fingerprints have the hashes
+    of all terms too, those are compared instead. 1 for equal fingerprints."""
     left, right = F.split(a, " "), F.split(b, " ")
-    shares, begin = [], 1
-    for _, used in LEVELS:
-        pairs = F.arrays_zip(F.slice(left, begin, used).alias("a"), F.slice(right, begin, used).alias("b"))
-        filled = F.size(F.filter(pairs, lambda p: (p.a != _EMPTY) | (p.b != _EMPTY)))
-        equal = F.size(F.filter(pairs, lambda p: (p.a != _EMPTY) & (p.a == p.b)))
-        shares.append(equal / F.greatest(filled, F.lit(_FEW)))
-        begin += used
-    return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(*shares))
+
+    def largest(begin: int) -> Column:
+        shares = []
+        for _, used in LEVELS:
+            pairs = F.arrays_zip(F.slice(left, begin, used).alias("a"), F.slice(right, begin, used).alias("b"))
+            filled = F.size(F.filter(pairs, lambda p: (p.a != _EMPTY) | (p.b != _EMPTY)))
+            equal = F.size(F.filter(pairs, lambda p: (p.a != _EMPTY) & (p.a == p.b)))
+            shares.append(equal / F.greatest(filled, F.lit(_FEW)))
+            begin += used
+        return F.greatest(*shares)
+
+    band = sum(used for _, used in LEVELS)
+    both = F.least(F.size(left), F.size(right)) > band
+    return F.when(a == b, F.lit(1.0)).when(both, largest(band + 1)).otherwise(largest(1))
 
 
 def fingerprints(rows: DataFrame, keys: list[str], terms: DataFrame) -> DataFrame:
@@ -102,17 +113,29 @@ def fingerprints(rows: DataFrame, keys: list[str], terms: DataFrame) -> DataFram
         known = F.broadcast(known)
     met = hashed_terms(rows, keys, outer=True).join(known, "term", "left")
     # Nulls are left out by collect_list, so a document without terms in the band has an empty array.
-    sets = met.groupBy(*keys).agg(F.sort_array(F.collect_list("in_band")).alias("hashes"))
+    sets = met.groupBy(*keys).agg(F.sort_array(F.collect_list("in_band")).alias("band"),
+                                  F.collect_list(F.when(F.col("in_band").isNull(), F.col("term"))).alias("outside"))
+    few = (F.size("band") < _FEW) & (F.size("band") + F.size("outside") > 0)
+    sets = sets.select(*keys, "band", F.when(few, F.sort_array(F.concat("band", "outside"))).alias("all"))
+    sets = _levels(sets, keys + ["all"], "band").withColumnRenamed("written", "of_band")
+    every = _levels(sets, keys + ["of_band"], "all")
+    # concat_ws leaves out the null of documents that have enough terms in the band.
+    return every.select(*keys, F.concat_ws(" ", "of_band", "written").alias("fingerprint"))
+
+
+def _levels(sets: DataFrame, keep: list[str], hashes: str) -> DataFrame:
+    """The columns `keep` and `written`, the hashes of all subsets of the sorted array `hashes`; null for a null."""
     # The subsets used at a level have part of the terms of those used at the level before.
     for i, level in enumerate(LEVELS):
-        sets = sets.withColumn(f"level{i}", _of_level(F.col(f"level{i - 1}" if i > 1 else "hashes"), *level))
-    sets = sets.withColumn("level0", F.when(F.size("hashes") <= _SHORT, F.col("level0"))
+        sets = sets.withColumn(f"level{i}", _of_level(F.col(f"level{i - 1}" if i > 1 else hashes), *level))
+    sets = sets.withColumn("level0", F.when(F.size(hashes) <= _SHORT, F.col("level0"))
                            .otherwise(F.array().cast("array<long>")))
     sets = sets.select("*", *[_numbers(F.col(f"level{i}"), bits).alias(f"number{i}")
                               for i, (bits, _) in enumerate(LEVELS)])
     sets = sets.select("*", *[F.reverse(f"number{i}").alias(f"back{i}") for i in range(len(LEVELS))])
-    written = [_subsets(F.col(f"level{i}"), F.col(f"number{i}"), F.col(f"back{i}"), used) for i, (_, used) in enumerate(LEVELS)]
-    return sets.select(*keys, F.array_join(F.concat(*written), " ").alias("fingerprint"))
+    written = [_subsets(F.col(f"level{i}"), F.col(f"number{i}"), F.col(f"back{i}"), used)
+               for i, (_, used) in enumerate(LEVELS)]
+    return sets.select(*keep, F.when(F.col(hashes).isNotNull(), F.array_join(F.concat(*written), " ")).alias("written"))
 
 
 def neighbours(documents: DataFrame, per_partition: int = 4) -> DataFrame:
