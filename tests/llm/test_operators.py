@@ -272,6 +272,24 @@ def test_classifiers(spark, sf_dir, operator, column, least):
     assert operator.score(documents.limit(0), model, ["doc_id"]).count() == 0
 
 
+def test_toxicity_by_rare_terms(spark):
+    """Terms of a few toxic examples only, and few labels."""
+    pick = random.Random(3)
+    common = [f"{a}{b}" for a in ("ba", "be", "bi", "bo", "bu") for b in ("ka", "ke", "ki", "ko", "ku", "kal", "kel")]
+    rows = [(i, " ".join(pick.choices(common, k=30)) + (" vile" if i % 2 and i < 190 else " zork" if i % 2 else ""))
+            for i in range(200)] + [(1000, "zork"), (1001, "vile"), (1002, "unseen")]
+    labels = frame(spark, [(i, i % 2) for i in range(200)], "doc_id long, label int")
+    documents = frame(spark, rows)
+    model = toxicity.fit(documents, labels)
+    found = {r.doc_id: r for r in toxicity.score(documents, model, ["doc_id"]).collect()}
+    assert set(found[1000].evidence) == {191, 193, 195, 197, 199} and found[1000].score > 0.7
+    assert len(found[1001].evidence) == 15 and found[1002].evidence == []
+    assert set(model.vocabulary.terms) == {term for _, text in rows[:200] for term in toxicity.terms_of(text)}
+    few = toxicity.fit(documents, labels.where("doc_id < 10"))
+    some = {r.doc_id: r for r in toxicity.score(documents, few, ["doc_id"]).collect()}
+    assert len(some[1].evidence) == 10 and some[1001].score > 0.5
+
+
 def test_queries_return_their_contracts(spark, sf_dir):
     n = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     types = {"op2_language": "bigint boolean string double", "op5_imatch": "bigint bigint string string string double double",

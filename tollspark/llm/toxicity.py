@@ -1,15 +1,18 @@
 """Toxicity by nearest labelled examples.
 
 Terms are lower-cased words and, marked by `*`, their beginnings of four and five letters, which recognise inflected and
-compounded forms. The vocabulary has the terms that tell the two labels of the training rows apart: their weights are
-tf-idf, ln(1 + count) times ln((1 + documents) / (1 + documents with the term)), with the document counts taken over all
-documents. Examples and texts are unit vectors over it.
-
-The examples lie in an inverted index cut into blocks of neighbouring examples (sorted by their strongest term). Every
-block keeps the largest weight of each term, so the scalar product of a text with these maxima bounds its cosine with
-every example of the block. Blocks are searched from the highest bound down until the bound can't reach the k-th best
-cosine: the k nearest examples are exact. Their votes, weighted by cosine and corrected for the sampling of the labels,
-give a raw score, and a monotone curve fitted on the votes that examples get from each other makes it a probability.
+compounded forms. The vocabulary has all terms of the examples. A term weighs ln(1 + count) times
+ln((1 + documents) / (1 + documents with the term)), with the document counts taken over all documents, times
+`_PLAIN` plus how well it tells the labels apart: the difference of the logarithms of its shares of the
+toxic and of the clean examples, in standard errors (half an example is added to each count). No term is left out,
+however rare, and none weighs nothing for telling little. Examples and texts are unit vectors; a text's terms that
+no example has would shorten all its cosines alike, and are not counted.
+
+The search is exact. The lists of examples of most terms are added up; those of a text's lightest very common terms are
+not, and the lengths of both vectors over these terms bound what they can add (Cauchy-Schwarz). Examples that can reach
+the k best by that bound are completed in blocks, from the highest bound down, until no other can. Their votes, weighted
+by cosine and corrected for the sampling of the labels, give a raw score, and a monotone curve fitted on the votes that
+examples get from each other makes it a probability.
 
 Texts without any term of the vocabulary, null and empty ones included, have no neighbours and get the share of toxic
 labels among training rows like them. Labels of null or unknown documents are left out. Without labels of both kinds
@@ -31,6 +34,10 @@ from pyspark.sql import functions as F
 from tollspark.llm.common import batches_with, column, widened
 
 _WORD = re.compile(r"[^\W\d_]+")
+#: Weight of a term that doesn't tell the labels apart at all.
+_PLAIN = 0.1
+#: A term that this share of the examples has is very common; the part of a text's unit vector that is bounded is so long.
+_COMMON, _LIGHT = 0.03, 0.2
 
 
 def terms_of(text: str | None) -> Counter:
@@ -68,60 +75,69 @@ class Vocabulary:
 
 
 class BlockMaxIndex:
-    """Examples as unit vectors over the vocabulary, by term and block."""
+    """Examples as unit vectors: by term, and for very common terms also by example."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = 128):
-        strongest = [int(ids[weights.argmax()]) if len(ids) else terms for ids, weights in vectors]
-        self.order = np.array(sorted(range(len(vectors)), key=lambda i: (strongest[i], i)), dtype=np.int64)
-        self.block, self.blocks = block, -(-len(vectors) // block)
-        term = np.concatenate([vectors[i][0] for i in self.order] or [np.empty(0, np.int64)])
-        weight = np.concatenate([vectors[i][1] for i in self.order] or [np.empty(0)])
-        at = np.repeat(np.arange(len(vectors)), [len(vectors[i][0]) for i in self.order])
-        by_term = np.lexsort((at, term))
-        self.example, self.weight = at[by_term].astype(np.int32), weight[by_term]
-        cell = term[by_term] * self.blocks + self.example // block
-        #: Postings of term t in block b: from start[t * blocks + b] on.
-        self.start = np.searchsorted(cell, np.arange(terms * self.blocks + 1))
-        self.maxima = np.zeros((terms, self.blocks))
-        np.maximum.at(self.maxima.reshape(-1), cell, self.weight)
-
-    def _cosines(self, ids: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Examples of the blocks that share a term, with their cosines."""
-        cells = (ids[:, None] * self.blocks + blocks).ravel()
-        begin, size = self.start[cells], self.start[cells + 1] - self.start[cells]
-        ends = np.cumsum(size)
-        at = np.arange(ends[-1]) + np.repeat(begin - ends + size, size)
-        weight = np.repeat(np.repeat(weights, len(blocks)), size)
-        scores = np.bincount(self.example[at], weight * self.weight[at], minlength=len(self.order))
-        hit = np.flatnonzero(scores > 0)
-        return self.order[hit], scores[hit]
+        self.block, self.examples = block, len(vectors)
+        term = np.concatenate([ids for ids, _ in vectors] or [np.empty(0, np.int64)]).astype(np.int32)
+        weight = np.concatenate([weights for _, weights in vectors] or [np.empty(0)])
+        at = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(ids) for ids, _ in vectors])
+        by_term = np.argsort(term, kind="stable")
+        self.example, self.weight = at[by_term], weight[by_term]
+        #: Postings of term t: from start[t] on.
+        self.start = np.searchsorted(term[by_term], np.arange(terms + 1))
+        self.common = np.diff(self.start) > _COMMON * len(vectors)
+        often = self.common[term]
+        #: Very common terms of example e: from begin[e] on.
+        self.begin = np.searchsorted(at[often], np.arange(len(vectors) + 1))
+        self.common_term, self.common_weight = term[often], weight[often]
+        self.common_length = np.sqrt(np.bincount(at[often], weight[often] ** 2, minlength=len(vectors)))
+
+    @staticmethod
+    def _slices(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of all slices [begin, end), one after another, and the sizes of the slices."""
+        size = end - begin
+        return np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size), size
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Examples (places in the list given) and cosines of the k nearest with a positive cosine, best first; ties go
-        to the lower place. `without` is an example to leave out.
-
-        The blocks with the highest bounds are searched first; their k-th best cosine rules out every block whose bound
-        is below it, and the blocks that remain are searched together.
-        """
-        bounds = weights @ self.maxima[ids]
-        order = np.argsort(-bounds, kind="stable")[:np.count_nonzero(bounds > 0)]
+        to the lower place. `without` is an example to leave out."""
+        often = np.flatnonzero(self.common[ids])
+        often = often[np.argsort(weights[often], kind="stable")]
+        length = np.sqrt(np.cumsum(weights[often] ** 2))
+        light = often[length <= _LIGHT]
+        added = np.ones(len(ids), bool)
+        added[light] = False
+        at, size = self._slices(self.start[ids[added]], self.start[ids[added] + 1])
+        scores = np.bincount(self.example[at], np.repeat(weights[added], size) * self.weight[at], minlength=self.examples)
+        bounds = scores + (length[len(light) - 1] if len(light) else 0.0) * self.common_length
+        if without >= 0:
+            scores[without] = bounds[without] = 0.0
+        # What is bounded adds nothing negative, so the k-th best without it is reached with it.
+        reached = np.partition(scores, -k)[-k] if len(scores) > k else 0.0
+        left = np.flatnonzero((bounds > 0) & (bounds >= reached - 1e-11))
+        left = left[np.argsort(-bounds[left], kind="stable")]
+        rest = np.zeros(len(self.common))
+        rest[ids[light]] = weights[light]
         best, cosines = np.empty(0, np.int64), np.empty(0)
-        while len(order):
-            found, scores = self._cosines(ids, weights, order[:4] if not len(best) else order)
-            order = order[4:] if not len(best) else order[:0]
-            keep = found != without
-            best, cosines = np.concatenate([best, found[keep]]), np.concatenate([cosines, scores[keep]])
+        while len(left):
+            found, left = left[:self.block], left[self.block:]
+            at, size = self._slices(self.begin[found], self.begin[found + 1])
+            more = np.bincount(np.repeat(np.arange(len(found)), size),
+                               rest[self.common_term[at]] * self.common_weight[at], minlength=len(found))
+            best, cosines = np.concatenate([best, found]), np.concatenate([cosines, scores[found] + more])
             first = np.lexsort((best, -np.round(cosines, 12)))[:k]
+            first = first[cosines[first] > 0]
             best, cosines = best[first], cosines[first]
             if len(best) == k:
-                order = order[bounds[order] >= cosines[-1] - 1e-11]
+                left = left[bounds[left] >= cosines[-1] - 1e-11]
         return best, cosines
 
 
 @dataclass
 class ToxicityModel:
     vocabulary: Vocabulary
-    idf: np.ndarray
+    weight: np.ndarray
     index: BlockMaxIndex | None
     names: list[int] = field(default_factory=list)     # ids of the examples
     labels: np.ndarray = field(default_factory=lambda: np.empty(0))
@@ -130,9 +146,10 @@ class ToxicityModel:
     knots: tuple[np.ndarray, np.ndarray] | None = None
     without_terms: float = 0.0
 
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.array(sorted(counts), dtype=np.int64)
-        weights = np.log1p(np.array([counts[i] for i in ids.tolist()], dtype=float)) * self.idf[ids]
+    def vector(self, terms: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(terms)
+        ids = terms[order].astype(np.int64)
+        weights = np.log1p(times[order].astype(float)) * self.weight[ids]
         length = float(np.sqrt((weights ** 2).sum()))
         return ids, weights / length if length else weights
 
@@ -146,7 +163,9 @@ class ToxicityModel:
         """Probability, and the ids of the nearest examples."""
         if self.index is None:
             return self.without_terms, []
-        ids, weights = self.vector(self.vocabulary.count(text))
+        counts = self.vocabulary.count(text)
+        ids, weights = self.vector(np.fromiter(counts, np.int64, len(counts)),
+                                   np.fromiter(counts.values(), np.int64, len(counts)))
         if not len(ids):
             return self.without_terms, []
         raw, found, _ = self.vote(ids, weights)
@@ -169,8 +188,7 @@ def _monotone(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndar
             np.array([(b + mean * unit) / (w + unit) for _, b, w in pools]))
 
 
-def fit(documents: DataFrame, labels: DataFrame, max_examples: int = 4000, terms: int = 4096,
-        k: int = 15) -> ToxicityModel:
+def fit(documents: DataFrame, labels: DataFrame, max_examples: int = 4000, k: int = 15) -> ToxicityModel:
     """Learn from `labels` (doc_id, label 0 or 1) and the texts of `documents` (doc_id, text).
 
     At most `max_examples` labelled documents of each kind become examples, drawn in the order of a hash of the id and
@@ -194,22 +212,24 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = 4000, terms
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     chosen = texts.join(F.broadcast(sample), "doc_id")
-    # Which terms tell the labels apart is counted on the executors; of the examples only those terms come back.
+    # How well terms tell the labels apart is counted on the executors.
     counted = chosen.mapInArrow(gather, "doc_id long, label int, terms array<string>")
     kinds = {row.label: row.n for row in counted.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(kinds) < 2:
         return constant
     seen = counted.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
         F.sum("label").alias("toxic"), F.count("*").alias("all"))
-    toxic, clean = (F.col("toxic") + 0.5) / (kinds[1] + 1), (F.col("all") - F.col("toxic") + 0.5) / (kinds[0] + 1)
-    contrast = (F.log(toxic) - F.log(clean)) * F.sqrt(F.greatest(F.col("toxic"), F.col("all") - F.col("toxic")))
-    told = seen.where((F.abs(F.log(toxic) - F.log(clean)) > 0.7) & (F.abs(contrast) > 6)) \
-        .orderBy(F.desc(F.abs(contrast)), "term").limit(terms).collect()
-    vocabulary = Vocabulary([row.term for row in told])
-    if not told:
+    told = seen.toArrow().sort_by("term")
+    if not told.num_rows:
         return constant
+    vocabulary = Vocabulary(told.column("term").to_pylist())
+    toxic = told.column("toxic").to_numpy().astype(float)
+    clean = told.column("all").to_numpy() - toxic
+    contrast = np.log((toxic + 0.5) / (kinds[1] + 1)) - np.log((clean + 0.5) / (kinds[0] + 1))
+    errors = np.abs(contrast) / np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
     n, counts = _document_counts(texts, vocabulary)
-    model = ToxicityModel(vocabulary, np.log((1 + n) / (1 + counts)), None, k=k, without_terms=share)
+    weights = np.log((1 + n) / (1 + counts)) * (_PLAIN + errors)
+    model = ToxicityModel(vocabulary, weights, None, k=k, without_terms=share)
     known = spark.sparkContext.broadcast(vocabulary)
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,20 +239,26 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = 4000, terms
                     "counts": pa.array([list(c.values()) for c in counted], pa.list_(pa.int32()))}
         return batches_with(batches, ["doc_id", "label"], make)
 
-    examples = chosen.mapInArrow(narrow, "doc_id long, label int, terms array<int>, counts array<int>").collect()
-    examples.sort(key=lambda row: (row.doc_id, row.label, row.terms))
+    # As Arrow columns, since the terms of all examples would be many Python objects.
+    found = chosen.mapInArrow(narrow, "doc_id long, label int, terms array<int>, counts array<int>").toArrow()
+    examples = []
+    for batch in found.to_batches():
+        ends = batch.column("terms").offsets.to_numpy()
+        terms, times = batch.column("terms").values.to_numpy(), batch.column("counts").values.to_numpy()
+        examples += [(doc_id, label, terms[ends[i]:ends[i + 1]], times[ends[i]:ends[i + 1]]) for i, (doc_id, label)
+                     in enumerate(zip(column(batch, "doc_id"), column(batch, "label"), strict=True))]
+    examples.sort(key=lambda row: (row[0], row[1], row[2].tobytes()))
     weight = {label: rows[label] / kinds[label] for label in (0, 1)}
-    blank = [row for row in examples if not row.terms]
-    model.without_terms = (weight[1] * sum(row.label for row in blank) + share) / (
-        sum(weight[row.label] for row in blank) + 1)
-    examples = [row for row in examples if row.terms]
+    blank = [label for _, label, terms, _ in examples if not len(terms)]
+    model.without_terms = (weight[1] * sum(blank) + share) / (sum(weight[label] for label in blank) + 1)
+    examples = [row for row in examples if len(row[2])]
     if not examples:
         return constant
-    vectors = [model.vector(dict(zip(row.terms, row.counts, strict=True))) for row in examples]
-    model.index = BlockMaxIndex(vectors, len(told))
-    model.names = [row.doc_id for row in examples]
-    model.labels = np.array([row.label for row in examples], dtype=float)
-    model.votes = np.array([weight[row.label] for row in examples])
+    vectors = [model.vector(terms, times) for _, _, terms, times in examples]
+    model.index = BlockMaxIndex(vectors, told.num_rows)
+    model.names = [row[0] for row in examples]
+    model.labels = np.array([row[1] for row in examples], dtype=float)
+    model.votes = np.array([weight[row[1]] for row in examples])
     raw = np.array([model.vote(*vector, without=i)[0] for i, vector in enumerate(vectors)])
     model.knots = _monotone(raw, model.labels, model.votes)
     return model
@@ -248,12 +274,13 @@ def _document_counts(texts: DataFrame, vocabulary: Vocabulary) -> tuple[int, np.
             for text in column(batch, "text"):
                 sums[list(known.value.count(text))] += 1
                 sums[-1] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums))), pa.array(sums)], names=["term", "n"])
+        seen = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[seen])], names=["term", "n"])
 
     found = texts.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     sums = np.zeros(len(vocabulary.terms) + 1)
-    for row in found.collect():
-        sums[row.term] = row.n
+    found = found.toArrow()
+    sums[found.column("term").to_numpy()] = found.column("n").to_numpy()
     return int(sums[-1]), sums[:-1]
 
 
