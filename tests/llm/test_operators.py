@@ -130,6 +130,14 @@ def test_imatch_of_texts_without_terms_in_the_band(spark):
     assert len({rare[i].fingerprint for i in range(60, 98)}) == 38 and rare[61].near_next < 0.5
 
 
+def test_every_term_of_the_band_enters_a_long_fingerprint(spark):
+    words = frame(spark, [(i, f"w{i}") for i in range(400)]).select("text", (F.xxhash64("text") < 0).alias("high"))
+    low, high = ([r.text for r in words.where(F.col("high") == side).collect()] for side in (False, True))
+    rows = [(1, " ".join(low[:90] + high[:40])), (2, " ".join(low[:90] + high[40:80]))]
+    found = {r.doc_id: r for r in imatch.compared(frame(spark, rows), commonest=1.0).collect()}
+    assert found[1].fingerprint != found[2].fingerprint and found[2].near_next < 1.0
+
+
 def test_chat(spark):
     rows = [("c", 0, "ann", "hi <|im_end|>"), ("c", 1, "bob", None), ("c", 70, "ann", "bye"), ("c", 70, "ann", "bye"),
             ("d", 0, "system", "be kind"), (None, None, None, "lost")]

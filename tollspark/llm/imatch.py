@@ -8,7 +8,8 @@ is checked before the lexicon is broadcast; beyond `BROADCAST_TERMS` the join sh
 
 A document's distinct terms in the lexicon are sorted (by their 64-bit hash, the canonical order) and every randomised
 subset of the lexicon hashes those that belong to it. Subsets come in levels: at level b a term belongs to one of
-2^b subsets by bits of its hash, of which up to 32 are used, so coarse levels tell copies from near copies and fine
+2^b subsets by bits of its hash. All are used at the level of 64 subsets, so that every term has a part in every
+fingerprint, and 32, spread evenly, at the finer levels; coarse levels tell copies from near copies and fine
 ones tell how much two documents share, whatever their length. The fingerprint writes one hash per subset, or `-` for a
 subset without terms; likeness is the share of equal hashes among the subsets that either document fills.
 
@@ -31,7 +32,7 @@ from tollspark.llm.common import bounded, staged
 
 BROADCAST_TERMS = 2_000_000
 #: (bits of the level, subsets used)
-LEVELS = ((4, 16), (6, 32), (8, 32), (10, 32), (12, 32))
+LEVELS = ((4, 16), (6, 64), (8, 32), (10, 32), (12, 32))
 #: The coarsest level is written for documents of up to so many terms; for longer ones all its subsets differ anyway.
 _SHORT = 64
 _EMPTY = "-"
@@ -70,10 +71,11 @@ def _numbers(hashes: Column, bits: int) -> Column:
 
 
 def _of_level(hashes: Column, bits: int, used: int) -> Column:
-    return F.filter(hashes, lambda h: _number(h, bits) < used)
+    """Hashes of the subsets used, which are spread evenly over all numbers."""
+    return F.filter(hashes, lambda h: _number(h, bits) % (2 ** bits // used) == 0)
 
 
-def _subsets(hashes: Column, numbers: Column, back: Column, used: int) -> Column:
+def _subsets(hashes: Column, numbers: Column, back: Column, bits: int, used: int) -> Column:
     """One hash per subset of a level. In the sorted hashes those of a subset lie side by side, so a subset is a slice
     from the first to the last place of its number; `back` has the numbers from the end."""
     def hashed(subset: Column) -> Column:
@@ -81,7 +83,7 @@ def _subsets(hashes: Column, numbers: Column, back: Column, used: int) -> Column
         last = F.size(numbers) + 1 - F.array_position(back, subset).cast("int")
         part = F.xxhash64(F.slice(hashes, first, last - first + 1))
         return F.when(first > 0, F.substring(F.hex(part), -6, 6)).otherwise(_EMPTY)
-    return F.transform(F.sequence(F.lit(0), F.lit(used - 1)), hashed)
+    return F.transform(F.sequence(F.lit(0), F.lit(2 ** bits - 1), F.lit(2 ** bits // used)), hashed)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -133,8 +135,8 @@ def _levels(sets: DataFrame, keep: list[str], hashes: str) -> DataFrame:
     sets = sets.select("*", *[_numbers(F.col(f"level{i}"), bits).alias(f"number{i}")
                               for i, (bits, _) in enumerate(LEVELS)])
     sets = sets.select("*", *[F.reverse(f"number{i}").alias(f"back{i}") for i in range(len(LEVELS))])
-    written = [_subsets(F.col(f"level{i}"), F.col(f"number{i}"), F.col(f"back{i}"), used)
-               for i, (_, used) in enumerate(LEVELS)]
+    written = [_subsets(F.col(f"level{i}"), F.col(f"number{i}"), F.col(f"back{i}"), *level)
+               for i, level in enumerate(LEVELS)]
     return sets.select(*keep, F.when(F.col(hashes).isNotNull(), F.array_join(F.concat(*written), " ")).alias("written"))
 
 
