@@ -1,7 +1,7 @@
 """SQL of the queries that SQL can express, written independently of the operators' methods.
 
-Without SQL: op1, op2, op9 and op10 (trained models), op5 and op8 (XXH64 of strings isn't in DuckDB); they are tested
-against brute force, planted cases and held-out rows in tests/llm.
+Without SQL: op1, op2, op9 and op10 (trained models), op5 and op8 (XXH64 of strings isn't in DuckDB), op12 (eigenvectors)
+and op13 (tokenizers); they are tested against brute force, planted cases and held-out rows in tests/llm.
 """
 
 from __future__ import annotations
@@ -113,6 +113,54 @@ SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_kept, 0)::B
 FROM documents d LEFT JOIN built USING (doc_id)
 """
 
+_URLS = r"""
+WITH RECURSIVE rule(action, text) AS (VALUES ('allow', 'org/'), ('block', 'example.org/es/'), ('block', 'example.org/en/1'),
+                                            ('allow', 'com/fr/'), ('block', 'com/de/')),
+page AS (
+  SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'UPPER', 'LOWER') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+         (SELECT max((length(text), action, text)) FROM rule
+          WHERE ('.' || host).ends_with('.' || split_part(text, '/', 1))
+            AND starts_with(path, substr(text, instr(text, '/')))) AS fit
+  FROM pages),
+link AS (
+  SELECT DISTINCT rowid, host AS source, translate(unnest(regexp_extract_all(regexp_replace(html,
+           '(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)', ' ', 'g'),
+           '(?is)<a\s[^<>]*?\bhref\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s<>]*)', 1)), 'UPPER', 'LOWER') AS target
+  FROM (SELECT *, row_number() OVER () AS rowid FROM page)),
+edge AS (SELECT source, target, count(*) AS weight FROM link
+         WHERE source <> '' AND target <> '' AND source <> target GROUP BY ALL),
+flow AS (
+  SELECT 'trust' AS kind, source AS giver, target AS taker, weight / sum(weight) OVER (PARTITION BY source) AS share FROM edge
+  UNION ALL
+  SELECT 'distrust', target, source, weight / sum(weight) OVER (PARTITION BY target) FROM edge),
+seed AS (
+  SELECT 'trust' AS kind, host, floor(count(*) FILTER (WHERE fit[2] = 'allow') * 1000000 / count(*))::BIGINT AS mass
+  FROM page WHERE host <> '' GROUP BY host
+  UNION ALL
+  SELECT 'distrust', host, floor(count(*) FILTER (WHERE fit[2] = 'block') * 1000000 / count(*))::BIGINT
+  FROM page WHERE host <> '' GROUP BY host),
+sent AS (
+  SELECT 0 AS n, kind, host, floor(mass * (1e15 / sum(mass) OVER (PARTITION BY kind)))::BIGINT AS mass
+  FROM (FROM seed WHERE mass > 0)
+  UNION ALL
+  SELECT n + 1, kind, taker, sum(part)::BIGINT
+  FROM (SELECT n, flow.kind, taker, floor(mass * share * 0.85::DOUBLE) AS part
+        FROM sent JOIN flow ON sent.kind = flow.kind AND host = giver WHERE n < 40)
+  GROUP BY ALL HAVING sum(part) > 0),
+reached AS (SELECT kind, host, sum(mass)::BIGINT AS mass FROM sent GROUP BY ALL),
+part AS (SELECT host, kind, mass / (sum(mass) OVER (PARTITION BY kind))::DOUBLE AS share FROM reached),
+score AS (
+  SELECT host, trust / (trust + distrust) AS score
+  FROM (SELECT host, coalesce(sum(share) FILTER (WHERE kind = 'trust'), 0) AS trust,
+               coalesce(sum(share) FILTER (WHERE kind = 'distrust'), 0) AS distrust FROM part GROUP BY host))
+SELECT page_id, host, path, fit[3] AS rule,
+       coalesce(fit[2], CASE WHEN score >= 0.5 THEN 'allow' WHEN score IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+       score
+FROM page LEFT JOIN score USING (host)
+""".replace("UPPER", UPPER).replace("LOWER", LOWER)
+
 
 def llm_oracles() -> dict[str, str]:
-    return {"op3_mix": _MIX, "op4_decontaminate": _DECONTAMINATE, "op6_chat": _CHAT, "op7_line_dedup": _LINES}
+    return {"op3_mix": _MIX, "op4_decontaminate": _DECONTAMINATE, "op6_chat": _CHAT, "op7_line_dedup": _LINES,
+            "op11_url_graph": _URLS}

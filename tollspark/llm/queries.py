@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollspark.llm import chat, decontam, html_crf, imatch, langid, linedup, mixing, quality, simhash, toxicity
+from tollspark.llm import (chat, decontam, html_crf, imatch, langid, linedup, linkgraph, mixing, quality, simhash,
+                           toxicity)
 from tollspark.llm.common import fold, table
 
 
@@ -83,7 +84,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+             ("block", "com/de/")]
+
+
+def op11_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return linkgraph.judge(pages, linkgraph.rule_table(spark, URL_RULES), ["page_id"])
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in (
         op1_html_crf, op2_language, op3_mix, op4_decontaminate, op5_imatch, op6_chat, op7_line_dedup, op8_simhash,
-        op9_toxicity, op10_quality)}
+        op9_toxicity, op10_quality, op11_url_graph)}
