@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollspark.llm import (chat, decontam, html_crf, imatch, langid, linedup, linkgraph, mixing, quality, simhash,
-                           toxicity)
+                           toxicity, whitening)
 from tollspark.llm.common import fold, table
 
 
@@ -93,7 +93,12 @@ def op11_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.judge(pages, linkgraph.rule_table(spark, URL_RULES), ["page_id"])
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.apply(vectors, whitening.fit(vectors), ["vec_id"])
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in (
         op1_html_crf, op2_language, op3_mix, op4_decontaminate, op5_imatch, op6_chat, op7_line_dedup, op8_simhash,
-        op9_toxicity, op10_quality, op11_url_graph)}
+        op9_toxicity, op10_quality, op11_url_graph, op12_whitening)}
