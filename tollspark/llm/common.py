@@ -38,12 +38,12 @@ def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
-def batches_with(batches: Iterator[pa.RecordBatch], keep: list[str], make) -> Iterator[pa.RecordBatch]:
+def batches_with(batches: Iterator[pa.RecordBatch], keep: list[str], make, rows: int = _SLICE) -> Iterator[pa.RecordBatch]:
     """Pass the columns `keep` through and add those that `make(batch)` returns as {name: arrow array}. Batches come in
     slices, so that few whole texts are Python objects at a time."""
     for batch in batches:
-        for begin in range(0, batch.num_rows, _SLICE):
-            part = batch.slice(begin, _SLICE)
+        for begin in range(0, batch.num_rows, rows):
+            part = batch.slice(begin, rows)
             made = make(part)
             columns = [part.column(part.schema.get_field_index(name)) for name in keep] + list(made.values())
             yield pa.RecordBatch.from_arrays(columns, names=keep + list(made))

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollspark.llm import (chat, decontam, html_crf, imatch, langid, linedup, linkgraph, mixing, quality, simhash,
-                           toxicity, whitening)
-from tollspark.llm.common import fold, table
+from tollspark.llm import (alignment, chat, decontam, html_crf, imatch, langid, linedup, linkgraph, mixing, quality,
+                           simhash, toxicity, whitening)
+from tollspark.llm.common import fold, staged, table
 
 
 def op1_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +98,18 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.apply(vectors, whitening.fit(vectors), ["vec_id"])
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    aligned = staged(alignment.align(documents, ["doc_id"]).select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "pairs", "times"),
+        "aligned")
+    counts = staged(alignment.link_counts(aligned), "counts")
+    return alignment.scored(aligned, counts, ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"], "row")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in (
         op1_html_crf, op2_language, op3_mix, op4_decontaminate, op5_imatch, op6_chat, op7_line_dedup, op8_simhash,
-        op9_toxicity, op10_quality, op11_url_graph, op12_whitening)}
+        op9_toxicity, op10_quality, op11_url_graph, op12_whitening,
+        op13_alignment)}
