@@ -188,3 +188,29 @@ def test_difference_counts_the_whole_text():
     good, bad = Size(lambda d: 1), Size(lambda d: 1 + d.count(b"a"))
     assert quality.difference("ab" * 5000, good, bad, 64) == 0.5
     assert quality.difference(None, good, bad, 64) == quality.difference("", good, bad, 64) == 0
+
+
+def test_block_maxima_bound_and_prune():
+    """Blocks hold alike examples, no bound is below a cosine of its block, and most postings of other blocks stay unread."""
+    draw = np.random.default_rng(11)
+    vectors = []
+    for i in range(400):
+        ids = np.sort(draw.choice(40, 12, replace=False)) + 40 * (i % 5)
+        weights = draw.random(12) + 0.1
+        vectors.append((ids, weights / np.linalg.norm(weights)))
+    index = toxicity.BlockMaxIndex(vectors, 200, block=8)
+    assert index.blocks >= 50 and sum(index.size) == 400 and index.size.max() <= 8
+    full = np.zeros((400, 200))
+    for i, (ids, weights) in enumerate(vectors):
+        full[i, ids] = weights
+    of = np.zeros(400, int)
+    of[index.example] = np.repeat(index.block, np.diff(index.begin))
+    ids, weights = vectors[7]
+    pieces, size = toxicity._slices(index.start[ids], index.start[ids + 1])
+    bounds = np.bincount(index.block[pieces], np.repeat(weights, size) * index.largest[pieces], minlength=index.blocks)
+    assert (bounds[of] >= full @ full[7] - 1e-12).all()
+    assert (bounds > 0).mean() < 0.6  # a fifth of the examples share terms with it
+    for k in (1, 5, 399, 400, 900):
+        best = np.lexsort((np.arange(400), -np.round(full @ full[7], 12)))[:k]
+        found, _ = index.nearest(ids, weights, k)
+        assert found.tolist() == [i for i in best if full[i] @ full[7] > 0]

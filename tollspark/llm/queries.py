@@ -68,7 +68,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = fold(F.col("doc_id"), 5) == 0
-    model = toxicity.fit(documents, labels.where(~held_out).select("doc_id", F.col("toxic").alias("label")))
+    model = toxicity.fit(documents, labels.where(~held_out).select("doc_id", F.col("toxic").alias("label")),
+                         max_examples=1000, common=0.2)
     rows = documents.select("doc_id", held_out.alias("held_out"), "text")
     found = toxicity.score(rows, model, ["doc_id", "held_out"])
     return found.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),

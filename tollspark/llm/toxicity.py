@@ -2,21 +2,21 @@
 
 Terms are lower-cased words and, marked by `*`, their beginnings of four and five letters, which recognise inflected and
 compounded forms. The vocabulary has all terms of the examples. A term weighs ln(1 + count) times
-ln((1 + documents) / (1 + documents with the term)), with the document counts taken over all documents, times
-`_PLAIN` plus how well it tells the labels apart: the difference of the logarithms of its shares of the
-toxic and of the clean examples, in standard errors (half an example is added to each count). No term is left out,
-however rare, and none weighs nothing for telling little. Examples and texts are unit vectors; a text's terms that
-no example has would shorten all its cosines alike, and are not counted.
-
-The search is exact. The lists of examples of most terms are added up; those of a text's lightest very common terms are
-not, and the lengths of both vectors over these terms bound what they can add (Cauchy-Schwarz). Examples that can reach
-the k best by that bound are completed in blocks, from the highest bound down, until no other can. Their votes, weighted
-by cosine and corrected for the sampling of the labels, give a raw score, and a monotone curve fitted on the votes that
-examples get from each other makes it a probability.
-
-Texts without any term of the vocabulary, null and empty ones included, have no neighbours and get the share of toxic
-labels among training rows like them. Labels of null or unknown documents are left out. Without labels of both kinds
-every score is the share of toxic ones, or 0.
+ln(common * (1 + documents) / (1 + documents with the term)), never below 0, with the document counts taken over all
+documents: plain TF-IDF, with terms of more than the share `common` of all documents counting nothing. Labels have no
+part in the weights. Examples and texts are unit vectors; a text's terms that no example has would shorten all its
+cosines alike, and are not counted.
+
+The search is exact. Examples lie in blocks of alike ones. For each term the index has its postings block by block, and
+for each of these pieces the largest weight in it. The sum of a text's weights times these maxima bounds all cosines of a
+block. The blocks with the highest bounds are added up first; then, of the others, those whose bound reaches the k-th best
+cosine. The votes of the k nearest, weighted by cosine and corrected for the sampling of the labels, give a raw score, and
+a monotone curve fitted on the votes that examples get from each other, in tasks, makes it a probability.
+
+Texts without any term that weighs something, null and empty ones included, have no neighbours and get the share of toxic
+labels among training rows like them. Repeated labels count once, and a document labelled both ways is an example of
+each. Of rows that repeat a drawn id the first text in order is the example. Labels of null or unknown documents are left
+out. Without labels of both kinds every score is the share of toxic ones, or 0.
 """
 
 from __future__ import annotations
@@ -31,14 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollspark.llm.common import batches_with, column, widened
+from tollspark.llm.common import batches_with, column, staged, widened
 
 _WORD = re.compile(r"[^\W\d_]+")
-#: Weight of a term that doesn't tell the labels apart at all.
-_PLAIN = 0.1
-#: A term that this share of the examples has is very common; the part of a text's unit vector that is bounded is so long.
-_COMMON, _LIGHT = 0.03, 0.2
-
 
 def terms_of(text: str | None) -> Counter:
     words = Counter(_WORD.findall((text or "").lower()))
@@ -74,64 +69,85 @@ class Vocabulary:
         return found
 
 
+def _alike(rows: np.ndarray, size: int) -> list[np.ndarray]:
+    """Places of `rows` in groups of at most `size`, halved along the direction in which they differ most."""
+    todo, done = [np.arange(len(rows))], []
+    while todo:
+        group = todo.pop()
+        if len(group) <= size:
+            done.append(group)
+            continue
+        centred = rows[group] - rows[group].mean(axis=0)
+        direction = centred[np.abs(centred).sum(axis=1).argmax()]
+        for _ in range(8):  # power iteration; any direction gives right results, a good one tighter bounds
+            direction = centred.T @ (centred @ direction)
+            direction /= np.linalg.norm(direction) or 1.0
+        order = group[np.argsort(centred @ direction, kind="stable")]
+        todo += [order[len(order) // 2:], order[:len(order) // 2]]
+    return done
+
+
+def _slices(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all slices [begin, end), one after another, and the sizes of the slices."""
+    size = end - begin
+    return np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size), size
+
+
 class BlockMaxIndex:
-    """Examples as unit vectors: by term, and for very common terms also by example."""
+    """Examples as unit vectors, in postings by term and block with the largest weight of each piece."""
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = 128):
-        self.block, self.examples = block, len(vectors)
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = 16, sketch: int = 256):
+        self.examples = len(vectors)
         term = np.concatenate([ids for ids, _ in vectors] or [np.empty(0, np.int64)]).astype(np.int32)
         weight = np.concatenate([weights for _, weights in vectors] or [np.empty(0)])
         at = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(ids) for ids, _ in vectors])
-        by_term = np.argsort(term, kind="stable")
-        self.example, self.weight = at[by_term], weight[by_term]
-        #: Postings of term t: from start[t] on.
-        self.start = np.searchsorted(term[by_term], np.arange(terms + 1))
-        self.common = np.diff(self.start) > _COMMON * len(vectors)
-        often = self.common[term]
-        #: Very common terms of example e: from begin[e] on.
-        self.begin = np.searchsorted(at[often], np.arange(len(vectors) + 1))
-        self.common_term, self.common_weight = term[often], weight[often]
-        self.common_length = np.sqrt(np.bincount(at[often], weight[often] ** 2, minlength=len(vectors)))
-
-    @staticmethod
-    def _slices(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The places of all slices [begin, end), one after another, and the sizes of the slices."""
-        size = end - begin
-        return np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size), size
+        # Blocks come from a sketch of the vectors, terms folded together.
+        rows = np.bincount(at * np.int64(sketch) + term % sketch, weight, self.examples * sketch).reshape(-1, sketch)
+        groups = _alike(rows, block)
+        self.blocks, of = len(groups), np.empty(self.examples, np.int32)
+        for number, group in enumerate(groups):
+            of[group] = number
+        order = np.lexsort((at, of[at], term))
+        self.example, self.weight = at[order], weight[order]
+        piece = term[order] * np.int64(max(1, self.blocks)) + of[at[order]]
+        #: Piece p: postings from begin[p] to begin[p + 1], all of one term and block.
+        self.begin = np.append(np.flatnonzero(np.diff(piece, prepend=-1)), len(piece))
+        first = self.begin[:-1]
+        self.block = of[self.example[first]]
+        self.largest = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
+        #: Pieces of term t: from start[t] on.
+        self.start = np.searchsorted(term[order][first], np.arange(terms + 1))
+        self.size = np.bincount(of, minlength=self.blocks)
+
+    def _added(self, scores: np.ndarray, pieces: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        at, size = _slices(self.begin[pieces], self.begin[pieces + 1])
+        return scores + np.bincount(self.example[at], np.repeat(weights, size) * self.weight[at], minlength=self.examples)
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Examples (places in the list given) and cosines of the k nearest with a positive cosine, best first; ties go
         to the lower place. `without` is an example to leave out."""
-        often = np.flatnonzero(self.common[ids])
-        often = often[np.argsort(weights[often], kind="stable")]
-        length = np.sqrt(np.cumsum(weights[often] ** 2))
-        light = often[length <= _LIGHT]
-        added = np.ones(len(ids), bool)
-        added[light] = False
-        at, size = self._slices(self.start[ids[added]], self.start[ids[added] + 1])
-        scores = np.bincount(self.example[at], np.repeat(weights[added], size) * self.weight[at], minlength=self.examples)
-        bounds = scores + (length[len(light) - 1] if len(light) else 0.0) * self.common_length
+        pieces, size = _slices(self.start[ids], self.start[ids + 1])
+        own = np.repeat(weights, size)
+        bounds = np.bincount(self.block[pieces], own * self.largest[pieces], minlength=self.blocks)
+        order = np.argsort(-bounds, kind="stable")
+        first = np.zeros(self.blocks, bool)
+        first[order[:int(np.searchsorted(np.cumsum(self.size[order]), k + 1)) + 1]] = True
+        now = first[self.block[pieces]]
+        scores = self._added(np.zeros(self.examples), pieces[now], own[now])
         if without >= 0:
-            scores[without] = bounds[without] = 0.0
-        # What is bounded adds nothing negative, so the k-th best without it is reached with it.
+            scores[without] = 0.0
         reached = np.partition(scores, -k)[-k] if len(scores) > k else 0.0
-        left = np.flatnonzero((bounds > 0) & (bounds >= reached - 1e-11))
-        left = left[np.argsort(-bounds[left], kind="stable")]
-        rest = np.zeros(len(self.common))
-        rest[ids[light]] = weights[light]
-        best, cosines = np.empty(0, np.int64), np.empty(0)
-        while len(left):
-            found, left = left[:self.block], left[self.block:]
-            at, size = self._slices(self.begin[found], self.begin[found + 1])
-            more = np.bincount(np.repeat(np.arange(len(found)), size),
-                               rest[self.common_term[at]] * self.common_weight[at], minlength=len(found))
-            best, cosines = np.concatenate([best, found]), np.concatenate([cosines, scores[found] + more])
-            first = np.lexsort((best, -np.round(cosines, 12)))[:k]
-            first = first[cosines[first] > 0]
-            best, cosines = best[first], cosines[first]
-            if len(best) == k:
-                left = left[bounds[left] >= cosines[-1] - 1e-11]
-        return best, cosines
+        later = (~first & (bounds > 0) & (bounds >= reached - 1e-11))[self.block[pieces]]
+        scores = self._added(scores, pieces[later], own[later])
+        if without >= 0:
+            scores[without] = 0.0
+        rounded = np.round(scores, 12)
+        if len(scores) > k:
+            found = np.flatnonzero((scores > 0) & (rounded >= np.partition(rounded, -k)[-k]))
+        else:
+            found = np.flatnonzero(scores > 0)
+        found = found[np.lexsort((found, -rounded[found]))][:k]
+        return found, scores[found]
 
 
 @dataclass
@@ -142,36 +158,45 @@ class ToxicityModel:
     names: list[int] = field(default_factory=list)     # ids of the examples
     labels: np.ndarray = field(default_factory=lambda: np.empty(0))
     votes: np.ndarray = field(default_factory=lambda: np.empty(0))  # rows that an example stands for
-    k: int = 15
+    k: int = 100
     knots: tuple[np.ndarray, np.ndarray] | None = None
     without_terms: float = 0.0
 
+    evidence: int = 15
+
     def vector(self, terms: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(terms)
-        ids = terms[order].astype(np.int64)
-        weights = np.log1p(times[order].astype(float)) * self.weight[ids]
+        known = self.weight[terms] > 0
+        ids, times = terms[known].astype(np.int64), times[known]
+        order = np.argsort(ids)
+        ids, weights = ids[order], np.log1p(times[order].astype(float)) * self.weight[ids[order]]
         length = float(np.sqrt((weights ** 2).sum()))
         return ids, weights / length if length else weights
 
+    def of_text(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        counts = self.vocabulary.count(text)
+        return self.vector(np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), np.int64, len(counts)))
+
     def vote(self, ids: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
         """Raw score, and the evidence: examples and cosines."""
         found, cosines = self.index.nearest(ids, weights, self.k, without)
         share = cosines * self.votes[found]
+        if without >= 0:  # the rest of its kind stands for it as well, or few examples would vote against their own kind
+            own = self.labels[found] == self.labels[without]
+            kind = int((self.labels == self.labels[without]).sum())
+            share = np.where(own, share * kind / max(1, kind - 1), share)
         return float((share * self.labels[found]).sum() / share.sum()) if len(found) else 0.0, found, cosines
 
     def score(self, text: str | None) -> tuple[float, list[int]]:
         """Probability, and the ids of the nearest examples."""
         if self.index is None:
             return self.without_terms, []
-        counts = self.vocabulary.count(text)
-        ids, weights = self.vector(np.fromiter(counts, np.int64, len(counts)),
-                                   np.fromiter(counts.values(), np.int64, len(counts)))
+        ids, weights = self.of_text(text)
         if not len(ids):
             return self.without_terms, []
         raw, found, _ = self.vote(ids, weights)
         if not len(found):
             return self.without_terms, []
-        return float(np.interp(raw, *self.knots)), [self.names[i] for i in found]
+        return float(np.interp(raw, *self.knots)), [self.names[i] for i in found[:self.evidence]]
 
 
 def _monotone(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,14 +213,16 @@ def _monotone(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndar
             np.array([(b + mean * unit) / (w + unit) for _, b, w in pools]))
 
 
-def fit(documents: DataFrame, labels: DataFrame, max_examples: int = 4000, k: int = 15) -> ToxicityModel:
+def fit(documents: DataFrame, labels: DataFrame, max_examples: int = 4000, k: int = 100, common: float = 1.0,
+        max_chars: int = 200_000, evidence: int = 15) -> ToxicityModel:
     """Learn from `labels` (doc_id, label 0 or 1) and the texts of `documents` (doc_id, text).
 
     At most `max_examples` labelled documents of each kind become examples, drawn in the order of a hash of the id and
-    broadcast (their number is bounded); their terms reach the driver. Document counts cover all documents.
+    broadcast (their number is bounded); their terms reach the driver, so a drawn text of more than `max_chars` characters
+    is no example. Document counts cover all documents.
     """
     spark = documents.sparkSession
-    labels = labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).select("doc_id", "label")
+    labels = labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).select("doc_id", "label").distinct()
     rows = {row.label: row.n for row in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}
     share = rows.get(1, 0) / max(1, sum(rows.values()))
     constant = ToxicityModel(Vocabulary([]), np.empty(0), None, without_terms=share)
@@ -205,31 +232,27 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = 4000, k: in
     drawn = [labels.where(F.col("label") == label).orderBy(spread, "doc_id").limit(max_examples) for label in (0, 1)]
     sample = spark.createDataFrame(drawn[0].union(drawn[1]).select("doc_id", F.col("label").cast("int")).collect(),
                                    "doc_id long, label int")
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return batches_with(batches, ["doc_id", "label"], lambda batch: {
-            "terms": pa.array([list(terms_of(text)) for text in column(batch, "text")], pa.list_(pa.string()))})
-
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chosen = texts.join(F.broadcast(sample), "doc_id")
-    # How well terms tell the labels apart is counted on the executors.
-    counted = chosen.mapInArrow(gather, "doc_id long, label int, terms array<string>")
-    kinds = {row.label: row.n for row in counted.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    chosen = staged(texts.join(F.broadcast(sample), "doc_id").where(F.coalesce(F.length("text"), F.lit(0)) <= max_chars)
+                    .groupBy("doc_id", "label").agg(F.min("text").alias("text")), "examples")
+    kinds = {row.label: row.n for row in chosen.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(kinds) < 2:
         return constant
-    seen = counted.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.sum("label").alias("toxic"), F.count("*").alias("all"))
-    told = seen.toArrow().sort_by("term")
-    if not told.num_rows:
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: set[str] = set()
+        for batch in batches:
+            for text in column(batch, "text"):
+                found.update(terms_of(text))
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["term"])
+
+    vocabulary = Vocabulary(sorted(chosen.select("text").mapInArrow(words, "term string").distinct().toArrow()
+                                   .column("term").to_pylist()))
+    if not vocabulary.terms:
         return constant
-    vocabulary = Vocabulary(told.column("term").to_pylist())
-    toxic = told.column("toxic").to_numpy().astype(float)
-    clean = told.column("all").to_numpy() - toxic
-    contrast = np.log((toxic + 0.5) / (kinds[1] + 1)) - np.log((clean + 0.5) / (kinds[0] + 1))
-    errors = np.abs(contrast) / np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
     n, counts = _document_counts(texts, vocabulary)
-    weights = np.log((1 + n) / (1 + counts)) * (_PLAIN + errors)
-    model = ToxicityModel(vocabulary, weights, None, k=k, without_terms=share)
+    weights = np.maximum(0.0, np.log(common * (1 + n) / (1 + counts)))
+    model = ToxicityModel(vocabulary, weights, None, k=k, without_terms=share, evidence=evidence)
     known = spark.sparkContext.broadcast(vocabulary)
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,25 +268,42 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = 4000, k: in
     for batch in found.to_batches():
         ends = batch.column("terms").offsets.to_numpy()
         terms, times = batch.column("terms").values.to_numpy(), batch.column("counts").values.to_numpy()
-        examples += [(doc_id, label, terms[ends[i]:ends[i + 1]], times[ends[i]:ends[i + 1]]) for i, (doc_id, label)
-                     in enumerate(zip(column(batch, "doc_id"), column(batch, "label"), strict=True))]
-    examples.sort(key=lambda row: (row[0], row[1], row[2].tobytes()))
+        examples += [(doc_id, label, *model.vector(terms[ends[i]:ends[i + 1]], times[ends[i]:ends[i + 1]]))
+                     for i, (doc_id, label) in enumerate(zip(column(batch, "doc_id"), column(batch, "label"), strict=True))]
+    examples.sort(key=lambda row: row[:2])
     weight = {label: rows[label] / kinds[label] for label in (0, 1)}
-    blank = [label for _, label, terms, _ in examples if not len(terms)]
+    blank = [label for _, label, ids, _ in examples if not len(ids)]
     model.without_terms = (weight[1] * sum(blank) + share) / (sum(weight[label] for label in blank) + 1)
     examples = [row for row in examples if len(row[2])]
     if not examples:
         return constant
-    vectors = [model.vector(terms, times) for _, _, terms, times in examples]
-    model.index = BlockMaxIndex(vectors, told.num_rows)
+    model.index = BlockMaxIndex([(ids, weights) for _, _, ids, weights in examples], len(vocabulary.terms))
     model.names = [row[0] for row in examples]
     model.labels = np.array([row[1] for row in examples], dtype=float)
     model.votes = np.array([weight[row[1]] for row in examples])
-    raw = np.array([model.vote(*vector, without=i)[0] for i, vector in enumerate(vectors)])
-    model.knots = _monotone(raw, model.labels, model.votes)
+    raw = _own_votes(chosen, model)
+    places = sorted(raw)
+    model.knots = _monotone(np.array([raw[i] for i in places]), model.labels[places], model.votes[places])
     return model
 
 
+def _own_votes(chosen: DataFrame, model: ToxicityModel) -> dict[int, float]:
+    """What each example gets from the others, by its place; worked out in tasks."""
+    held = chosen.sparkSession.sparkContext.broadcast(model)
+
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {key: i for i, key in enumerate(zip(held.value.names, held.value.labels.astype(int).tolist()))}
+        for batch in batches:
+            at, raw = [], []
+            for doc_id, label, text in zip(*(column(batch, name) for name in ("doc_id", "label", "text")), strict=True):
+                if (doc_id, label) in place:
+                    at.append(place[doc_id, label])
+                    raw.append(held.value.vote(*held.value.of_text(text), without=at[-1])[0])
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(raw, pa.float64())], names=["at", "raw"])
+
+    return dict(map(tuple, chosen.repartition("doc_id").mapInArrow(vote, "at long, raw double").collect()))
+
+
 def _document_counts(texts: DataFrame, vocabulary: Vocabulary) -> tuple[int, np.ndarray]:
     """Number of documents, and of those with each term, over all rows: each task adds up its own."""
     known = texts.sparkSession.sparkContext.broadcast(vocabulary)
