@@ -116,3 +116,35 @@ def test_hour_decides_the_granularity(spark):
     for hour, granularity in (("23", "day"), (None, "hour")):
         with pytest.raises(ValueError):
             tables.scan_partition(spark, ods, "2020", "05", "13", hour, granularity)
+
+
+def test_wide_records_read_every_field_once(spark):
+    from tollspark.sources import wide
+
+    for record in wide.ALL.values():
+        names = [column for _, column, _ in record.fields()]
+        assert len(set(names)) == len(names) and set(record.wires.split()) | {w for w, _, _ in record.base.fields} == {
+            wire for wire, _, _ in record.fields()}
+    assert len(wide.EXIT.fields()) >= 173 and len(wide.GANTRY.fields()) >= 166
+    texts = ['{"id":"T1","exTime":"2020-05-13T23:00:14","fee":"12.5","exVehicleType":"x","TAC":"no","tac":7,"gantryPassInfo":[1,{"a":"b"}]}',
+             '{"id":"T2","exTime":"2020-05-13T23:00:14","id":"again"}', '{"id":', "null", "[1]", None, '{"exTime":"soon"}', '{"exTime":"2020-05-13T23:00:14"}']
+    messages = spark.createDataFrame(list(enumerate(texts)), "n int, value string")
+    rows = {row.n: row for row in wide.decode(messages, wide.EXIT, keep_raw=True).collect()}
+    assert [i for i in rows if rows[i].valid] == [0, 7] and rows[0].value is None and rows[2].value == texts[2]
+    assert (rows[0].id, str(rows[0].fee), rows[0].vehicle_type, rows[0].tac, rows[0].gantry_pass_info) == (
+        "T1", "12.5000", None, "7", '[1,{"a":"b"}]')
+    plan = wide.decode(messages, wide.EXIT)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parse_json") == 1
+
+
+def test_devices_come_from_the_same_parse(spark):
+    from tollspark.sources import wide
+
+    text = ('{"chargeUnitId":"S1","heatVersion":"202007120709","RSUHeartbeatList":[{"gantryId":"G1","RSUStatus":"11"},{"gantryId":"G2"}],'
+            '"cameraHeartbeatList":[{"gantryId":"G1","statusCode":"0"}],"otherHeartbeatList":[{"x":1}]}')
+    bare = '{"chargeUnitId":"S2","heatVersion":"202007120709","cameraHeartbeatList":[{"gantryId":"G3","statusCode":"099"}]}'
+    beats = wide.decode(spark.createDataFrame([(text,), (bare,)], "value string"), wide.GANTRY_HEARTBEAT)
+    assert [(r.gantry_id, r.rsu_status, r.vplr_status) for r in beats.orderBy("charge_unit_id").collect()] == [
+        ("G1", "11", "0"), ("G3", None, "099")]
+    found = sorted((r.charge_unit_id, r.kind, r.gantry_id, r.status or "") for r in wide.devices(beats).collect())
+    assert found == [("S1", "camera", "G1", "0"), ("S1", "rsu", "G1", "11"), ("S1", "rsu", "G2", ""), ("S2", "camera", "G3", "099")]

@@ -5,8 +5,9 @@ Times come out as text and decimals as doubles, as in the queries.
 
 from __future__ import annotations
 
-from tollspark.plans import views
+from tollspark.plans import messages, views
 from tollspark.plans.queries import COLLECT_DAY, RUN_TIME, STAGES, TOLERANCE
+from tollspark.sources import wide
 
 _TS = "'%Y-%m-%d %H:%M:%S'"
 _DAY = "time_bucket(interval '24 hours', event_ts, interval '16 hours')"
@@ -448,6 +449,7 @@ where strftime(ts, '%Y-%m-%d %H') = '2024-01-15 07' group by 1, 2""",
         "running_count": "select event_type, count(*) as n from events group by event_type",
         "pv_per_minute": _PV,
         "pv_per_minute_windowed": _PV,
+        **{f"decode_{name}": messages.decoded_sql(name) for name in wide.ALL},
     }
     same = {
         "stream_gantry_timeliness": "gantry_timeliness_daily", "stream_picture_timeliness": "picture_timeliness_daily",

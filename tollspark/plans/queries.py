@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tollspark.functions import measures, rowkey, text, times
 from tollspark.operators import match, rates, reports, summary
-from tollspark.plans import views
+from tollspark.plans import messages, views
 from tollspark.session import shared_folder, state_partitions
 from tollspark.sinks import tables as sinks
-from tollspark.sources import decode as decoding, records, tables as sources
+from tollspark.sources import decode as decoding, records, tables as sources, wide
 from tollspark.streaming import join as stream_join, ledger, runs, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -373,6 +373,52 @@ def decode_events(spark, sf_dir):
                        "special_type")
 
 
+def _decoded(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Every message of the record at full width, with its columns where it is valid and its length where it is not."""
+    record = wide.ALL[name]
+    found = wide.decode(messages.messages(views.table(spark, sf_dir, "events"), name), record, keep_raw=True)
+
+    def shown(column: str, kind: str) -> Column:
+        value = F.col(column)
+        if kind.startswith("array"):  # gantry=state of every device
+            value = F.array_join(F.transform(value, lambda d: F.concat_ws("=", d["gantryId"], F.coalesce(
+                d[kind.split(",")[1].split(":")[0].strip()], F.lit("")))), ";")
+        return F.when(F.col("valid"), value).alias(column)
+
+    return found.select("event_id", *[shown(column, kind) for _, column, kind in record.fields()], shown("event_time", ""),
+                        shown("receive_time", ""), F.length("value").alias("rejected_chars"))
+
+
+@query
+def decode_exit(spark, sf_dir):
+    return _decoded(spark, sf_dir, "exit")
+
+
+@query
+def decode_entrance(spark, sf_dir):
+    return _decoded(spark, sf_dir, "entrance")
+
+
+@query
+def decode_gantry(spark, sf_dir):
+    return _decoded(spark, sf_dir, "gantry")
+
+
+@query
+def decode_picture(spark, sf_dir):
+    return _decoded(spark, sf_dir, "picture")
+
+
+@query
+def decode_lane_heartbeat(spark, sf_dir):
+    return _decoded(spark, sf_dir, "lane_heartbeat")
+
+
+@query
+def decode_gantry_heartbeat(spark, sf_dir):
+    return _decoded(spark, sf_dir, "gantry_heartbeat")
+
+
 @query
 def reject_events(spark, sf_dir):
     """Errors of media 9 arrive cut off, those of media 3 with an impossible time; all others are fine."""
