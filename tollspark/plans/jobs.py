@@ -18,7 +18,7 @@ from tollspark.session import shared_folder
 from tollspark.sinks import tables as sinks
 from tollspark.sources import decode as decoding, tables as sources
 from tollspark.sources.records import (ENTRANCE, EXIT, GANTRY, GANTRY_HEARTBEAT, LANE_HEARTBEAT, PICTURE, Record)
-from tollspark.streaming import runs
+from tollspark.streaming import runs, staging
 
 LANE_DEVICES = {"rsu_status": "no_zero", "vplr_status": "no_zero", "lane_controller_status": "no_zero"}
 GANTRY_DEVICES = {"rsu_status": "no_zero", "vplr_status": "zero_code"}
@@ -72,15 +72,20 @@ def issue_daily_job(issues: DataFrame, out: str, year: str, month: str, day: str
 
 def _run(messages: DataFrame, topic: str, record: Record, out: str, trigger: str | None, delay: str,
          results: dict[str, tuple[Callable[[DataFrame], DataFrame], list[str]]]) -> dict[str, StreamingQuery]:
-    """Start one query per result table and one for the rejects, each with its own checkpoint under `out`."""
+    """Start the staging query, which decodes the messages once, then one query per result table and one for the rejects
+    over what it writes, each with its own checkpoint under `out`. With no trigger each takes what is there and stops, so
+    staging is awaited first."""
+    spark = messages.sparkSession
     decoded = decoding.decode(sources.split_by_topic(messages, topic).select("value"), record, keep_raw=True)
-    good, rejects = decoding.split_valid(decoded)
-    timed = runs.with_lateness(good, "event_time", delay)
-    started = {}
+    folder = os.path.join(out, "_decoded")
+    started = {"decoded": staging.stage(decoded, folder, os.path.join(out, "_checkpoints", "decoded"), trigger)}
+    if trigger is None:
+        started["decoded"].awaitTermination()
     for name, (build, keys) in results.items():
+        timed = runs.with_lateness(staging.decoded_rows(spark, folder, decoded.schema), "event_time", delay)
         target = sinks.Upsert(os.path.join(out, name), keys)
         started[name] = runs.run_update(build(timed), target, os.path.join(out, "_checkpoints", name), trigger)
-    started["rejects"] = runs.passthrough(rejects.select("value"), os.path.join(out, "rejects"),
+    started["rejects"] = runs.passthrough(staging.rejected_rows(spark, folder, decoded.schema), os.path.join(out, "rejects"),
                                           os.path.join(out, "_checkpoints", "rejects"), trigger)
     return started
 

@@ -461,4 +461,7 @@ where strftime(ts, '%Y-%m-%d %H') = '2024-01-15 07' group by 1, 2""",
         "stream_exit_station_10min": "exit_station_10min", "stream_entrance_station_10min": "entrance_station_10min",
         "stream_count_by_window": "count_by_window", "stream_token_count": "token_count",
     }
-    return oracles | {stream: oracles[batch] for stream, batch in same.items()}
+    joined = {"stream_gantry_staged": f"""select t.*, d.* exclude (gantry_id, window_start, window_end, statis_day, update_time,
+  roadid, tollstation) from ({oracles['gantry_timeliness_daily']}) t join ({oracles['deal_success_rate']}) d
+  using (gantry_id, window_start)"""}
+    return oracles | joined | {stream: oracles[batch] for stream, batch in same.items()}
