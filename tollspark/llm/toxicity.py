@@ -10,7 +10,7 @@ cosines alike, and are not counted.
 The search is exact. Examples lie in blocks of alike ones. For each term the index has its postings block by block, and
 for each of these pieces the largest weight in it. The sum of a text's weights times these maxima bounds all cosines of a
 block. The blocks with the highest bounds are added up first; then, of the others, those whose bound reaches the k-th best
-cosine. The votes of the k nearest, weighted by cosine and corrected for the sampling of the labels, give a raw score, and
+cosine (all postings at once where that is most of them). The votes of the k nearest, weighted by cosine and corrected for the sampling of the labels, give a raw score, and
 a monotone curve fitted on the votes that examples get from each other, in tasks, makes it a probability.
 
 Texts without any term that weighs something, null and empty ones included, have no neighbours and get the share of toxic
@@ -46,27 +46,36 @@ def terms_of(text: str | None) -> Counter:
 
 
 class Vocabulary:
-    """Numbers of terms; `count` finds those of a text without making the others."""
+    """Numbers of terms; `count` finds those of a text without making the others. The terms of a word are looked up once
+    and remembered, for at most `memo` words at a time."""
 
-    def __init__(self, terms: list[str]):
-        self.terms = terms
+    def __init__(self, terms: list[str], memo: int = 1 << 18):
+        self.terms, self.memo = terms, memo
         self.words = {term: i for i, term in enumerate(terms) if term[-1] != "*"}
         self.four = {term[:4]: i for i, term in enumerate(terms) if term[-1] == "*" and len(term) == 5}
         self.five = {term[:5]: i for i, term in enumerate(terms) if term[-1] == "*" and len(term) == 6}
-
-    def count(self, text: str | None) -> dict[int, int]:
-        found: dict[int, int] = {}
-        words, four, five = self.words, self.four, self.five
-        for word, n in Counter(_WORD.findall((text or "").lower())).items():
-            if word in words:
-                found[words[word]] = n
-            begin = word[:4]
-            if begin in four and len(word) > 4:
-                found[four[begin]] = found.get(four[begin], 0) + n
-            begin = word[:5]
-            if begin in five and len(word) > 5:
-                found[five[begin]] = found.get(five[begin], 0) + n
-        return found
+        self._seen: dict[str, int] = {}
+        self._rows = np.empty((1024, 3), np.int32)
+
+    def _row(self, word: str) -> int:
+        n = len(self._seen)
+        if n == len(self._rows):
+            self._rows = np.concatenate([self._rows, np.empty_like(self._rows)])
+        self._rows[n] = (self.words.get(word, -1), self.four.get(word[:4], -1) if len(word) > 4 else -1,
+                         self.five.get(word[:5], -1) if len(word) > 5 else -1)
+        self._seen[word] = n
+        return n
+
+    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The terms of the text that are in the vocabulary, rising, and how often each occurs."""
+        words = _WORD.findall((text or "").lower())
+        if len(self._seen) > self.memo:
+            self._seen = {}
+        places = list(map(self._seen.get, words))
+        if None in places:
+            places = [self._row(word) if word not in self._seen else self._seen[word] for word in words]
+        found = self._rows[np.array(places, dtype=np.int64)].ravel()
+        return np.unique(found[found >= 0], return_counts=True)
 
 
 def _alike(rows: np.ndarray, size: int) -> list[np.ndarray]:
@@ -93,10 +102,14 @@ def _slices(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size), size
 
 
+def _joined(values: np.ndarray, parts: list[slice]) -> np.ndarray:
+    return np.concatenate([values[part] for part in parts])
+
+
 class BlockMaxIndex:
     """Examples as unit vectors, in postings by term and block with the largest weight of each piece."""
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = 16, sketch: int = 256):
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = 64, sketch: int = 256):
         self.examples = len(vectors)
         term = np.concatenate([ids for ids, _ in vectors] or [np.empty(0, np.int64)]).astype(np.int32)
         weight = np.concatenate([weights for _, weights in vectors] or [np.empty(0)])
@@ -108,37 +121,59 @@ class BlockMaxIndex:
         for number, group in enumerate(groups):
             of[group] = number
         order = np.lexsort((at, of[at], term))
-        self.example, self.weight = at[order], weight[order]
+        self.example, self.weight = at[order].astype(np.int64), weight[order]
         piece = term[order] * np.int64(max(1, self.blocks)) + of[at[order]]
         #: Piece p: postings from begin[p] to begin[p + 1], all of one term and block.
         self.begin = np.append(np.flatnonzero(np.diff(piece, prepend=-1)), len(piece))
         first = self.begin[:-1]
-        self.block = of[self.example[first]]
-        self.largest = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
+        self.block = of[self.example[first]].astype(np.int64)
         #: Pieces of term t: from start[t] on.
         self.start = np.searchsorted(term[order][first], np.arange(terms + 1))
+        #: Largest weight by term and block, rounded upwards.
+        self.largest = np.zeros((terms, max(1, self.blocks)), np.float32)
+        if len(first):
+            most = np.maximum.reduceat(self.weight, first).astype(np.float32)
+            self.largest[term[order][first], self.block] = np.nextafter(most, np.float32(2))
         self.size = np.bincount(of, minlength=self.blocks)
 
-    def _added(self, scores: np.ndarray, pieces: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    def _some(self, pieces: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Scores from the postings of some pieces."""
         at, size = _slices(self.begin[pieces], self.begin[pieces + 1])
-        return scores + np.bincount(self.example[at], np.repeat(weights, size) * self.weight[at], minlength=self.examples)
+        return np.bincount(self.example[at], np.repeat(weights, size) * self.weight[at], minlength=self.examples)
+
+    def _whole(self, ids: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Scores from all postings of terms, which lie together."""
+        begin, end = self.begin[self.start[ids]], self.begin[self.start[ids + 1]]
+        parts = list(map(slice, begin.tolist(), end.tolist()))
+        return np.bincount(_joined(self.example, parts), np.repeat(weights, end - begin) * _joined(self.weight, parts),
+                           minlength=self.examples)
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Examples (places in the list given) and cosines of the k nearest with a positive cosine, best first; ties go
         to the lower place. `without` is an example to leave out."""
-        pieces, size = _slices(self.start[ids], self.start[ids + 1])
-        own = np.repeat(weights, size)
-        bounds = np.bincount(self.block[pieces], own * self.largest[pieces], minlength=self.blocks)
+        if not len(ids) or not self.examples:
+            return np.empty(0, np.int64), np.empty(0)
+        bounds = (weights.astype(np.float32) @ self.largest[ids]).astype(float) * (1 + 1e-4)  # above what rounding may take
         order = np.argsort(-bounds, kind="stable")
-        first = np.zeros(self.blocks, bool)
-        first[order[:int(np.searchsorted(np.cumsum(self.size[order]), k + 1)) + 1]] = True
-        now = first[self.block[pieces]]
-        scores = self._added(np.zeros(self.examples), pieces[now], own[now])
-        if without >= 0:
-            scores[without] = 0.0
-        reached = np.partition(scores, -k)[-k] if len(scores) > k else 0.0
-        later = (~first & (bounds > 0) & (bounds >= reached - 1e-11))[self.block[pieces]]
-        scores = self._added(scores, pieces[later], own[later])
+        chosen = np.zeros(self.blocks, bool)
+        chosen[order[:int(np.searchsorted(np.cumsum(self.size[order]), k + 1)) + 1]] = True
+        scores = np.zeros(self.examples)
+        if not chosen.all():
+            places, size = _slices(self.start[ids], self.start[ids + 1])
+            block, own = self.block[places], np.repeat(weights, size)
+            now = chosen[block]
+            scores = self._some(places[now], own[now])
+            if without >= 0:
+                scores[without] = 0.0
+            reached = np.partition(scores, -k)[-k] if len(scores) > k else 0.0
+            later = ~chosen & (bounds > 0) & (bounds >= reached - 1e-11)
+            if self.size[later].sum() * 2 < self.examples:
+                more = later[block]
+                scores += self._some(places[more], own[more])
+            else:  # the bounds rule out little, and whole terms are read faster than pieces
+                scores = self._whole(ids, weights)
+        else:
+            scores = self._whole(ids, weights)
         if without >= 0:
             scores[without] = 0.0
         rounded = np.round(scores, 12)
@@ -165,16 +200,15 @@ class ToxicityModel:
     evidence: int = 15
 
     def vector(self, terms: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unit vector of rising `terms` that occur so many `times`."""
         known = self.weight[terms] > 0
-        ids, times = terms[known].astype(np.int64), times[known]
-        order = np.argsort(ids)
-        ids, weights = ids[order], np.log1p(times[order].astype(float)) * self.weight[ids[order]]
+        ids = terms[known].astype(np.int64)
+        weights = np.log1p(times[known].astype(float)) * self.weight[ids]
         length = float(np.sqrt((weights ** 2).sum()))
         return ids, weights / length if length else weights
 
     def of_text(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        counts = self.vocabulary.count(text)
-        return self.vector(np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), np.int64, len(counts)))
+        return self.vector(*self.vocabulary.count(text))
 
     def vote(self, ids: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
         """Raw score, and the evidence: examples and cosines."""
@@ -258,8 +292,8 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = 4000, k: in
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def make(batch: pa.RecordBatch) -> dict:
             counted = [known.value.count(text) for text in column(batch, "text")]
-            return {"terms": pa.array([list(c) for c in counted], pa.list_(pa.int32())),
-                    "counts": pa.array([list(c.values()) for c in counted], pa.list_(pa.int32()))}
+            return {"terms": pa.array([terms for terms, _ in counted], pa.list_(pa.int32())),
+                    "counts": pa.array([times for _, times in counted], pa.list_(pa.int32()))}
         return batches_with(batches, ["doc_id", "label"], make)
 
     # As Arrow columns, since the terms of all examples would be many Python objects.
@@ -312,7 +346,7 @@ def _document_counts(texts: DataFrame, vocabulary: Vocabulary) -> tuple[int, np.
         sums = np.zeros(len(known.value.terms) + 1, dtype=np.int64)
         for batch in batches:
             for text in column(batch, "text"):
-                sums[list(known.value.count(text))] += 1
+                sums[known.value.count(text)[0]] += 1
                 sums[-1] += 1
         seen = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[seen])], names=["term", "n"])
