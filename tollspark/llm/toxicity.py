@@ -24,10 +24,12 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -121,21 +123,29 @@ class BlockMaxIndex:
         for number, group in enumerate(groups):
             of[group] = number
         order = np.lexsort((at, of[at], term))
-        self.example, self.weight = at[order].astype(np.int64), weight[order]
+        self.example, self.weight, self.terms = at[order], weight[order], terms
         piece = term[order] * np.int64(max(1, self.blocks)) + of[at[order]]
         #: Piece p: postings from begin[p] to begin[p + 1], all of one term and block.
         self.begin = np.append(np.flatnonzero(np.diff(piece, prepend=-1)), len(piece))
         first = self.begin[:-1]
-        self.block = of[self.example[first]].astype(np.int64)
+        self.block = of[self.example[first]]
         #: Pieces of term t: from start[t] on.
         self.start = np.searchsorted(term[order][first], np.arange(terms + 1))
-        #: Largest weight by term and block, rounded upwards.
-        self.largest = np.zeros((terms, max(1, self.blocks)), np.float32)
-        if len(first):
-            most = np.maximum.reduceat(self.weight, first).astype(np.float32)
-            self.largest[term[order][first], self.block] = np.nextafter(most, np.float32(2))
         self.size = np.bincount(of, minlength=self.blocks)
 
+    @cached_property
+    def largest(self) -> np.ndarray:
+        """Largest weight by term and block, rounded upwards; made where it is used, as it is many times the pieces."""
+        found = np.zeros((self.terms, max(1, self.blocks)), np.float32)
+        if len(self.block):
+            most = np.maximum.reduceat(self.weight, self.begin[:-1]).astype(np.float32)
+            term = np.repeat(np.arange(self.terms), np.diff(self.start))
+            found[term, self.block] = np.nextafter(most, np.float32(2))
+        return found
+
+    def __getstate__(self) -> dict:
+        return {name: value for name, value in self.__dict__.items() if name != "largest"}
+
     def _some(self, pieces: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Scores from the postings of some pieces."""
         at, size = _slices(self.begin[pieces], self.begin[pieces + 1])
@@ -198,6 +208,7 @@ class ToxicityModel:
     without_terms: float = 0.0
 
     evidence: int = 15
+    sent: Broadcast | None = None  # all of it but the curve, as sent for the curve's votes
 
     def vector(self, terms: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Unit vector of rising `terms` that occur so many `times`."""
@@ -284,10 +295,10 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = 4000, k: in
                                    .column("term").to_pylist()))
     if not vocabulary.terms:
         return constant
-    n, counts = _document_counts(texts, vocabulary)
+    known = spark.sparkContext.broadcast(vocabulary)
+    n, counts = _document_counts(texts, known)
     weights = np.maximum(0.0, np.log(common * (1 + n) / (1 + counts)))
     model = ToxicityModel(vocabulary, weights, None, k=k, without_terms=share, evidence=evidence)
-    known = spark.sparkContext.broadcast(vocabulary)
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def make(batch: pa.RecordBatch) -> dict:
@@ -323,7 +334,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_examples: int = 4000, k: in
 
 def _own_votes(chosen: DataFrame, model: ToxicityModel) -> dict[int, float]:
     """What each example gets from the others, by its place; worked out in tasks."""
-    held = chosen.sparkSession.sparkContext.broadcast(model)
+    held = model.sent = chosen.sparkSession.sparkContext.broadcast(replace(model))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {key: i for i, key in enumerate(zip(held.value.names, held.value.labels.astype(int).tolist()))}
@@ -338,10 +349,8 @@ def _own_votes(chosen: DataFrame, model: ToxicityModel) -> dict[int, float]:
     return dict(map(tuple, chosen.repartition("doc_id").mapInArrow(vote, "at long, raw double").collect()))
 
 
-def _document_counts(texts: DataFrame, vocabulary: Vocabulary) -> tuple[int, np.ndarray]:
+def _document_counts(texts: DataFrame, known: Broadcast) -> tuple[int, np.ndarray]:
     """Number of documents, and of those with each term, over all rows: each task adds up its own."""
-    known = texts.sparkSession.sparkContext.broadcast(vocabulary)
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(len(known.value.terms) + 1, dtype=np.int64)
         for batch in batches:
@@ -352,7 +361,7 @@ def _document_counts(texts: DataFrame, vocabulary: Vocabulary) -> tuple[int, np.
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[seen])], names=["term", "n"])
 
     found = texts.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    sums = np.zeros(len(vocabulary.terms) + 1)
+    sums = np.zeros(len(known.value.terms) + 1)
     found = found.toArrow()
     sums[found.column("term").to_numpy()] = found.column("n").to_numpy()
     return int(sums[-1]), sums[:-1]
@@ -360,9 +369,11 @@ def _document_counts(texts: DataFrame, vocabulary: Vocabulary) -> tuple[int, np.
 
 def score(documents: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
     """The columns `keep` of every row with `score` and `evidence`, the ids of the nearest examples, best first."""
-    held = documents.sparkSession.sparkContext.broadcast(model)
+    held = model.sent or documents.sparkSession.sparkContext.broadcast(replace(model))
+    knots = model.knots
 
     def make(batch: pa.RecordBatch) -> dict:
+        held.value.knots = knots
         found = [held.value.score(text) for text in column(batch, "_text")]
         return {"score": pa.array([value for value, _ in found], pa.float64()),
                 "evidence": pa.array([ids for _, ids in found], pa.list_(pa.int64()))}
