@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -223,6 +224,23 @@ def test_a_count_that_timed_out_starts_a_new_session(spark, tmp_path):
     assert {r.k: r.n for r in stateful.session_totals(stored, ["k"], "n").collect()} == {"a": 3, "b": 3}
 
 
+def test_a_timer_reports_a_count_and_the_key_resumes(spark, tmp_path):
+    """By the clock: `a` falls silent, its timer closes it in a later batch, and it starts again from zero."""
+    source, checkpoint, seen = str(tmp_path / "in"), str(tmp_path / "c"), []
+
+    def deliver(*keys):
+        spark.createDataFrame([(k,) for k in keys], "k string").coalesce(1).write.mode("append").parquet(source)
+        counts = stateful.keyed_count(sources.stream_table(spark, source, "k string"), ["k"], 1500, "n", closing=True)
+        runs.foreach_batch(counts, lambda batch, i: seen.extend(map(tuple, batch.collect())), checkpoint).awaitTermination()
+
+    deliver("a", "a")
+    time.sleep(2)
+    deliver("b")
+    deliver("a")
+    assert [row for row in seen if row[0] == "a"] == [("a", 2, False), ("a", 2, True), ("a", 1, False)]
+    assert ("b", 1, False) in seen
+
+
 def test_pv_windows_count_like_the_keyed_state(spark):
     t = datetime(2024, 1, 1, 8, 0, 30)
     views_ = spark.createDataFrame([(t, "v", "u"), (t, "v", "u"), (t, None, "u"), (None, "v", "u"), (t + timedelta(minutes=1), "v", "u")],

@@ -1,7 +1,9 @@
 """Keyed state with an idle timeout. `keyed_count` and what is made of it are the package's only Python operators.
 
 Rows are counted per key inside each Arrow batch before the shuffle, so what a busy key sends to its one state row is
-a partial count per batch and not its rows.
+a partial count per batch and not its rows. The count is a state value with a time to live, which every update renews: a
+key that stays away is forgotten by the state store itself. With `closing` a timer per key forgets it instead, and reports
+the count that is about to go, in the first batch after its time.
 """
 
 from __future__ import annotations
@@ -9,8 +11,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, Row, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
 def _partial_counts(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -24,31 +26,59 @@ def _partial_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*keys).mapInPandas(count, schema)
 
 
-def keyed_count(df: DataFrame, keys: list[str], timeout_ms: int, name: str, sessions: bool = False) -> DataFrame:
+class IdleCount(StatefulProcessor):
+    """Adds up partial counts per key until the key has been idle for `timeout_ms` of processing time."""
+
+    def __init__(self, names: list[str], timeout_ms: int, sessions: bool, closing: bool):
+        self.names, self.timeout_ms, self.sessions, self.closing = names, timeout_ms, sessions, closing
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        # With a timer the value has to stay until a batch comes that can report it.
+        self.held = handle.getValueState("held", "n long, session long", None if self.closing else self.timeout_ms)
+
+    def _row(self, key: tuple, session: int, n: int, closed: bool) -> Row:
+        values = (*key, *([session] if self.sessions else []), n, *([closed] if self.closing else []))
+        return Row(**dict(zip(self.names, values, strict=True)))
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        held = self.held.get() if self.held.exists() else None
+        before, session = (held[0], held[1]) if held else (0, now)
+        total = before + sum(row["_n"] for row in rows)
+        self.held.update((total, session))
+        if self.closing:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(now + self.timeout_ms)
+        yield self._row(key, session, total, False)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.held.exists():
+            total, session = self.held.get()
+            self.held.clear()
+            yield self._row(key, session, total, True)
+
+    def close(self) -> None:
+        pass
+
+
+def keyed_count(df: DataFrame, keys: list[str], timeout_ms: int, name: str, sessions: bool = False,
+                closing: bool = False) -> DataFrame:
     """Running count per key in update mode. A key idle for `timeout_ms` of processing time loses its state and
     starts again from zero.
 
     `sessions` adds the column `session`, the processing time in milliseconds at which the key's state began (a batch
     that is repeated has the same). Upsert by key and session then, and no stored count ever goes down: a key's total is
-    the sum over its sessions, see `session_totals`.
+    the sum over its sessions, see `session_totals`. `closing` adds the column `closed` and a last row with true in it when a
+    key times out.
     """
     fields = [df.schema[k] for k in keys]
     names = ["session", name] if sessions else [name]
-    out = T.StructType([*fields, *[T.StructField(n, T.LongType()) for n in names]])
-    state_schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("session", T.LongType())])
-
-    def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        before, session = state.get if state.exists else (0, state.getCurrentProcessingTimeMs())
-        total = before + sum(int(part["_n"].sum()) for part in parts)
-        state.update((total, session))
-        state.setTimeoutDuration(timeout_ms)
-        yield pd.DataFrame([[*key, *([session] if sessions else []), total]], columns=out.fieldNames())
-
-    return _partial_counts(df, keys).groupBy(*keys).applyInPandasWithState(
-        update, out, state_schema, "update", GroupStateTimeout.ProcessingTimeTimeout)
+    out = T.StructType([*fields, *[T.StructField(n, T.LongType()) for n in names],
+                        *([T.StructField("closed", T.BooleanType())] if closing else [])])
+    return _partial_counts(df, keys).groupBy(*keys).transformWithState(
+        IdleCount(out.fieldNames(), timeout_ms, sessions, closing), out, "Update", "ProcessingTime")
 
 
 def session_totals(counts: DataFrame, keys: list[str], name: str) -> DataFrame:
