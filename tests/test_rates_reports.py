@@ -105,6 +105,19 @@ def test_period_reports(spark):
     assert tuple(entrance.first())[:3] == ("S", "S", "2024-01-01 12:00:00,2024-01-01 12:00:10")
 
 
+def test_report_combines_before_its_only_exchange(spark):
+    """A station with a third of all rows, and more, reaches the exchange as one row per task."""
+    frame = spark.range(4000, numPartitions=4).selectExpr(
+        "case when id % 3 = 0 then 'hot' else concat('S', id % 50) end as station_id", "'n' as station_name", "1 as media_type", "1 as vehicle_type",
+        "0 as vehicle_class", "1 as sign_status", "cast(2500000.5 as decimal(12,4)) as fee", "cast(1 as decimal(10,4)) as discount_fee", "0 as multi_province",
+        "1 as pay_type", "1 as actual_fee_class", "timestamp'2024-01-01' as event_time")
+    report = reports.exit_station_daily(frame, F.lit("d"), F.to_date("event_time"), wide=True)
+    body = report._jdf.queryExecution().executedPlan().toString()
+    assert body.count("Exchange") == 1 and "partial_sum" in body[body.index("Exchange"):]
+    hot = {r.extollstationid: r for r in report.collect()}["hot"]
+    assert (hot.totalVeCnt, str(hot.totalTransFee)) == (1334, "3335000667.0000")
+
+
 def test_report_cells_shrink_a_busy_station(spark):
     frame = exit_frame(spark, *[row()] * 500, *[row(2)] * 500)
     plan = reports.exit_station_daily(frame, F.lit("d"), F.to_date("event_time"), cells=True)._jdf.queryExecution().executedPlan().toString()

@@ -190,3 +190,30 @@ def healthy_devices(df: DataFrame, keys: list[str], devices: dict[str, str], thr
 def rate_sum_by_station(rates: DataFrame, station: str = "station_id", column: str = "rsu_status_rate") -> DataFrame:
     """Sum of the daily rates of a station's devices, for a batch of rate rows."""
     return rates.groupBy(station).agg(F.sum(column).alias("rate_sum"))
+
+
+def rate_sums_by_window(df: DataFrame, keys: list[str], station: str, devices: dict[str, str], event: str = "event_time",
+                        column: str = "rsu_status_rate") -> DataFrame:
+    """`rate_sum_by_station` per day inside the stream: the daily rates of `keys` and `station`, and over them, in the same
+    query, their sum per station and day. Two stateful aggregates in a row need append mode: a day follows when the
+    watermark has closed it. Table or stream."""
+    staged = df.select(*keys, station, times.day_window(event).alias("window"), *devices)
+    counted = staged.groupBy(*keys, station, "window").agg(*_device_counts(devices))
+    rated = counted.select(station, "window", rate(F.col(f"_{column[:-5]}_ok"), F.col(f"_{column[:-5]}_all")).alias("_rate"))
+    summed = rated.groupBy(station, F.window(F.window_time("window"), "24 hours", "24 hours", "16 hours").alias("window")).agg(
+        F.sum("_rate").alias("rate_sum"), F.count(F.lit(1)).alias("devices"))
+    return summed.select(station, F.col("window.start").alias("window_start"), "rate_sum", "devices")
+
+
+def health_changes(df: DataFrame, keys: list[str], devices: dict[str, str], threshold: float = 0.8,
+                   event: str = "event_time") -> DataFrame:
+    """`healthy_devices` for update mode: every device and day whose counts have changed, with its rates and `gone`, true
+    where a rate is below the threshold or unknown. A HAVING would only add rows; upserted with `deleted="gone"`, a device
+    that falls below leaves the table, and comes back when it recovers."""
+    staged = df.select(*keys, times.day_window(event).alias("window"), *devices)
+    grouped = staged.groupBy(*keys, "window").agg(*_device_counts(devices))
+    exact = grouped.withColumns({f"{s}_rate": ratio(F.col(f"_{s}_ok"), F.col(f"_{s}_all")) for s in devices})
+    healthy = F.lit(True)
+    for status in devices:
+        healthy = healthy & F.coalesce(F.col(f"{status}_rate") >= threshold, F.lit(False))
+    return _labelled(exact.withColumn("gone", ~healthy), keys, [*[f"{s}_rate" for s in devices], "gone"], None)

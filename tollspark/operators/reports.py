@@ -90,15 +90,13 @@ def _entrance_measures() -> Measures:
 
 def _report(df: DataFrame, keys: dict[str, Column], codes: tuple[str, ...],
             measures: Measures, amounts: dict[str, str], cells: bool = False,
-            constant: tuple[str, ...] = (), wide: bool = False) -> DataFrame:
-    """Wide aggregate behind one exchange: the rows, narrow by then, are dealt by the keys that `constant` doesn't
-    name (a literal among the partitioning keys would cost an exchange of the wide rows), and each task works out the
-    hundred measures of its keys. A key is one station's day or shorter period, so its rows fit a task.
-
-    With `cells`, for keys busier than that, rows are first counted per cell, a cell being the key with one combination
-    of the listed codes, combined before a shuffle that spreads even the busiest station over its cells; the measures
-    come from the cells, whose number per key is bounded by the code lists whatever the traffic. A stream takes the
-    measures from its rows in one step.
+            wide: bool = False) -> DataFrame:
+    """Wide aggregate behind one exchange: each task works out the hundred measures of the keys it has seen, and only these
+    partial sums are dealt by key, so that a station with a third of all rows sends one row per task. Rows of a key that
+    lie together, as in a table written by day, shrink the most.
+
+    With `cells` rows are first counted per cell, a cell being the key with one combination of the listed codes, and the
+    measures come from the cells. A stream takes the measures from its rows in one step.
     """
     sums = ["_n", *amounts]
     rows = df.select(
@@ -106,10 +104,8 @@ def _report(df: DataFrame, keys: dict[str, Column], codes: tuple[str, ...],
         *[F.when(F.col(c).isin(*CODES[c]), F.col(c)).cast("int").alias(c) for c in codes],
         F.lit(1).cast("bigint").alias("_n"),
         *[cents(column, wide).alias(name) for name, column in amounts.items()])
-    if not df.isStreaming:
-        if cells:
-            rows = rows.groupBy(*keys, *codes).agg(*[F.sum(c).alias(c) for c in sums])
-        rows = rows.repartition(*[key for key in keys if key not in constant])
+    if cells and not df.isStreaming:
+        rows = rows.groupBy(*keys, *codes).agg(*[F.sum(c).alias(c) for c in sums])
     flat: dict[str, str] = {}
     for name, measure in measures.items():
         flat |= {_cell(name, i): sql for i, sql in enumerate(measure)} if isinstance(measure, list) else {name: measure}
@@ -144,13 +140,13 @@ def exit_station_daily(df: DataFrame, collect_day: Column, event_day: Column, pa
                        legacy: bool = False, cells: bool = False, wide: bool = False) -> DataFrame:
     """Exit-station report per station, collection day and event day: 34 columns, matrices as `|1|2|` text.
 
-    `packed=False` keeps the matrices as arrays, `wide` sums amounts of a million and more instead of taking them for
-    zero.
+    `packed=False` keeps the matrices as arrays. Without `wide` amounts of a million and more count as zero, as they did in
+    the reports of old; the jobs sum them.
     """
     keys = {"extollstationid": F.col("station_id"), "exTollStationName": F.col("station_name"),
             "collectDay": collect_day, "eventDay": event_day}
     measures = _exit_measures(legacy)
-    report = _report(df, keys, tuple(CODES), measures, _AMOUNTS, cells, ("collectDay",), wide)
+    report = _report(df, keys, tuple(CODES), measures, _AMOUNTS, cells, wide)
     return _finished(report, [F.col(k) for k in keys], measures, packed, outer=True)
 
 

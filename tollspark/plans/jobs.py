@@ -56,7 +56,7 @@ def exit_daily_job(transactions: DataFrame, out: str, year: str, month: str, day
     """Daily exit-station report into a table partitioned by collection and event day."""
     day_rows = sources.scan_partition(transactions.sparkSession, transactions, year, month, day, hour, granularity)
     report = reports.exit_station_daily(day_rows, reports.collect_day_of(), F.substring("ex_time", 1, 10),
-                                        legacy=legacy)
+                                        legacy=legacy, wide=True)
     sinks.overwrite_partitions(report, out, ["collectDay", "eventDay"])
 
 
@@ -152,6 +152,6 @@ def station_job(messages: DataFrame, topic: str, out: str, entrance: bool = Fals
         build = lambda df: reports.entrance_station_period(df, length, legacy_label=legacy_label)
         keys = ["enTollStationId", "enTollStationName", "statisticDay"]
     else:
-        build = lambda df: reports.exit_station_period(df, length, legacy_label=legacy_label)
+        build = lambda df: reports.exit_station_period(df, length, legacy_label=legacy_label, wide=True)
         keys = ["extollstationid", "exTollStationName", "statisticDay"]
     return _run(messages, topic, ENTRANCE if entrance else EXIT, out, trigger, delay, {"stations": (build, keys)})

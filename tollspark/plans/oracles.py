@@ -103,15 +103,22 @@ _CENTER = "substr(station_id, 1, 11) as sub_center, "
 _LANE_RULES = {"rsu_status": _NO_ZERO, "vplr_status": _NO_ZERO, "lane_controller_status": _NO_ZERO}
 
 
-def _healthy() -> str:
-    devices = ("rsu_status", "lane_controller_status")
+def _healthy(*devices: str) -> str:
     rates = [f"""cast({_count(_NO_ZERO.format(c=c))} as double) / nullif({_count(f"{c} <> '2'")}, 0) as {c}_rate"""
              for c in devices]
     return f"""{views.ctes('v_heartbeat')},
 fact as (select lane_id, station_id, {_DAY} as w, {', '.join(rates)} from v_heartbeat group by all)
-select lane_id, station_id, {_window('w', '24 hours')}, rsu_status_rate, lane_controller_status_rate,
+select lane_id, station_id, {_window('w', '24 hours')}, {', '.join(f'{c}_rate' for c in devices)},
   {_labels('w', run_time=False)}
-from fact where rsu_status_rate >= 0.8 and lane_controller_status_rate >= 0.8"""
+from fact where {' and '.join(f'{c}_rate >= 0.8' for c in devices)}"""
+
+
+#: Of three slices of time the second comes last: its rows are late whose day had ended a day before the newest event.
+_LATE = f"""{views.ctes('ev')},
+span as (select min(unix_s) as first, max(unix_s) as last, epoch_ms(max(event_ts)) - 86400000 as reached from ev),
+placed as (select {_DAY} + interval '24 hours' as day_end, (unix_s - first) * 3 // (last - first + 1) as part, reached from ev, span)
+select part = 1 and epoch_ms(day_end) <= reached as late, strftime(day_end, {_TS}) as day_end, count(*) as n
+from placed group by all"""
 
 
 # --- match ---------------------------------------------------------------------------------------------------------
@@ -371,7 +378,18 @@ select gantry_id, sub_center, {_window('w', '24 hours')},
   {_rate(_count(_NO_ZERO.format(c='vplr_status')), _count("vplr_status <> '2'"))} as vplr_status_rate,
   {_labels('w', run_time=False)}
 from rows_ group by gantry_id, sub_center, w""",
-        "healthy_devices": _healthy(),
+        "healthy_devices": _healthy("rsu_status", "lane_controller_status"),
+        "healthy_on_three_rates": _healthy("rsu_status", "vplr_status", "lane_controller_status"),
+        "stream_rate_sum": f"""{views.ctes('v_heartbeat')},
+fact as (select lane_id, station_id, {_DAY} as w,
+  cast({_rate(_count(_NO_ZERO.format(c='rsu_status')), _count("rsu_status <> '2'"))} as decimal(10,3)) as r
+  from v_heartbeat group by all)
+select station_id, strftime(w, {_TS}) as window_start, cast(sum(r) as double) as rate_sum, count(*) as devices
+from fact group by station_id, w""",
+        "stream_late_rows": _LATE,
+        "overwrite_table": f"""with issues as ({_ISSUES}), {views.ctes('ev')[5:]}
+select * from issues where eventDay <> '2024-01-01' and eventDay in (
+  select strftime(event_ts, '%Y-%m-%d') from ev where event_type = 'purchase' and k % 10 = 3)""",
         "rate_sum_by_station": f"""{views.ctes('v_heartbeat')},
 fact as (select lane_id, station_id, {_DAY} as w,
   cast({_rate(_count(_NO_ZERO.format(c='rsu_status')), _count("rsu_status <> '2'"))} as decimal(10,3)) as r
@@ -459,7 +477,7 @@ where strftime(ts, '%Y-%m-%d %H') = '2024-01-15 07' group by 1, 2""",
         "stream_gantry_heartbeat_hourly": "gantry_heartbeat_hourly",
         "stream_lane_device_rate": "lane_device_rate_daily", "stream_gantry_device_rate": "gantry_device_rate_daily",
         "stream_exit_station_10min": "exit_station_10min", "stream_entrance_station_10min": "entrance_station_10min",
-        "stream_count_by_window": "count_by_window", "stream_token_count": "token_count",
+        "stream_healthy_devices": "healthy_on_three_rates", "stream_count_by_window": "count_by_window", "stream_token_count": "token_count",
     }
     joined = {"stream_gantry_staged": f"""select t.*, d.* exclude (gantry_id, window_start, window_end, statis_day, update_time,
   roadid, tollstation) from ({oracles['gantry_timeliness_daily']}) t join ({oracles['deal_success_rate']}) d

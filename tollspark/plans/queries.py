@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -12,7 +13,7 @@ from tollspark.plans import messages, views
 from tollspark.session import shared_folder, state_partitions
 from tollspark.sinks import tables as sinks
 from tollspark.sources import decode as decoding, records, tables as sources, wide
-from tollspark.streaming import join as stream_join, ledger, runs, staging, stateful
+from tollspark.streaming import join as stream_join, late, ledger, runs, staging, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,6 +162,12 @@ def healthy_devices(spark, sf_dir):
                                  event="event_ts")
 
 
+@query
+def healthy_on_three_rates(spark, sf_dir):
+    return rates.healthy_devices(views.view(spark, sf_dir, "v_heartbeat"), ["lane_id", "station_id"], LANE_DEVICES,
+                                 event="event_ts")
+
+
 @query
 def rate_sum_by_station(spark, sf_dir):
     return rates.rate_sum_by_station(_lane_daily(views.view(spark, sf_dir, "v_heartbeat")))
@@ -252,7 +259,7 @@ def row_key_table(spark, sf_dir):
 
 def _exit_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.exit_station_daily(views.view(spark, sf_dir, "v_exit"), F.lit(COLLECT_DAY),
-                                      F.col("event_day").cast("string"))
+                                      F.col("event_day").cast("string"), wide=True)
 
 
 @query
@@ -613,21 +620,52 @@ def offset_ledger(spark, sf_dir):
 
 @query
 def upsert_latest(spark, sf_dir):
-    """Later event types replace what earlier ones said of a user; types that are not listed come last, by name."""
-    target = sinks.Upsert(shared_folder(spark, "upsert"), ["user_id"], order=["stage", "kind"])
+    """One batch per event type: later types replace what earlier ones said of a user; types that are not listed come last,
+    in one batch and by name."""
+    target = sinks.BucketUpsert(shared_folder(spark, "upsert"), ["user_id"], buckets=8, order=["kind"])
     events = views.table(spark, sf_dir, "events").withColumnRenamed("event_type", "kind")
     counted = events.groupBy("user_id", "kind").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_event"))
-    stages = F.array(*map(F.lit, STAGES))
-    place = F.array_position(stages, F.col("kind"))
-    target.write(counted.withColumn("stage", F.when(place > 0, place).otherwise(len(STAGES) + 1)))
-    return target.read(spark).drop("stage")
+    place = F.array_position(F.array(*map(F.lit, STAGES)), F.col("kind"))
+    staged = shared_folder(spark, "upsert-batches")
+    counted.withColumn("stage", F.when(place > 0, place).otherwise(len(STAGES) + 1)).write.partitionBy("stage").parquet(staged)
+    batches = spark.read.parquet(staged)
+    for stage in range(1, len(STAGES) + 2):
+        target.write(batches.where(F.col("stage") == stage).drop("stage"), stage)
+    return target.read(spark)
+
+
+@query
+def overwrite_table(spark, sf_dir):
+    """Issue reports as a partitioned catalog table, read by name: the days that a table of days names (pruned as the query
+    runs), without the first of the month (pruned as it is planned)."""
+    name = f"issue_flow_{uuid.uuid4().hex}"
+    table = sinks.overwrite(_issues(spark, sf_dir), name, ["eventDay"])
+    days = views.ev(spark, sf_dir).where("event_type = 'purchase' and k % 10 = 3").select(
+        F.date_format("event_ts", "yyyy-MM-dd").alias("day")).distinct()
+    return table.join(days, F.col("eventDay") == F.col("day"), "left_semi").where("eventDay <> '2024-01-01'")
 
 
 # --- streams -------------------------------------------------------------------------------------------------------
 
-def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = views.table_path(sf_dir, "events")
-    return sources.stream_table(spark, path, spark.read.parquet(path).schema)
+def _time_slices(events: DataFrame, slices: int) -> list[DataFrame]:
+    """The events in slices of time, in order."""
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(seconds), F.max(seconds)).first()
+    if first is None:
+        return [events]
+    at = F.least(F.floor((seconds - first) * slices / (last - first + 1)), F.lit(slices - 1))
+    return [events.where(F.coalesce(at, F.lit(0)) == i) for i in range(slices)]
+
+
+def _events_stream(spark: SparkSession, sf_dir: str, slices: int = 3, order: list[int] | None = None) -> DataFrame:
+    """The events as they come in: in slices of time, of which a micro-batch takes one at most. The file source takes files by
+    their age, so slices are written one after another, in `order`."""
+    folder, events = shared_folder(spark, "events"), views.table(spark, sf_dir, "events")
+    parts, files = _time_slices(events, slices), events.rdd.getNumPartitions()
+    for i in order or range(len(parts)):
+        if i < len(parts):  # the same number of files for each slice
+            (parts[i].repartition(files) if files > 1 else parts[i]).write.mode("append").parquet(folder)
+    return sources.stream_table(spark, folder, events.schema, max_files_per_trigger=files)
 
 
 def _view_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -728,6 +766,52 @@ def stream_gantry_device_rate(spark, sf_dir):
     return _replay(out, ["gantry_id", "window_start"])
 
 
+@query
+def stream_rate_sum(spark, sf_dir):
+    """Daily device rates summed up by station and day, both aggregates in one stream: a day's rates pass on when the
+    watermark has closed the day, so both append. A closing heartbeat ten days later closes all days but its own."""
+    source, path, checkpoint = (shared_folder(spark, name) for name in ("rate-events", "rate-sum", "rate-checkpoint"))
+    out = None
+    for part in _event_slices(spark, sf_dir):
+        part.write.mode("append").parquet(source)
+        if out is None:
+            beats = views.over("v_heartbeat", sources.stream_table(spark, source, part.schema))
+            out = rates.rate_sums_by_window(runs.with_lateness(beats, "event_ts"), ["lane_id"], "station_id", LANE_DEVICES,
+                                            event="event_ts")
+        with runs.rocksdb_state(spark), runs.started_with(spark, state_partitions(spark)):
+            runs.passthrough(out, path, checkpoint).awaitTermination()
+    return spark.read.schema(out.schema).parquet(path)
+
+
+@query
+def stream_healthy_devices(spark, sf_dir):
+    """Devices healthy on all three rates, kept up to date: one that falls below the threshold leaves the table again."""
+    out = rates.health_changes(_view_stream(spark, sf_dir, "v_heartbeat"), ["lane_id", "station_id"], LANE_DEVICES,
+                               event="event_ts")
+    target = sinks.BucketUpsert(shared_folder(spark, "healthy"), ["lane_id", "station_id", "window_start"], buckets=8,
+                                deleted="gone")
+    with runs.started_with(spark, state_partitions(spark)):
+        runs.run_update(out, target, shared_folder(spark, "stream-checkpoint"), trigger=None).awaitTermination()
+    return target.read(spark)
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Lane heartbeats per day from three slices of which the second comes last: what is on time is counted, and rows whose day
+    had closed by then are counted apart instead of vanishing."""
+    beats = views.over("v_heartbeat", _events_stream(spark, sf_dir, slices=3, order=[0, 2, 1]))
+    timed = beats.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    days = timed.select("lane_id", "event_ts", times.day_window("event_ts")["end"].alias("day"))
+    marked = late.mark_late(days, "event_ts", "day", "1 day")
+    path = shared_folder(spark, "late")
+    with runs.rocksdb_state(spark), runs.started_with(spark, state_partitions(spark)):
+        writer = marked.writeStream.format("parquet").partitionBy(late.LATE).outputMode("append")
+        writer.option("path", path).option("checkpointLocation", shared_folder(spark, "stream-checkpoint")) \
+            .trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema(marked.schema).parquet(path)
+    return rows.groupBy(late.LATE, F.date_format("day", "yyyy-MM-dd HH:mm:ss").alias("day_end")).agg(F.count("*").alias("n"))
+
+
 @query
 def stream_exit_station_10min(spark, sf_dir):
     out = reports.exit_station_period(_view_stream(spark, sf_dir, "v_exit_evt"), event="event_ts", legacy_label=True)
@@ -766,12 +850,7 @@ def _event_slices(spark: SparkSession, sf_dir: str, slices: int = 2) -> list[Dat
     """The events in slices of time, in order. The last slice also has a closing charge and picture of two users of their
     own, ten days later, which take the watermark of both sides past all others and stay in the state themselves."""
     events = views.table(spark, sf_dir, "events")
-    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
-    first, last = events.agg(F.min(seconds), F.max(seconds)).first()
-    if first is None:
-        return [events]
-    at = F.least(F.floor((seconds - first) * slices / (last - first + 1)), F.lit(slices - 1))
-    parts = [events.where(F.coalesce(at, F.lit(0)) == i) for i in range(slices)]
+    parts = _time_slices(events, slices)
     both = events.agg((F.max("ts") + F.expr("interval 10 days")).alias("ts")).select(
         "ts", F.lit("0").alias("props"), F.inline(F.expr("array(named_struct('event_type', 'purchase', 'user_id', -1), "
                                                          "named_struct('event_type', 'view', 'user_id', -2))")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tollspark.functions import rowkey
@@ -102,6 +103,55 @@ class Upsert:
         return fresh
 
 
+class BucketUpsert:
+    """Keyed replace-into of batches, by bucket; pass `write` to foreachBatch.
+
+    The table is partitioned by a hash of the keys. A batch rewrites the buckets that it has keys of, and no other, so what it
+    costs grows with the buckets it touches and not with the table, and a read is a plain scan of one row per key. Rows keep
+    the id of their batch: a repeated batch, or one whose commit was cut short between two buckets, comes to the same rows.
+    `deleted` names a boolean column of the batches; rows with true in it hide their key until a later batch brings it back.
+    `order` decides between rows of one batch with the same key. One writer at a time.
+    """
+
+    def __init__(self, path: str, keys: list[str], buckets: int = 64, order: list[str] | None = None,
+                 deleted: str | None = None):
+        self.path, self.keys, self.buckets, self.order, self.deleted = path, keys, buckets, order, deleted
+
+    def _stored(self, spark: SparkSession) -> DataFrame | None:
+        try:
+            return spark.read.parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def write(self, batch: DataFrame, batch_id: int = 0) -> None:
+        spark = batch.sparkSession
+        if self.order is not None:
+            batch = latest_by_key(batch, self.keys, self.order)
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias("bucket")
+        fresh = batch.select("*", F.lit(batch_id).cast("bigint").alias(BATCH), bucket).persist()
+        touched = [row.bucket for row in fresh.select("bucket").distinct().collect()]  # `buckets` of them at most
+        if touched:
+            stored = self._stored(spark)
+            if stored is not None:
+                kept = stored.where(F.col("bucket").isin(touched)).select(*fresh.columns)
+                merged = latest_by_key(kept.unionAll(fresh), self.keys, [BATCH])
+            else:
+                merged = fresh
+            merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                  .partitionBy("bucket").parquet(self.path)
+        fresh.unpersist()
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        rows = self._stored(spark)
+        if rows is None:
+            raise FileNotFoundError(f"nothing has been written to {self.path}")
+        if self.deleted:
+            rows = rows.where(~F.coalesce(F.col(self.deleted), F.lit(False))).drop(self.deleted)
+        return rows.drop(BATCH, "bucket")
+
+
 def upsert_batch(df: DataFrame, path: str, keys: list[str], batch_id: int, **options) -> Upsert:
     """Keyed replace-into of one batch table."""
     target = Upsert(path, keys, **options)
@@ -109,8 +159,11 @@ def upsert_batch(df: DataFrame, path: str, keys: list[str], batch_id: int, **opt
     return target
 
 
-def overwrite(df: DataFrame, table: str) -> None:
-    df.write.mode("overwrite").saveAsTable(table)
+def overwrite(df: DataFrame, table: str, partitions: list[str] | None = None) -> DataFrame:
+    """Replace a catalog table, partitioned where columns are given, and return it as it is then read by its name."""
+    writer = (df.hint("rebalance", *partitions) if partitions else df).write.mode("overwrite")
+    (writer.partitionBy(*partitions) if partitions else writer).saveAsTable(table)
+    return df.sparkSession.read.table(table)
 
 
 def overwrite_partitions(df: DataFrame, path: str, columns: list[str]) -> None:
