@@ -139,3 +139,16 @@ def test_hot_slices_are_a_table_like_any_other(spark):
     assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before  # no job while the plan is built
     assert "ResolvedHint" not in found._jdf.queryExecution().analyzed().toString()
     assert {len(row.matches) for row in found.collect()} == {40}
+
+
+def test_repeated_pictures_are_joined_once(spark):
+    etc = spark.createDataFrame([(f"T{i}", "G", "P", 100 + i) for i in range(3)], ETC)
+    viu = spark.createDataFrame([("V1", "G", "P", 101)] * 5000 + [("V2", "G", "P", 102), ("V0", "G", "P", 999)], VIU)
+    want = [("V1",) * 5000 + ("V2",)] * 3
+    plain_ = match.interval_match(etc, viu, **KEYS, tolerance=5, collect="pic_id", repeated_right=True)
+    cut = match.bucketed_interval_match(etc, viu, **KEYS, tolerance=5, collect="pic_id", bucket=10, hot_rows=2)
+    for found in (plain_, cut):
+        assert [tuple(r.matches) for r in found.orderBy("trade_id").collect()] == want
+    plan = plain_._jdf.queryExecution().optimizedPlan().toString()
+    join = plan[plan.index("Join"):]
+    assert "_times" in join and "Aggregate" in join  # the pictures are counted below the join

@@ -25,6 +25,7 @@ def java_hash(column: Column | str) -> Column:
 
 def prefix_width(buckets: int) -> int:
     """Digits of the bucket prefix: 100 buckets are 00-99 and 1000 are 000-999."""
+    # The layout of existing keys.
     if buckets <= 10 or buckets == 100:
         return 2
     return 3 if buckets == 1000 else len(str(buckets))

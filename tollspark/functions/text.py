@@ -84,8 +84,14 @@ def find_count(column: Column | str, pattern: str) -> Column:
 
 
 def find_count_equal(column: Column | str, field: str, value: str) -> Column:
-    """How many members named `field` hold exactly `value`."""
-    return find_count(column, rf'"{field}":"{value}"')
+    """How many members named `field` hold exactly `value`, whatever signs it has."""
+    literal = value.replace("\\E", "\\E\\\\E\\Q")
+    return find_count(column, rf'"{field}"\s*:\s*"\Q{literal}\E"')
+
+
+def count_members(column: Column | str, field: str) -> Column:
+    """How many quoted members named `field` the text has."""
+    return find_count(column, _member(field))
 
 
 def or_blank(column: Column | str) -> Column:

@@ -82,6 +82,21 @@ def _unfolded(folded: DataFrame, unique_left: bool) -> DataFrame:
     return blocks.withColumn("_one", F.explode(F.array_repeat(F.lit(1), size))).drop("_copies", "_block", "_one")
 
 
+_TIMES = "_times"
+
+
+def _counted(right: DataFrame, on: list[str], rt: str, collect: str) -> DataFrame:
+    """Identical right rows as one with their number: they would meet the same partners, and no hash can part them."""
+    return right.groupBy(*on, rt, collect).agg(F.count(F.lit(1)).alias(_TIMES))
+
+
+def _values(counted: bool) -> Column:
+    """The partners' values in order, repeated right rows as often as they occur."""
+    if not counted:
+        return F.transform("_hits", lambda h: h.getField("v"))
+    return F.flatten(F.transform("_hits", lambda h: F.array_repeat(h.getField("v"), h.getField(_TIMES).cast("int"))))
+
+
 def _collected(pairs: DataFrame, left_columns: list[str], rt: str, collect: str, carry: list[str],
                distinct: bool = False) -> DataFrame:
     """Gather each left row's partners in (time, id) order. The partial aggregate runs where the join ran, so what
@@ -100,21 +115,25 @@ def _collected(pairs: DataFrame, left_columns: list[str], rt: str, collect: str,
 
 def interval_match(left: DataFrame, right: DataFrame, on: list[str], lt: str, rt: str, tolerance: int, collect: str,
                    how: str = "left", null_safe: bool = False, bucket: int | None = None,
-                   unique_left: bool = False, plate: str | None = None, default_plate: str | None = None) -> DataFrame:
+                   unique_left: bool = False, plate: str | None = None, default_plate: str | None = None,
+                   repeated_right: bool = False) -> DataFrame:
     """Exactly one row per left row: its columns, `matches` (the `collect` values of its partners in time order, then
     by value), `sign` 1/0 and `degree` 99/66.
 
     `unique_left=True` promises that no two left rows are identical and saves one aggregation. With `default_plate`,
-    the text that stands for an unread plate, rows whose key `plate` holds it match nothing instead of each other.
+    the text that stands for an unread plate, rows whose key `plate` holds it match nothing instead of each other. With
+    `repeated_right` identical right rows are joined once, with their number, and repeated in the result only: for pictures
+    that were sent over and over.
     A slice of time with very many left rows is left to Spark's skew join: the grouping that follows has its own
     exchange, so its partition can be split. `bucketed_interval_match` also splits slices with very many right rows.
     """
     folded = _folded(left, unique_left)
     if default_plate is not None:
         right = right.where(~F.col(plate).eqNullSafe(F.lit(default_plate)))
-    pairs = interval_pairs(folded, right.select(*on, rt, collect), on, lt, rt, tolerance, how, null_safe, bucket)
-    out = _collected(pairs, folded.columns, rt, collect, [])
-    out = out.withColumn("matches", F.transform("_hits", lambda h: h.getField("v")))
+    side = _counted(right, on, rt, collect) if repeated_right else right.select(*on, rt, collect)
+    pairs = interval_pairs(folded, side, on, lt, rt, tolerance, how, null_safe, bucket)
+    out = _collected(pairs, folded.columns, rt, collect, [_TIMES] if repeated_right else [])
+    out = out.withColumn("matches", _values(repeated_right))
     return _unfolded(out, unique_left).select(*left.columns, "matches", "sign", "degree")
 
 
@@ -126,10 +145,11 @@ def bucketed_interval_match(left: DataFrame, right: DataFrame, on: list[str], lt
     A group with more than `hot_rows` rows on either side is split by row hash into enough parts on that side, and the
     other side's rows of that group are copied to each part. Groups are counted as part of the plan (keys and times
     only, combined before the shuffle), and the hot ones are a table like any other: however many there are, all are
-    cut, and nothing is collected.
+    cut, and nothing is collected. Identical right rows, which would all fall into one part, are joined once with their
+    number.
     """
     folded = _folded(left, unique_left)
-    lhs, rhs = _bucketed(folded, right.select(*on, rt, collect), on, lt, rt, tolerance, bucket)
+    lhs, rhs = _bucketed(folded, _counted(right, on, rt, collect), on, lt, rt, tolerance, bucket)
     slices = lhs.select(*on, F.col("_slot"), F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionAll(
         rhs.select(*[F.col(f"_r_{k}").alias(k) for k in on], F.col("_r_slot"), F.lit(0), F.lit(1)))
     sizes = slices.groupBy(*on, "_slot").agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
@@ -153,8 +173,8 @@ def bucketed_interval_match(left: DataFrame, right: DataFrame, on: list[str], lt
     rhs = grid(rhs, [f"_r_{k}" for k in on], "_r_slot", "r", "l", "b")
     same_cell = (F.col("_a_l") == F.col("_b_l")) & (F.col("_a_r") == F.col("_b_r"))
     pairs = lhs.join(rhs, _condition(on, lt, rt, tolerance, null_safe, same_cell), how)
-    out = _collected(pairs, folded.columns, rt, collect, [])
-    out = out.withColumn("matches", F.transform("_hits", lambda h: h.getField("v")))
+    out = _collected(pairs, folded.columns, rt, collect, [_TIMES])
+    out = out.withColumn("matches", _values(True))
     return _unfolded(out, unique_left).select(*left.columns, "matches", "sign", "degree")
 
 

@@ -138,10 +138,10 @@ _NEAR = f"v.gantry_id = e.gantry_id and v.pic_unix between e.trans_unix - {TOLER
 _SAME = f"v.plate = e.plate and {_NEAR}"
 
 
-def _match_rows() -> str:
+def _match_rows(pictures: str = "v_viu") -> str:
     return f"""{views.ctes('v_etc', 'v_viu')},
 hits as (select e.trade_id, e.plate, string_agg('/' || v.pic_id, '' order by v.pic_unix, v.pic_id) as pics
-  from v_etc e left join v_viu v on {_SAME} group by e.trade_id, e.plate, e.gantry_id, e.trans_unix),
+  from v_etc e left join {pictures} v on {_SAME} group by e.trade_id, e.plate, e.gantry_id, e.trans_unix),
 rows_ as (select {_row_key('trade_id', 100, 2)} as rowkey, coalesce(pics, '') as pic_ids, '{RUN_TIME}' as run_time,
   plate, case when pics is null then '' else plate end as pic_plate, trade_id,
   case when pics is null then 0 else 1 end as sign, case when pics is null then 66 else 99 end as degree from hits)
@@ -160,6 +160,7 @@ group by e.trade_id, e.gantry_id, e.plate, e.trans_unix"""
 
 # --- reports -------------------------------------------------------------------------------------------------------
 
+# Codes of the toll records.
 _TYPES = [*range(1, 5), *range(11, 17), *range(21, 27)]
 _CLASSES = [0, 8, 10, 14, *range(21, 29)]
 _PAYS = list(range(1, 8))
@@ -398,6 +399,8 @@ select station_id, cast(sum(r) as double) as rate_sum from fact group by station
         "interval_match": f"{rows} select * from rows_",
         "interval_match_bucketed": f"{rows} select * from rows_",
         "interval_match_hot": f"{rows} select * from rows_",
+        "interval_match_repeated": f"""{_match_rows('(select * from v_viu union all select * from v_viu where pic_unix % 5 = 0)')}
+select way, rows_.* from rows_, (values ('plain'), ('grid')) ways(way)""",
         "interval_pairs": f"""{pairs} select e.*, v.pic_id, v.pic_unix from v_etc e left join v_viu v on {_SAME}""",
         "matched": f"{pairs} select * from v_etc e where exists (select 1 from v_viu v where {_SAME})",
         "unmatched": f"{pairs} select * from v_etc e where not exists (select 1 from v_viu v where {_SAME})",

@@ -203,6 +203,17 @@ def interval_match_hot(spark, sf_dir):
     return match.match_rows(found, RUN_TIME)
 
 
+@query
+def interval_match_repeated(spark, sf_dir):
+    """Every fifth picture was sent twice: joined once, listed as often as sent; in the grid as well."""
+    etc, viu = _sides(spark, sf_dir)
+    sent = viu.unionAll(viu.where("pic_unix % 5 = 0"))
+    plain_, cut = (match.match_rows(found, RUN_TIME) for found in (
+        match.interval_match(etc, sent, **MATCH, collect="pic_id", repeated_right=True),
+        match.bucketed_interval_match(etc, sent, **MATCH, collect="pic_id", bucket=TOLERANCE, hot_rows=2)))
+    return plain_.select(F.lit("plain").alias("way"), "*").unionAll(cut.select(F.lit("grid"), "*"))
+
+
 @query
 def interval_pairs(spark, sf_dir):
     return match.interval_pairs(*_sides(spark, sf_dir), **MATCH)
@@ -489,7 +500,7 @@ def heartbeat_regex(spark, sf_dir):
     return _heartbeat_json(spark, sf_dir).select(
         "hb_id", text.find_first("value", "gantryId").alias("gantry_id"),
         F.array_join(text.find_all("value", "RSUStatus"), ",").alias("rsu_all"),
-        text.find_count("value", r'"gantryId":"\w*"').alias("gantries"),
+        text.count_members("value", "gantryId").alias("gantries"),
         text.find_count_equal("value", "RSUStatus", "21").alias("rsu_21"))
 
 
@@ -636,13 +647,13 @@ def upsert_latest(spark, sf_dir):
 
 @query
 def overwrite_table(spark, sf_dir):
-    """Issue reports as a partitioned catalog table, read by name: the days that a table of days names (pruned as the query
-    runs), without the first of the month (pruned as it is planned)."""
+    """Issue reports as a partitioned catalog table, read by name: the days that a table of days names, without the first of
+    the month, whose partition is pruned."""
     name = f"issue_flow_{uuid.uuid4().hex}"
     table = sinks.overwrite(_issues(spark, sf_dir), name, ["eventDay"])
     days = views.ev(spark, sf_dir).where("event_type = 'purchase' and k % 10 = 3").select(
         F.date_format("event_ts", "yyyy-MM-dd").alias("day")).distinct()
-    return table.join(days, F.col("eventDay") == F.col("day"), "left_semi").where("eventDay <> '2024-01-01'")
+    return table.join(days, F.col("eventDay") == F.col("day")).where("eventDay <> '2024-01-01'").drop("day")
 
 
 # --- streams -------------------------------------------------------------------------------------------------------
