@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tollspark.functions import times
 from tollspark.sources import decode as decoding, records, tables
@@ -150,3 +151,19 @@ def test_devices_come_from_the_same_parse(spark):
         ("G1", "11", "0"), ("G3", None, "099")]
     found = sorted((r.charge_unit_id, r.kind, r.gantry_id, r.status or "") for r in wide.devices(beats).collect())
     assert found == [("S1", "camera", "G1", "0"), ("S1", "rsu", "G1", "11"), ("S1", "rsu", "G2", ""), ("S2", "camera", "G3", "099")]
+
+
+def test_wide_decode_copies_a_row_once_and_by_all_slots(spark, tmp_path):
+    from tollspark.plans import queries
+    from tollspark.sources import wide
+
+    messages = spark.createDataFrame([('{"id":"T1","exTime":"2020-05-13T23:00:14"}',)], "value string")
+    plan = wide.decode(messages, wide.EXIT)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1
+    # One file with one block of rows is one partition, however wide the rows become.
+    spark.sql("select id as event_id, timestamp_seconds(1704067200 + id) as ts, id % 9 as user_id, 'view' as event_type, "
+              "1.5D as value, '{\"k\": 3}' as props from range(500)").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    found = queries.all_queries()["decode_exit"](spark, str(tmp_path))
+    slots = spark.sparkContext.defaultParallelism
+    used = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(used) > slots and sum(r["count"] for r in used) == 500

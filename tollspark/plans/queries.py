@@ -391,10 +391,17 @@ def decode_events(spark, sf_dir):
                        "special_type")
 
 
+def _dealt(rows: DataFrame, per_slot: int = 3) -> DataFrame:
+    """Narrow rows from which wide work follows, dealt to all slots: a small file of many rows would be read by few tasks."""
+    parts = per_slot * rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= parts else rows.repartition(parts)
+
+
 def _decoded(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Every message of the record at full width, with its columns where it is valid and its length where it is not."""
     record = wide.ALL[name]
-    found = wide.decode(messages.messages(views.table(spark, sf_dir, "events"), name), record, keep_raw=True)
+    events = _dealt(views.table(spark, sf_dir, "events"))
+    found = wide.decode(messages.messages(events, name), record, keep_raw=True)
 
     def shown(column: str, kind: str) -> Column:
         value = F.col(column)

@@ -142,18 +142,17 @@ def decode(messages: DataFrame, record: WideRecord, value: str = "value", keep_r
     the text of rows that are not valid, and no other."""
     body = F.try_variant_get(F.try_parse_json(value), "$", f"struct<{record.schema()}>")
     # Generated, as in the narrow decoder: what reads the columns later can't make the parse run again. The times, too, are
-    # read once, however many columns depend on `valid`.
-    staged = messages.select("*", F.explode(F.array(F.struct(F.lit(1).alias("_"), body.alias("record")))).alias("_read"))
+    # read once, however many columns depend on `valid`, and in the same step, as a wide row is not cheap to copy.
+    staged = messages.select("*", F.explode(F.transform(F.array(body), lambda found: F.struct(
+        found.alias("record"), record.base.event_time(found).alias("event_time"),
+        times.parse_iso(found.getField(record.base.receive_time)).alias("receive_time")))).alias("_read"))
     read: Column = F.col("_read.record")
-    known = F.struct(record.base.event_time(read).alias("event_time"),
-                     times.parse_iso(read.getField(record.base.receive_time)).alias("receive_time"))
-    staged = staged.select("*", F.explode(F.array(known)).alias("_known"))
     columns = [read.getField(wire).alias(name) for wire, name, _ in record.fields()]
     columns += [F.expr(sql).alias(name) for name, sql in record.derived.items()]
-    valid = read.isNotNull() & F.col("_known.event_time").isNotNull()
+    valid = read.isNotNull() & F.col("_read.event_time").isNotNull()
     carried = [F.col(c) for c in messages.columns if c != value]
     raw = [F.when(~valid, F.col(value)).alias(value)] if keep_raw else []
-    return staged.select(*carried, *raw, *columns, "_known.event_time", "_known.receive_time", valid.alias("valid"))
+    return staged.select(*carried, *raw, *columns, "_read.event_time", "_read.receive_time", valid.alias("valid"))
 
 
 def devices(decoded: DataFrame) -> DataFrame:
