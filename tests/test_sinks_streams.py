@@ -1,9 +1,10 @@
 import json
 import time
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F, types as T
 
 from tollspark.operators import rates, reports, summary
 from tollspark.plans import views
@@ -241,6 +242,64 @@ def test_a_timer_reports_a_count_and_the_key_resumes(spark, tmp_path):
     assert ("b", 1, False) in seen
 
 
+class Store:
+    """The state of one bucket, which counts how often it is asked."""
+
+    def __init__(self):
+        self.rows, self.timers, self.asked = [], [], 0
+
+    def getListState(self, name, schema, ttl):
+        return self
+
+    def get(self):
+        self.asked += 1
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.asked, self.rows = self.asked + 1, rows
+
+    def clear(self):
+        self.rows = []
+
+    def listTimers(self):
+        return iter(self.timers)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+@pytest.mark.parametrize("closing", [False, True])
+def test_keyed_state_asks_its_store_by_bucket(closing):
+    """A thousand keys cost one look into the store, and each keeps a count, a session and a timeout of its own."""
+    keys, store = T.StructType().add("k", "string").add("i", "long"), Store()
+    names = ["k", "i", "session", "n", *(["closed"] if closing else [])]
+    counts = stateful.IdleCounts(keys, names, 100, True, closing)
+    counts.init(store)
+
+    def call(now, *rows):
+        at = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: now)
+        given = iter([Row(k=k, i=i, _n=n) for k, i, n in rows])
+        return [tuple(r)[:4 + closing] for r in counts.handleInputRows((0,), given, at)]
+
+    last = (False,) if closing else ()
+    found = call(1000, *[("a", i, 2) for i in range(1000)], (None, None, 1), ("a", 0, 3))
+    assert store.asked == 2 and len(found) == 1001
+    assert ("a", 0, 1000, 5, *last) in found and (None, None, 1000, 1, *last) in found
+    assert call(1050, ("a", 0, 1), (None, None, 1)) == [("a", 0, 1000, 6, *last), (None, None, 1000, 2, *last)]
+    late = call(1100, ("a", 7, 1), ("a", 0, 1))  # all others have been idle for the timeout
+    assert ("a", 0, 1000, 7, *last) in late and len(store.rows) == 3
+    if closing:
+        assert ("a", 7, 1000, 3, False) in late and sum(r[4] for r in late) == 998 and store.timers == [1150]
+        at = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: 1160)
+        assert [tuple(r) for r in counts.handleExpiredTimer((0,), at, None)] == [(None, None, 1000, 2, True)]
+        assert store.timers == [1200]
+    else:
+        assert ("a", 7, 1100, 1) in late and len(late) == 2
+
+
 def test_pv_windows_count_like_the_keyed_state(spark):
     t = datetime(2024, 1, 1, 8, 0, 30)
     views_ = spark.createDataFrame([(t, "v", "u"), (t, "v", "u"), (t, None, "u"), (None, "v", "u"), (t + timedelta(minutes=1), "v", "u")],

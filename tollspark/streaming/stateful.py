@@ -1,9 +1,10 @@
 """Keyed state with an idle timeout. `keyed_count` and what is made of it are the package's only Python operators.
 
 Rows are counted per key inside each Arrow batch before the shuffle, so what a busy key sends to its one state row is
-a partial count per batch and not its rows. The count is a state value with a time to live, which every update renews: a
-key that stays away is forgotten by the state store itself. With `closing` a timer per key forgets it instead, and reports
-the count that is about to go, in the first batch after its time.
+a partial count per batch and not its rows. Counts are kept by bucket of keys, with the time of each key's last row, in a
+state list with a time to live: a key that stays away begins again, and a bucket that does is forgotten by the state store
+itself. With `closing` a timer per bucket forgets keys instead, and reports the counts that are about to go, in the first
+batch after their time.
 """
 
 from __future__ import annotations
@@ -26,59 +27,92 @@ def _partial_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*keys).mapInPandas(count, schema)
 
 
-class IdleCount(StatefulProcessor):
-    """Adds up partial counts per key until the key has been idle for `timeout_ms` of processing time."""
+class IdleCounts(StatefulProcessor):
+    """Adds up partial counts per key until the key has been idle for `timeout_ms` of processing time. A call gets all
+    rows of a bucket of keys, and reads and writes the bucket's counts in one go: each look into the store is a message to
+    another process."""
 
-    def __init__(self, names: list[str], timeout_ms: int, sessions: bool, closing: bool):
-        self.names, self.timeout_ms, self.sessions, self.closing = names, timeout_ms, sessions, closing
+    def __init__(self, keys: T.StructType, names: list[str], timeout_ms: int, sessions: bool, closing: bool):
+        self.keys, self.names, self.timeout_ms, self.sessions, self.closing = keys, names, timeout_ms, sessions, closing
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # With a timer the value has to stay until a batch comes that can report it.
-        self.held = handle.getValueState("held", "n long, session long", None if self.closing else self.timeout_ms)
+        held = T.StructType([*self.keys.fields, *[T.StructField(n, T.LongType()) for n in ("_n", "_session", "_last")]])
+        # With a timer the counts have to stay until a batch comes that can report them.
+        self.held = handle.getListState("held", held, None if self.closing else self.timeout_ms)
 
     def _row(self, key: tuple, session: int, n: int, closed: bool) -> Row:
         values = (*key, *([session] if self.sessions else []), n, *([closed] if self.closing else []))
         return Row(**dict(zip(self.names, values, strict=True)))
 
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        now = timerValues.getCurrentProcessingTimeInMs()
-        held = self.held.get() if self.held.exists() else None
-        before, session = (held[0], held[1]) if held else (0, now)
-        total = before + sum(row["_n"] for row in rows)
-        self.held.update((total, session))
+    def _counts(self) -> dict[tuple, tuple[int, int, int]]:
+        """(count, session, time of the last row) of each key of the bucket."""
+        return {tuple(row[:-3]): tuple(row[-3:]) for row in self.held.get()}
+
+    def _keep(self, counts: dict[tuple, tuple[int, int, int]]) -> None:
+        if counts:
+            self.held.put([(*key, *count) for key, count in counts.items()])
+        else:
+            self.held.clear()
         if self.closing:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
-            self.handle.registerTimer(now + self.timeout_ms)
-        yield self._row(key, session, total, False)
+            if counts:
+                self.handle.registerTimer(min(last for _, _, last in counts.values()) + self.timeout_ms)
+
+    def _over(self, counts: dict[tuple, tuple[int, int, int]], now: int) -> list[tuple]:
+        return [key for key, (_, _, last) in counts.items() if last + self.timeout_ms <= now]
+
+    def _closed(self, counts: dict[tuple, tuple[int, int, int]], now: int) -> list[Row]:
+        """The last rows of the keys that have timed out, which leave `counts`."""
+        gone = [(key, *counts.pop(key)) for key in self._over(counts, now)] if self.closing else []
+        return [self._row(key, session, n, True) for key, n, session, _ in gone]
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        now, width = timerValues.getCurrentProcessingTimeInMs(), len(self.keys)
+        counts, seen = self._counts(), {}
+        if not self.closing:  # a key that was idle for too long begins again
+            for gone in self._over(counts, now):
+                del counts[gone]
+        for row in rows:
+            one = tuple(row[:width])
+            seen[one] = seen.get(one, 0) + row["_n"]
+        for one, n in seen.items():
+            before, session, _ = counts.get(one, (0, now, now))
+            counts[one] = (before + n, session, now)
+        found = [self._row(one, counts[one][1], counts[one][0], False) for one in seen]
+        found += self._closed(counts, now)
+        self._keep(counts)
+        yield from found
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.held.exists():
-            total, session = self.held.get()
-            self.held.clear()
-            yield self._row(key, session, total, True)
+        counts = self._counts()
+        found = self._closed(counts, timerValues.getCurrentProcessingTimeInMs())
+        self._keep(counts)
+        yield from found
 
     def close(self) -> None:
         pass
 
 
 def keyed_count(df: DataFrame, keys: list[str], timeout_ms: int, name: str, sessions: bool = False,
-                closing: bool = False) -> DataFrame:
+                closing: bool = False, buckets: int = 4096) -> DataFrame:
     """Running count per key in update mode. A key idle for `timeout_ms` of processing time loses its state and
     starts again from zero.
 
     `sessions` adds the column `session`, the processing time in milliseconds at which the key's state began (a batch
     that is repeated has the same). Upsert by key and session then, and no stored count ever goes down: a key's total is
     the sum over its sessions, see `session_totals`. `closing` adds the column `closed` and a last row with true in it when a
-    key times out.
+    key times out. The state is kept in `buckets` of keys, by hash, and a batch rewrites the live counts of the buckets it has
+    rows of; a checkpoint is bound to their number.
     """
     fields = [df.schema[k] for k in keys]
     names = ["session", name] if sessions else [name]
     out = T.StructType([*fields, *[T.StructField(n, T.LongType()) for n in names],
                         *([T.StructField("closed", T.BooleanType())] if closing else [])])
-    return _partial_counts(df, keys).groupBy(*keys).transformWithState(
-        IdleCount(out.fieldNames(), timeout_ms, sessions, closing), out, "Update", "ProcessingTime")
+    parts = _partial_counts(df, keys).withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    return parts.groupBy("_bucket").transformWithState(
+        IdleCounts(T.StructType(fields), out.fieldNames(), timeout_ms, sessions, closing), out, "Update", "ProcessingTime")
 
 
 def session_totals(counts: DataFrame, keys: list[str], name: str) -> DataFrame:
