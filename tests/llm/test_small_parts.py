@@ -1,15 +1,17 @@
-"""Parts of the operators that need no Spark, against brute force."""
+"""Small parts of the operators, against brute force."""
 
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from tollspark.llm import decontam, html_crf, mixing, quality, simhash, toxicity
+from tollspark.llm import decontam, html_crf, linedup, mixing, quality, simhash, toxicity
 
 
 def naive_hits(words, items, window):
@@ -213,3 +215,30 @@ def test_block_maxima_bound_and_prune():
         best = np.lexsort((np.arange(400), -np.round(full @ full[7], 12)))[:k]
         found, _ = index.nearest(ids, weights, k)
         assert found.tolist() == [i for i in best if full[i] @ full[7] > 0]
+
+
+def test_lines_are_hashed_without_cutting_them_into_words(spark):
+    """White space is folded by a pattern in odd lines only, and no line is split into words before the fold of equal ones;
+    the plan split every line twice. Halves are those of the words."""
+    lines = ["a b c d e f g h", " a\tb  c\x0bd e f\r", "a\x1cb\u00a0c d", "one", "a b c d e f g", "\t\x0c ", "x  "]
+    documents = spark.createDataFrame([(3, "\n".join(lines)), (4, "a b c d e f\n a b  c"), (None, "z"), (5, None)], "doc_id long, text string")
+    distinct = linedup.distinct_lines(documents)
+    assert distinct._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1  # the text, at its line ends
+    found = {row.line: row.place for row in linedup._lines(documents).collect()}
+    wanted = [(i, j, " ".join(w for w in re.split(linedup.SPACES, line) if w)) for i, text in ((3, "\n".join(lines)), (4, "a b c d e f\n a b  c"))
+              for j, line in enumerate(text.split("\n"))]
+    assert set(found) == {line for _, _, line in wanted if line}
+    rows = {row.place: row for row in distinct.collect()}
+    first = {}
+    for i, j, line in wanted:
+        if line:
+            first.setdefault(line, (i << 31) + j)
+    assert set(map(int, rows)) == set(first.values())
+    for line, place in first.items():
+        words, row = line.split(" "), rows[place]
+        m, less = len(words) // 2, (len(words) - 1) // 2
+        halves = [("first", m, " ".join(words[:m])), ("last", m, " ".join(words[len(words) - m:])),
+                  ("first", less, " ".join(words[:less])), ("last", less, " ".join(words[len(words) - less:]))]
+        hashes = spark.createDataFrame(halves, "side string, m int, half string").select(F.xxhash64("side", "m", "half")).collect()
+        assert row.n == len(words) and (row.k0, row.k1) == (hashes[0][0], hashes[1][0])
+        assert (row.k2, row.k3) == ((hashes[2][0], hashes[3][0]) if len(words) % 2 == 0 else (None, None))

@@ -30,11 +30,17 @@ from tollspark.llm.common import SPACES, bounded, staged
 #: Rows up to which a written side is broadcast (a row has under 100 bytes); beyond, the join shuffles.
 BROADCAST_ROWS = 1_000_000
 _PLACES = 1 << 31
+_BLANKS = " \t\n\x0b\f\r"
 
 
-def _words(line: Column) -> Column:
-    """Words of a line; one empty string for a blank line."""
-    return F.split(F.btrim(line, F.lit(" \t\n\x0b\f\r")), SPACES)
+def _normal(line: Column) -> Column:
+    """Words of a line with one space between them; an empty string for a blank line. Most lines are that already, which a
+    search for the bytes finds out; a pattern runs over the others only."""
+    line = F.btrim(line, F.lit(_BLANKS))
+    odd = F.contains(line, F.lit("  "))
+    for blank in _BLANKS[1:]:
+        odd = odd | F.contains(line, F.lit(blank))
+    return F.when(odd, F.regexp_replace(line, SPACES, " ")).otherwise(line)
 
 
 def _place(doc_id: Column, position: Column) -> Column:
@@ -47,16 +53,14 @@ def _home(place: Column) -> Column:
 
 
 def _lines(documents: DataFrame) -> DataFrame:
-    """(doc_id, place, words, n, h1, h2) of every line that isn't blank."""
+    """(place, line) of every line that isn't blank, with one space between its words."""
     rows = documents.where(F.col("doc_id").isNotNull()) \
         .select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    rows = rows.select("doc_id", _place(F.col("doc_id"), F.col("pos")).alias("place"), _words(F.col("line")).alias("words"))
-    joined = F.concat_ws(" ", "words")
-    return rows.where(joined != "").select("doc_id", "place", "words", F.size("words").alias("n"),
-                                           F.xxhash64(joined).alias("h1"), F.xxhash64(F.lit(1), joined).alias("h2"))
+    return rows.where(F.btrim("line", F.lit(_BLANKS)) != "") \
+        .select(_place(F.col("doc_id"), F.col("pos")).alias("place"), _normal(F.col("line")).alias("line"))
 
 
-def _halves(words: Column, n: Column) -> list[Column]:
+def _halves(line: Column, n: Column) -> list[Column]:
     """Hashes of the first m and the last m words, for m = floor(n/2) and m = floor((n-1)/2).
 
     Two lines of n and n or n+1 words within one edit share one of them with m = floor(n/2): if the edit is at word m
@@ -64,15 +68,20 @@ def _halves(words: Column, n: Column) -> list[Column]:
     """
     found = []
     for m in (F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")):
-        found += [F.xxhash64(F.lit("first"), m, F.concat_ws(" ", F.slice(words, F.lit(1), m))),
-                  F.xxhash64(F.lit("last"), m, F.concat_ws(" ", F.slice(words, n - m + 1, m)))]
+        found += [F.xxhash64(F.lit("first"), m, F.call_function("substring_index", line, F.lit(" "), m)),
+                  F.xxhash64(F.lit("last"), m, F.call_function("substring_index", line, F.lit(" "), -m))]
     return found
 
 
 def distinct_lines(documents: DataFrame) -> DataFrame:
-    """One row per distinct line: h1, h2, place (the first), n and the hashes of its halves."""
-    lines = _lines(documents)
-    halves = [half.alias(f"k{i}") for i, half in enumerate(_halves(F.col("words"), F.col("n")))]
+    """One row per distinct line: h1, h2, place (the first), n (its words) and the hashes of its halves."""
+    line = F.col("line")
+    lines = _lines(documents).select(
+        "place", "line", (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1).alias("n"),
+        F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2"))
+    # For odd n the second two are the first two again, and are left out.
+    halves = [(half if i < 2 else F.when(F.col("n") % 2 == 0, half)).alias(f"k{i}")
+              for i, half in enumerate(_halves(line, F.col("n")))]
     return lines.select("h1", "h2", "place", "n", *halves).groupBy("h1", "h2").agg(
         F.min("place").alias("place"), *[F.min(name).alias(name) for name in ("n", "k0", "k1", "k2", "k3")])
 
@@ -84,7 +93,7 @@ def _join_checked(left: DataFrame, written: DataFrame, on: list[str], how: str =
 def _candidates(documents: DataFrame, distinct: DataFrame, min_words: int) -> DataFrame:
     """Lines that share a half with another distinct line: place, n, words and the gaps (low..high) that remain."""
     long_lines = distinct.where(F.col("n") >= min_words)
-    # k0 and k1 are the halves for floor(n/2), k2 and k3 those for floor((n-1)/2), which are the same for odd n.
+    # k0 and k1 are the halves for floor(n/2), k2 and k3 those for floor((n-1)/2), null for odd n.
     even = F.col("n") % 2 == 0
     halves = F.array(F.struct(F.col("k0").alias("key"), F.lit(True).alias("front")),
                      F.struct(F.col("k1").alias("key"), F.lit(False).alias("front")))
@@ -103,20 +112,24 @@ def _candidates(documents: DataFrame, distinct: DataFrame, min_words: int) -> Da
     # The words come from the documents again, which is less to move than all lines with their words.
     homes = staged(gaps.select("doc_id").distinct(), "homes")
     few = _join_checked(documents.where(F.col("doc_id").isNotNull()).select("doc_id", "text"), homes, ["doc_id"])
-    words = _lines(few).select("place", "words")
-    return staged(_join_checked(words, gaps.drop("doc_id"), ["place"]).dropDuplicates(["place"]), "candidates")
+    found = _join_checked(_lines(few), gaps.drop("doc_id"), ["place"]).dropDuplicates(["place"])
+    return staged(found.select("place", F.split("line", " ").alias("words"), "n", "low", "high"), "candidates")
 
 
-def variants(candidates: DataFrame) -> DataFrame:
-    """(place, before, after) for every hashed variant: running hashes of the words before and after a gap, with the
-    word at the gap left out or not. Lines of different lengths meet where the words around the gap are the same."""
+def _hashed(candidates: DataFrame) -> DataFrame:
+    """Running hashes of the words from the front and from the back, written once since variants are made twice."""
     def running(words: Column) -> Column:
         return F.aggregate(words, F.array(F.lit(0).cast("long")),
                            lambda seen, word: F.concat(seen, F.array(F.xxhash64(F.element_at(seen, -1), word))))
 
+    return staged(candidates.select("place", "n", "low", "high", running(F.col("words")).alias("front"),
+                                    F.reverse(running(F.reverse("words"))).alias("back")), "hashed")
+
+
+def variants(hashed: DataFrame) -> DataFrame:
+    """(place, before, after) for every hashed variant: running hashes of the words before and after a gap, with the
+    word at the gap left out or not. Lines of different lengths meet where the words around the gap are the same."""
     n = F.col("n")
-    hashed = candidates.select("place", "n", "low", "high", running(F.col("words")).alias("front"),
-                               F.reverse(running(F.reverse("words"))).alias("back"))
     gaps = hashed.select("place", "n", "front", "back", F.explode(F.sequence("low", "high")).alias("gap"))
     both = gaps.select("place", F.element_at("front", F.col("gap") + 1).alias("before"), F.explode(F.array(
         F.element_at("back", F.col("gap") + 1),
@@ -135,7 +148,7 @@ def within_one_edit(a: Column, b: Column) -> Column:
 
 def near_lines(candidates: DataFrame) -> DataFrame:
     """Places of the candidates that have an earlier line within one edit."""
-    every = variants(candidates)
+    every = variants(_hashed(candidates))
     first = staged(every.groupBy("before", "after").agg(F.min("place").alias("first"), F.max("place").alias("last"))
                    .where("first < last").drop("last"), "variants")
     pairs = _join_checked(every, first, ["before", "after"]).where("first < place").select("place", "first").distinct()
@@ -158,7 +171,7 @@ def dedup_lines(documents: DataFrame, min_words: int = 8) -> DataFrame:
     rows = documents.select(F.struct("*").alias("row"))
     rows = rows.join(kept, F.col("row.doc_id").cast("long") == F.col("home"), "left")
     lines = F.split("row.text", "\n")
-    blank = F.filter(F.transform(lines, lambda line, i: F.when(F.btrim(line, F.lit(" \t\n\x0b\f\r")) == "", i)),
+    blank = F.filter(F.transform(lines, lambda line, i: F.when(F.btrim(line, F.lit(_BLANKS)) == "", i)),
                      lambda i: i.isNotNull())
     places = F.array_sort(F.concat(F.coalesce("places", F.array().cast("array<int>")), blank))
     places = F.when(F.col("row.doc_id").isNull(), F.transform(lines, lambda line, i: i)).otherwise(places)
