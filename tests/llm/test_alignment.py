@@ -73,3 +73,28 @@ def test_groups_spell_the_text(spark):
             assert [int(i) for g in groups for i in g.split("|")[0].split(",")] == a and len(links) == len(a) + len(b) - len(groups)
     assert aligner.tokens("▁low") == ([], []) and aligner.tokens("x" * 500)[0]
     assert aligner.tokens("<|endoftext|>")[0] and 50256 not in aligner.tokens("<|endoftext|>")[0]
+
+
+def test_groups_are_cut_without_a_step_per_token():
+    """As many Python calls for a long text as for a short one, whatever the groups; it was one per group with several ids."""
+    import sys
+
+    aligner, calls = alignment.Tokenizers().load(), []
+    for text in ("unbelievably split wordpieces", "unbelievably split wordpieces, tokenizer's mat 12345 " * 50):
+        a, b = aligner.tokens(text)
+        lines = 0
+
+        def trace(frame, event, arg):
+            nonlocal lines
+            lines += event == "line" and frame.f_code is alignment.Aligner.groups.__code__
+            return trace
+
+        before = sys.gettrace()
+        sys.settrace(trace)
+        try:
+            groups, _ = aligner.groups(a, b)
+        finally:
+            sys.settrace(before)
+        assert any("," in group for group in groups)
+        calls.append(lines)
+    assert calls[0] == calls[1]

@@ -1,7 +1,7 @@
 """Alignment of two tokenizers' tokens on the same bytes.
 
-Both token lists of a text cover the bytes of a space and the text. Dictionaries lead from the offset at which a token ends
-to its index; the offsets in both are where tokens of the two sides end together, and, in order, cut the lists into
+Both token lists of a text cover the bytes of a space and the text. Arrays by offset lead from where a token ends to its
+index; the offsets in both are where tokens of the two sides end together, and, in order, cut the lists into
 groups. Within a group each pair of tokens whose byte ranges overlap is a link. A group's text is its ids, `a1,a2|b1`.
 
 `align` is one narrow pass. `link_counts` counts every pair of ids over the whole corpus. `scored` looks the counts up:
@@ -20,8 +20,6 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import accumulate
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -117,9 +115,10 @@ class Aligner:
     def __init__(self, a, b):
         self.a, self.b = a, b
         self._bytes_a, self._bytes_b = a.pieces, b.pieces
-        self._length_a, self._length_b = [len(p) for p in a.pieces], [len(p) for p in b.pieces]
-        self._text_a, self._text_b = [str(i) for i in range(len(a.pieces))], [str(i) for i in range(len(b.pieces))]
-        self._before_bar = [f"{i}|" for i in range(len(a.pieces))]
+        self._length_a, self._length_b = (np.array([len(p) for p in side.pieces], dtype=np.int64) for side in (a, b))
+        #: Every id as text with what may follow it: `,` or `|` after an id of a, `,` or `;` after one of b.
+        self._text = np.array([f"{i}{mark}".encode() for side, marks in ((a, ",|"), (b, ",;")) for mark in marks
+                               for i in range(len(side.pieces))])
         #: The number of a pair is id of a * base + id of b.
         self.base = len(b.pieces)
 
@@ -134,35 +133,27 @@ class Aligner:
 
     def groups(self, a: list[int], b: list[int]) -> tuple[list[str], np.ndarray]:
         """Texts of the groups, in order, and the numbers of all linked pairs, in any order."""
-        ends_a = list(accumulate(map(self._length_a.__getitem__, a)))
-        ends_b = list(accumulate(map(self._length_b.__getitem__, b)))
-        index_a, index_b = dict(zip(ends_a, range(1, len(a) + 1))), dict(zip(ends_b, range(1, len(b) + 1)))
-        common = sorted(index_a.keys() & index_b.keys())
-        cuts_a = np.fromiter(map(index_a.__getitem__, common), np.int64, len(common))
-        cuts_b = np.fromiter(map(index_b.__getitem__, common), np.int64, len(common))
-        from_a, from_b = np.append(0, cuts_a)[:-1], np.append(0, cuts_b)[:-1]
-        first_a = np.array(a, dtype=np.int64)[from_a]
-        first_b = np.array(b, dtype=np.int64)[from_b]
-        # Most groups are a token on each side; the others' texts are put in their places.
-        texts = list(map(add, map(self._before_bar.__getitem__, first_a.tolist()), map(self._text_b.__getitem__, first_b.tolist())))
-        single = (cuts_a - from_a == 1) & (cuts_b - from_b == 1)
-        links, base, text_a, text_b = [], self.base, self._text_a, self._text_b
-        several = np.flatnonzero(~single)
-        for g, i, to_i, j, to_j in zip(*(part.tolist() for part in (
-                several, from_a[several], cuts_a[several], from_b[several], cuts_b[several])), strict=True):
-            some_a, some_b = a[i:to_i], b[j:to_j]
-            texts[g] = f"{','.join([text_a[x] for x in some_a])}|{','.join([text_b[y] for y in some_b])}"
-            if len(some_a) == 1:
-                links += [some_a[0] * base + y for y in some_b]
-            elif len(some_b) == 1:
-                links += [x * base + some_b[0] for x in some_a]
-            else:
-                while i < to_i:  # both reach the end of the group together
-                    links.append(a[i] * base + b[j])
-                    reached_a, reached_b = ends_a[i], ends_b[j]
-                    i += reached_a <= reached_b
-                    j += reached_b <= reached_a
-        return texts, np.concatenate([first_a[single] * base + first_b[single], np.array(links, dtype=np.int64)])
+        if not a:
+            return [], np.empty(0, np.int64)
+        a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        ends_a, ends_b = np.cumsum(self._length_a[a]), np.cumsum(self._length_b[b])
+        index_a, index_b = np.zeros(ends_a[-1] + 1, np.int32), np.zeros(ends_b[-1] + 1, np.int32)
+        index_a[ends_a], index_b[ends_b] = np.arange(1, len(a) + 1), np.arange(1, len(b) + 1)
+        ends = np.flatnonzero(index_a | index_b)
+        index_a, index_b = index_a[ends], index_b[ends]
+        is_a, is_b = index_a > 0, index_b > 0
+        both = is_a & is_b
+        # Two tokens overlap in one stretch of bytes without an end inside, so each stretch up to the next end is a link.
+        links = a[np.cumsum(is_a) - is_a] * self.base + b[np.cumsum(is_b) - is_b]
+        # In the text an id of a has the ids of b in earlier groups before it, and an id of b the ids of a up to its own
+        # group's.
+        last_a, last_b, cuts_a, cuts_b = both[is_a], both[is_b], index_a[both], index_b[both]
+        place_a = np.arange(len(a)) + np.append(0, cuts_b)[np.cumsum(last_a) - last_a]
+        place_b = np.arange(len(b)) + cuts_a[np.cumsum(last_b) - last_b]
+        order, size = np.empty(len(a) + len(b), np.int64), len(self._length_a)
+        order[place_a], order[place_b] = a + size * last_a, b + 2 * size + self.base * last_b
+        text = self._text[order].tobytes().translate(None, b"\0")
+        return text[:-1].decode().split(";"), links
 
 
 def align(documents: DataFrame, keep: list[str], files: Tokenizers = Tokenizers()) -> DataFrame:
