@@ -217,6 +217,39 @@ def test_block_maxima_bound_and_prune():
         assert found.tolist() == [i for i in best if full[i] @ full[7] > 0]
 
 
+def test_words_of_latin_texts_are_cut_as_bytes():
+    """The same words and terms from bytes as from the pattern, and no pattern run over a text that Latin-1 can hold."""
+    texts = ["Na\u00efve Stra\u00dfe caf\u00e9s x\u00b2 a1b2_c \u00b5m \u00aa\x85x\xa0y\u00ff don't", "", None, "\u0141\u00d3D\u0179 \u201cquoted\u201d abcdef \u6771\u4eac", "\u0130x \u017ftra"]
+    words = [word if isinstance(word, str) else word.decode("latin-1") for text in texts for word in toxicity._words(text)]
+    assert words == [word for text in texts for word in toxicity._WORD.findall((text or "").lower())]
+    assert {type(word) for word in toxicity._words(texts[0])} == {bytes}
+    wanted = [toxicity.terms_of(text) for text in texts]
+    vocabulary = toxicity.Vocabulary(sorted(set().union(*wanted)))
+    for text, terms in zip(texts, wanted, strict=True):
+        ids, times = vocabulary.count(text)
+        assert {vocabulary.terms[i]: n for i, n in zip(ids.tolist(), times.tolist(), strict=True)} == dict(terms)
+
+
+def test_search_learns_where_bounds_rule_nothing_out(monkeypatch):
+    """Where bounds lie far above all cosines, postings are soon read once a text, not in part first and then whole."""
+    draw, vectors = np.random.default_rng(5), []
+    for _ in range(512):
+        ids = np.sort(draw.choice(400, 40, replace=False))
+        vectors.append((ids, np.full(40, 40 ** -0.5)))
+    index, reads = toxicity.BlockMaxIndex(vectors, 400, block=64), []
+    for name in ("_some", "_whole"):
+        real = getattr(index, name)
+        monkeypatch.setattr(index, name, lambda *own, real=real, name=name: (reads.append(name), real(*own))[1])
+    full = np.zeros((512, 400))
+    for i, (ids, weights) in enumerate(vectors):
+        full[i, ids] = weights
+    for i in range(200):
+        found, cosines = index.nearest(*vectors[i], 20)
+        best = np.lexsort((np.arange(512), -np.round(full @ full[i], 12)))[:20]
+        assert found.tolist() == best.tolist() and np.allclose(cosines, (full @ full[i])[best])
+    assert reads.count("_whole") == 200 and reads.count("_some") < 50
+
+
 def test_lines_are_hashed_without_cutting_them_into_words(spark):
     """White space is folded by a pattern in odd lines only, and no line is split into words before the fold of equal ones;
     the plan split every line twice. Halves are those of the words."""

@@ -10,7 +10,7 @@ cosines alike, and are not counted.
 The search is exact. Examples lie in blocks of alike ones. For each term the index has its postings block by block, and
 for each of these pieces the largest weight in it. The sum of a text's weights times these maxima bounds all cosines of a
 block. The blocks with the highest bounds are added up first; then, of the others, those whose bound reaches the k-th best
-cosine (all postings at once where that is most of them). The votes of the k nearest, weighted by cosine and corrected for the sampling of the labels, give a raw score, and
+cosine (all postings at once where that is most of them, by the k-th best of texts before or by the bounds). The votes of the k nearest, weighted by cosine and corrected for the sampling of the labels, give a raw score, and
 a monotone curve fitted on the votes that examples get from each other, in tasks, makes it a probability.
 
 Texts without any term that weighs something, null and empty ones included, have no neighbours and get the share of toxic
@@ -36,6 +36,18 @@ from pyspark.sql import functions as F
 from tollspark.llm.common import batches_with, column, staged, widened
 
 _WORD = re.compile(r"[^\W\d_]+")
+#: Latin-1 with a space in place of all that is in no word.
+_LETTERS = bytes(code if _WORD.match(chr(code)) else 32 for code in range(256))
+
+
+def _words(text: str | None) -> list[str] | list[bytes]:
+    """Lower-cased words, as Latin-1 bytes where the whole text is Latin-1, which is cut several times as fast."""
+    text = (text or "").lower()
+    try:
+        return text.encode("latin-1").translate(_LETTERS).split()
+    except UnicodeEncodeError:
+        return _WORD.findall(text)
+
 
 def terms_of(text: str | None) -> Counter:
     words = Counter(_WORD.findall((text or "").lower()))
@@ -56,26 +68,30 @@ class Vocabulary:
         self.words = {term: i for i, term in enumerate(terms) if term[-1] != "*"}
         self.four = {term[:4]: i for i, term in enumerate(terms) if term[-1] == "*" and len(term) == 5}
         self.five = {term[:5]: i for i, term in enumerate(terms) if term[-1] == "*" and len(term) == 6}
-        self._seen: dict[str, int] = {}
+        self._seen: dict[str | bytes, int] = {}
         self._rows = np.empty((1024, 3), np.int32)
 
-    def _row(self, word: str) -> int:
-        n = len(self._seen)
-        if n == len(self._rows):
+    def _remember(self, words: set[str] | set[bytes]) -> None:
+        n, size = len(self._seen), len(self._seen) + len(words)
+        while size > len(self._rows):
             self._rows = np.concatenate([self._rows, np.empty_like(self._rows)])
-        self._rows[n] = (self.words.get(word, -1), self.four.get(word[:4], -1) if len(word) > 4 else -1,
-                         self.five.get(word[:5], -1) if len(word) > 5 else -1)
-        self._seen[word] = n
-        return n
+        rows = []
+        for seen in words:
+            word = seen if isinstance(seen, str) else seen.decode("latin-1")
+            rows.append((self.words.get(word, -1), self.four.get(word[:4], -1) if len(word) > 4 else -1,
+                         self.five.get(word[:5], -1) if len(word) > 5 else -1))
+        self._rows[n:size] = rows
+        self._seen.update(zip(words, range(n, size)))
 
     def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The terms of the text that are in the vocabulary, rising, and how often each occurs."""
-        words = _WORD.findall((text or "").lower())
+        words = _words(text)
         if len(self._seen) > self.memo:
             self._seen = {}
         places = list(map(self._seen.get, words))
         if None in places:
-            places = [self._row(word) if word not in self._seen else self._seen[word] for word in words]
+            self._remember({word for word, place in zip(words, places) if place is None})
+            places = list(map(self._seen.get, words))
         found = self._rows[np.array(places, dtype=np.int64)].ravel()
         return np.unique(found[found >= 0], return_counts=True)
 
@@ -101,11 +117,9 @@ def _alike(rows: np.ndarray, size: int) -> list[np.ndarray]:
 def _slices(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The places of all slices [begin, end), one after another, and the sizes of the slices."""
     size = end - begin
-    return np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size), size
-
-
-def _joined(values: np.ndarray, parts: list[slice]) -> np.ndarray:
-    return np.concatenate([values[part] for part in parts])
+    places = np.repeat(begin - np.cumsum(size) + size, size)
+    places += np.arange(len(places))
+    return places, size
 
 
 class BlockMaxIndex:
@@ -123,7 +137,8 @@ class BlockMaxIndex:
         for number, group in enumerate(groups):
             of[group] = number
         order = np.lexsort((at, of[at], term))
-        self.example, self.weight, self.terms = at[order], weight[order], terms
+        # As the type of places, or each sum would turn the examples of its postings into it first.
+        self.example, self.weight, self.terms = at[order].astype(np.intp), weight[order], terms
         piece = term[order] * np.int64(max(1, self.blocks)) + of[at[order]]
         #: Piece p: postings from begin[p] to begin[p + 1], all of one term and block.
         self.begin = np.append(np.flatnonzero(np.diff(piece, prepend=-1)), len(piece))
@@ -132,6 +147,8 @@ class BlockMaxIndex:
         #: Pieces of term t: from start[t] on.
         self.start = np.searchsorted(term[order][first], np.arange(terms + 1))
         self.size = np.bincount(of, minlength=self.blocks)
+        #: The k-th best cosine as a share of the highest bound, of late.
+        self._reach = 1.0
 
     @cached_property
     def largest(self) -> np.ndarray:
@@ -148,27 +165,30 @@ class BlockMaxIndex:
 
     def _some(self, pieces: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Scores from the postings of some pieces."""
-        at, size = _slices(self.begin[pieces], self.begin[pieces + 1])
-        return np.bincount(self.example[at], np.repeat(weights, size) * self.weight[at], minlength=self.examples)
+        return self._sums(self.begin[pieces], self.begin[pieces + 1], weights)
 
     def _whole(self, ids: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Scores from all postings of terms, which lie together."""
-        begin, end = self.begin[self.start[ids]], self.begin[self.start[ids + 1]]
-        parts = list(map(slice, begin.tolist(), end.tolist()))
-        return np.bincount(_joined(self.example, parts), np.repeat(weights, end - begin) * _joined(self.weight, parts),
-                           minlength=self.examples)
+        return self._sums(self.begin[self.start[ids]], self.begin[self.start[ids + 1]], weights)
+
+    def _sums(self, begin: np.ndarray, end: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        at, size = _slices(begin, end)
+        return np.bincount(self.example.take(at), np.repeat(weights, size) * self.weight.take(at), minlength=self.examples)
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Examples (places in the list given) and cosines of the k nearest with a positive cosine, best first; ties go
         to the lower place. `without` is an example to leave out."""
         if not len(ids) or not self.examples:
             return np.empty(0, np.int64), np.empty(0)
-        bounds = (weights.astype(np.float32) @ self.largest[ids]).astype(float) * (1 + 1e-4)  # above what rounding may take
+        bounds = (weights.astype(np.float32) @ self.largest.take(ids, axis=0)).astype(float) * (1 + 1e-4)  # above what rounding may take
         order = np.argsort(-bounds, kind="stable")
         chosen = np.zeros(self.blocks, bool)
         chosen[order[:int(np.searchsorted(np.cumsum(self.size[order]), k + 1)) + 1]] = True
+        # Where the k-th best will hardly reach the bounds of half of the examples, all are added up at once; a guess from
+        # the texts before, which any answer to is right: both ways add an example's terms in the same order.
+        prunes = self.size[chosen | (bounds >= self._reach * bounds[order[0]])].sum() * 2 < self.examples
         scores = np.zeros(self.examples)
-        if not chosen.all():
+        if prunes:
             places, size = _slices(self.start[ids], self.start[ids + 1])
             block, own = self.block[places], np.repeat(weights, size)
             now = chosen[block]
@@ -188,7 +208,9 @@ class BlockMaxIndex:
             scores[without] = 0.0
         rounded = np.round(scores, 12)
         if len(scores) > k:
-            found = np.flatnonzero((scores > 0) & (rounded >= np.partition(rounded, -k)[-k]))
+            reached = np.partition(rounded, -k)[-k]
+            self._reach += (reached / bounds[order[0]] - self._reach) / 16 if bounds[order[0]] > 0 else 0.0
+            found = np.flatnonzero((scores > 0) & (rounded >= reached))
         else:
             found = np.flatnonzero(scores > 0)
         found = found[np.lexsort((found, -rounded[found]))][:k]
