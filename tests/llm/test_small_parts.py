@@ -275,3 +275,21 @@ def test_lines_are_hashed_without_cutting_them_into_words(spark):
         hashes = spark.createDataFrame(halves, "side string, m int, half string").select(F.xxhash64("side", "m", "half")).collect()
         assert row.n == len(words) and (row.k0, row.k1) == (hashes[0][0], hashes[1][0])
         assert (row.k2, row.k3) == ((hashes[2][0], hashes[3][0]) if len(words) % 2 == 0 else (None, None))
+
+
+def test_search_gathers_into_arrays_that_stay():
+    """Arrays of an earlier, longer search leave nothing behind, aren't made anew, and aren't sent to tasks."""
+    draw, vectors = np.random.default_rng(8), []
+    for n in draw.integers(1, 40, 300):
+        weights = draw.random(n) + 0.1
+        vectors.append((np.sort(draw.choice(80, n, replace=False)), weights / np.linalg.norm(weights)))
+    index = toxicity.BlockMaxIndex(vectors, 80)
+    every = np.arange(80), np.full(80, 80 ** -0.5)
+    index.nearest(*every, 7)
+    kept = index._scratch
+    for ids, weights in vectors[:40]:
+        found, cosines = index.nearest(ids, weights, 7)
+        fresh, same = toxicity.BlockMaxIndex(vectors, 80).nearest(ids, weights, 7)
+        assert found.tolist() == fresh.tolist() and cosines.tolist() == same.tolist()
+    assert index._scratch is kept and len(kept[0]) >= len(index.weight)
+    assert not {"_scratch", "largest"} & index.__getstate__().keys()

@@ -75,12 +75,10 @@ class Vocabulary:
         n, size = len(self._seen), len(self._seen) + len(words)
         while size > len(self._rows):
             self._rows = np.concatenate([self._rows, np.empty_like(self._rows)])
-        rows = []
-        for seen in words:
-            word = seen if isinstance(seen, str) else seen.decode("latin-1")
-            rows.append((self.words.get(word, -1), self.four.get(word[:4], -1) if len(word) > 4 else -1,
-                         self.five.get(word[:5], -1) if len(word) > 5 else -1))
-        self._rows[n:size] = rows
+        texts = [word if isinstance(word, str) else word.decode("latin-1") for word in words]
+        self._rows[n:size, 0] = [self.words.get(word, -1) for word in texts]
+        self._rows[n:size, 1] = [self.four.get(word[:4], -1) if len(word) > 4 else -1 for word in texts]
+        self._rows[n:size, 2] = [self.five.get(word[:5], -1) if len(word) > 5 else -1 for word in texts]
         self._seen.update(zip(words, range(n, size)))
 
     def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -125,6 +123,8 @@ def _slices(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 class BlockMaxIndex:
     """Examples as unit vectors, in postings by term and block with the largest weight of each piece."""
 
+    _scratch = np.empty(0, np.intp), np.empty(0)
+
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = 64, sketch: int = 256):
         self.examples = len(vectors)
         term = np.concatenate([ids for ids, _ in vectors] or [np.empty(0, np.int64)]).astype(np.int32)
@@ -161,7 +161,7 @@ class BlockMaxIndex:
         return found
 
     def __getstate__(self) -> dict:
-        return {name: value for name, value in self.__dict__.items() if name != "largest"}
+        return {name: value for name, value in self.__dict__.items() if name not in ("largest", "_scratch")}
 
     def _some(self, pieces: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Scores from the postings of some pieces."""
@@ -173,7 +173,14 @@ class BlockMaxIndex:
 
     def _sums(self, begin: np.ndarray, end: np.ndarray, weights: np.ndarray) -> np.ndarray:
         at, size = _slices(begin, end)
-        return np.bincount(self.example.take(at), np.repeat(weights, size) * self.weight.take(at), minlength=self.examples)
+        if len(at) > len(self._scratch[0]):
+            self._scratch = np.empty(2 * len(at), np.intp), np.empty(2 * len(at))
+        # Into arrays that stay, as fresh memory for each text costs more than the sums; all places are in range.
+        example, weight = self._scratch[0][:len(at)], self._scratch[1][:len(at)]
+        self.example.take(at, out=example, mode="clip")
+        self.weight.take(at, out=weight, mode="clip")
+        weight *= np.repeat(weights, size)
+        return np.bincount(example, weight, minlength=self.examples)
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Examples (places in the list given) and cosines of the k nearest with a positive cosine, best first; ties go
