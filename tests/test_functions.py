@@ -108,6 +108,24 @@ def test_pack_and_rates(spark):
     assert tuple(got) == ("|1|0|3|", "1|0|3", Decimal("0.063"), None)
 
 
+def test_totals_are_packed_alike_whether_zero_or_not(spark):
+    frame = spark.sql("select 0L z, 12L n, -5000L m")
+    def packed(*args):
+        return frame.selectExpr(measures.pack_totals(*args)).first()[0]
+    assert (packed(["z", "z"], False, True), packed(["z", "z"], False, False)) == ("|0|0|", "0|0")
+    assert (packed(["z", "n"], False, True), packed(["n"], False, False)) == ("|0|12|", "12")
+    assert (packed(["z", "z"], True, True), packed(["z", "m"], True, True)) == ("|0.0000|0.0000|", "|0.0000|-0.5000|")
+    total = frame.selectExpr(f"{measures.amount('z')} as z", f"{measures.amount('m')} as m")
+    assert dict(total.dtypes) == {"z": "decimal(20,4)", "m": "decimal(20,4)"}
+    assert tuple(total.first()) == (Decimal(0), Decimal("-0.5"))
+
+
+def test_wide_decimal_needs_no_trial(spark):
+    frame = spark.sql("select * from values (1234567.25BD), (cast(null as decimal(12,4))), (-3.5BD) as t(fee)")
+    tried, exact = (frame.select(measures.cents("fee", True, sure).alias("c")) for sure in (False, True))
+    assert [r.c for r in exact.collect()] == [r.c for r in tried.collect()] == [12345672500, 0, -35000]
+
+
 def test_money(spark):
     frame = spark.createDataFrame([("1.25",), (None,), ("12345678",), ("x",)], "fee string")
     got = [r[0] for r in frame.select(measures.money("fee")).collect()]

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tollspark.functions import times
-from tollspark.functions.measures import (amount, amount_text, cents, code_matrix, count_where, pack_cells,
-                                          sum_where)
+from tollspark.functions.measures import amount, cents, code_matrix, count_where, pack_totals, sum_where
 
 # Codes of the toll records.
 ETC, CPC, PAPER, M1, NO_MEDIA = 1, 2, 3, 4, 9
@@ -17,6 +16,8 @@ PAY_TYPES = (1, 2, 3, 4, 5, 6, 7)
 FEE_CLASSES = (1, 2, 3, 4, 5, 6, 11)
 CHARGE_CARD, STORED_VALUE_CARD, OBU = (2, 82), (1, 9), (3, 65)  # (card type, operation type)
 
+OTHER = -1  # stands for a missing or unlisted code, so that a hundred conditions needn't ask for NULL
+
 CODES = {
     "media_type": (ETC, CPC, PAPER, M1, NO_MEDIA),
     "vehicle_type": VEHICLE_TYPES,
@@ -34,57 +35,67 @@ ENTRANCE_CODES = ("media_type", "vehicle_type", "vehicle_class", "sign_status")
 Measures = dict[str, str | list[str]]
 
 
-def _vehicle_measures() -> Measures:
+def _weight(df: DataFrame, cells: bool = False) -> str:
+    """What a row weighs in counts: cells weigh the rows they stand for, plain rows are counted. Streams keep the sums
+    of their stored state."""
+    return "_n" if cells or df.isStreaming else "1"
+
+
+def _total(n: str) -> str:
+    return "count(1)" if n == "1" else f"sum({n})"
+
+
+def _vehicle_measures(n: str) -> Measures:
     measures: Measures = {}
     for label, media in (("etc", ETC), ("cpc", CPC)):
         here = f"media_type = {media}"
-        measures[f"{label}TypeCount"] = code_matrix("_n", "vehicle_type", VEHICLE_TYPES, here)
-        measures[f"{label}ClassCount"] = code_matrix("_n", "vehicle_class", VEHICLE_CLASSES, here)
+        measures[f"{label}TypeCount"] = code_matrix(n, "vehicle_type", VEHICLE_TYPES, here)
+        measures[f"{label}ClassCount"] = code_matrix(n, "vehicle_class", VEHICLE_CLASSES, here)
         if media == ETC:
-            measures["etcSuccessCount"] = sum_where("_n", f"{here} and sign_status = {SIGN_OK}")
-            measures["etcFailCount"] = sum_where("_n", f"{here} and sign_status = {SIGN_FAIL}")
+            measures["etcSuccessCount"] = sum_where(n, f"{here} and sign_status = {SIGN_OK}")
+            measures["etcFailCount"] = sum_where(n, f"{here} and sign_status = {SIGN_FAIL}")
     return measures
 
 
-def _exit_measures(legacy: bool = False) -> Measures:
-    """All exit-station measures over cells, amounts still in ten-thousandths.
+def _exit_measures(n: str, legacy: bool = False) -> Measures:
+    """All exit-station measures over rows or cells that weigh `n`, amounts still in ten-thousandths.
 
     `legacy` sums the fee classes by payment type, as the reports of old did.
     """
-    measures = _vehicle_measures()
+    measures = _vehicle_measures(n)
     fees = {("cpc", "Success"): "cpcSuccessFee", ("cpc", "Fail"): "cpcFailFee",
             ("paper", "Success"): "pagerIssueSuccessSumFee", ("paper", "Fail"): "paperFailFee"}
     for label, media in (("cpc", CPC), ("paper", PAPER)):
         for outcome, sign in (("Success", SIGN_OK), ("Fail", SIGN_FAIL)):
             here = f"media_type = {media} and sign_status = {sign}"
-            measures[f"{label}{outcome}Count"] = sum_where("_n", here)
+            measures[f"{label}{outcome}Count"] = sum_where(n, here)
             measures[fees[label, outcome]] = sum_where("_fee", here)
     measures |= {
-        "totalVeCnt": "sum(_n)",
+        "totalVeCnt": _total(n),
         "totalTransFee": "sum(_fee)",
         "totalDiscountFee": "sum(_discount)",
-        "etcCnt": sum_where("_n", f"media_type = {ETC}"),
+        "etcCnt": sum_where(n, f"media_type = {ETC}"),
         "etcTotalTransFee": sum_where("_fee", f"media_type = {ETC}"),
         "etcTotalDiscountFee": sum_where("_discount", f"media_type = {ETC}"),
-        "noMediaTypeTotalNum": sum_where("_n", f"media_type = {NO_MEDIA}"),
-        "m1PassNum": sum_where("_n", f"media_type = {M1}"),
+        "noMediaTypeTotalNum": sum_where(n, f"media_type = {NO_MEDIA}"),
+        "m1PassNum": sum_where(n, f"media_type = {M1}"),
     }
     for label, several in (("singlePro", 0), ("mutilPro", 1)):
-        measures[f"{label}TransTotalNum"] = sum_where("_n", f"multi_province = {several}")
+        measures[f"{label}TransTotalNum"] = sum_where(n, f"multi_province = {several}")
         measures[f"{label}TransTotalFee"] = sum_where("_fee", f"multi_province = {several}")
     return measures | {
-        "payTypeTotalNum": code_matrix("_n", "pay_type", PAY_TYPES),
+        "payTypeTotalNum": code_matrix(n, "pay_type", PAY_TYPES),
         "payTypeTotalFee": code_matrix("_fee", "pay_type", PAY_TYPES),
-        "actualWayTotalNum": code_matrix("_n", "actual_fee_class", FEE_CLASSES),
+        "actualWayTotalNum": code_matrix(n, "actual_fee_class", FEE_CLASSES),
         "actualWayTotalFee": code_matrix("_fee", "pay_type" if legacy else "actual_fee_class", FEE_CLASSES),
     }
 
 
-def _entrance_measures() -> Measures:
-    return _vehicle_measures() | {
-        "cpcCount": sum_where("_n", f"media_type = {CPC}"),
-        "paperCount": sum_where("_n", f"media_type = {PAPER}"),
-        "allCarCount": "sum(_n)",
+def _entrance_measures(n: str) -> Measures:
+    return _vehicle_measures(n) | {
+        "cpcCount": sum_where(n, f"media_type = {CPC}"),
+        "paperCount": sum_where(n, f"media_type = {PAPER}"),
+        "allCarCount": _total(n),
     }
 
 
@@ -101,9 +112,10 @@ def _report(df: DataFrame, keys: dict[str, Column], codes: tuple[str, ...],
     sums = ["_n", *amounts]
     rows = df.select(
         *[expr.alias(name) for name, expr in keys.items()],
-        *[F.when(F.col(c).isin(*CODES[c]), F.col(c)).cast("int").alias(c) for c in codes],
+        *[F.coalesce(F.when(F.col(c).isin(*CODES[c]), F.col(c)).cast("int"), F.lit(OTHER)).alias(c) for c in codes],
         F.lit(1).cast("bigint").alias("_n"),
-        *[cents(column, wide).alias(name) for name, column in amounts.items()])
+        *[cents(column, wide, isinstance(df.schema[column].dataType, T.DecimalType)).alias(name)
+          for name, column in amounts.items()])
     if cells and not df.isStreaming:
         rows = rows.groupBy(*keys, *codes).agg(*[F.sum(c).alias(c) for c in sums])
     flat: dict[str, str] = {}
@@ -124,7 +136,7 @@ def _finished(report: DataFrame, labels: list[Column], measures: Measures, packe
         if isinstance(measure, list):
             cells = [_cell(name, i) for i in range(len(measure))]
             if packed:
-                sql = pack_cells([amount_text(c) if is_amount else f"cast({c} as string)" for c in cells], outer)
+                sql = pack_totals(cells, is_amount, outer)
             else:
                 sql = f"array({', '.join(amount(c) if is_amount else c for c in cells)})"
         else:
@@ -145,7 +157,7 @@ def exit_station_daily(df: DataFrame, collect_day: Column, event_day: Column, pa
     """
     keys = {"extollstationid": F.col("station_id"), "exTollStationName": F.col("station_name"),
             "collectDay": collect_day, "eventDay": event_day}
-    measures = _exit_measures(legacy)
+    measures = _exit_measures(_weight(df, cells), legacy)
     report = _report(df, keys, tuple(CODES), measures, _AMOUNTS, cells, wide)
     return _finished(report, [F.col(k) for k in keys], measures, packed, outer=True)
 
@@ -162,7 +174,7 @@ def exit_station_period(df: DataFrame, length: str = "10 minutes", event: str =
     """Exit-station report per station and event-time period: 33 columns, matrices as `1|2` text. Table or stream."""
     keys = {"extollstationid": F.col("station_id"), "exTollStationName": F.col("station_name"),
             "window": times.tumbling(event, length)}
-    measures = _exit_measures(legacy)
+    measures = _exit_measures(_weight(df), legacy)
     report = _report(df, keys, tuple(CODES), measures, _AMOUNTS, wide=wide)
     return _finished(report, _period_labels(list(keys)[:2], legacy_label), measures, packed, outer=False)
 
@@ -176,7 +188,7 @@ def entrance_station_period(df: DataFrame, length: str = "10 minutes", event: st
     name = "station_name" if "station_name" in df.columns else "station_id"
     keys = {"enTollStationId": F.col("station_id"), "enTollStationName": F.col(name),
             "window": times.tumbling(event, length)}
-    measures = _entrance_measures()
+    measures = _entrance_measures(_weight(df))
     report = _report(df, keys, ENTRANCE_CODES, measures, {})
     return _finished(report, _period_labels(list(keys)[:2], legacy_label), measures, packed, outer=False)
 
