@@ -142,6 +142,22 @@ def test_report_counts_rows_and_sums_only_amounts(spark):
     assert cells == got
 
 
+def test_large_amounts_are_counted_in_one_pass(spark):
+    """The rows of exit_station_wide: amounts a thousandfold, no discounts, missing prices."""
+    from tollspark.plans import views
+
+    lines = spark.sql("""select * from values (97L, 8L, 7L, 1, 1.0D, 12345.5D, 0.1D, 0.0D, 'A', 'O', timestamp'2024-01-05'),
+      (12L, 9L, 7L, 2, 1.0D, 10.25D, 0.1D, 0.0D, 'R', 'F', timestamp'2024-01-05'), (13L, 9L, 7L, 2, 50.0D, null, 0.1D, 0.0D, 'R', 'F', timestamp'2024-01-05')
+      as t(l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)""")
+    report = reports.exit_station_daily(views.over("v_exit_large", lines), F.lit("d"), F.col("event_day").cast("string"), wide=True)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_count" in plan and plan.count("partial_sum(") <= 24
+    got = report.first()
+    assert (got.totalVeCnt, got.totalTransFee, got.totalDiscountFee) == (3, Decimal("12345510.25"), Decimal(0))
+    assert (got.etcTotalTransFee, got.cpcFailFee, got.noMediaTypeTotalNum) == (Decimal("12345500"), Decimal("10.25"), 1)
+    assert got.payTypeTotalNum == "|2|0|0|0|0|0|0|" and got.payTypeTotalFee.startswith("|10.2500|0.0000|")
+
+
 def test_sliding_count_equals_spark_window(spark, rows):
     frame = spark.range(500).selectExpr("id % 3 as k", "timestamp_seconds(id * 37 - 4000) as event_time")
     for length, slide in (("25 minutes", "10 minutes"), ("10 minutes", "10 minutes"), ("7 minutes", "3 minutes"), ("1 hour", "20 minutes")):
