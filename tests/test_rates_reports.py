@@ -192,3 +192,22 @@ def test_daily_report_has_one_exchange(spark, sf_dir):
 
     plan = all_queries()["exit_station_daily"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_days_of_the_wide_report_make_a_small_key(spark, tmp_path):
+    """A constant collection day is no key, and the event day is a date until the report is done."""
+    from tollspark.plans.queries import COLLECT_DAY, all_queries
+
+    spark.sql("""select * from values (97L, 8L, 7L, 1, 1.0D, 12345.5D, 0.1D, 0.0D, 'A', 'O', timestamp_ntz'2024-01-05'),
+      (12L, 9L, 7L, 2, 1.0D, 10.25D, 0.1D, 0.0D, 'R', 'F', timestamp_ntz'2024-01-05'), (13L, 9L, 7L, 2, 50.0D, null, 0.1D, 0.0D, 'R', 'F', null),
+      (14L, 9L, 7L, 2, 50.0D, 1.5D, 0.1D, 0.0D, 'R', 'F', null), (15L, 9L, null, 2, 50.0D, 1.5D, 0.1D, 0.0D, 'R', 'F', timestamp_ntz'2024-01-06')
+      as t(l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)
+      """).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for name in ("exit_station_wide", "exit_station_daily"):
+        report = all_queries()[name](spark, str(tmp_path))
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        dealt = plan[plan.index("hashpartitioning("):].split(")")[0]
+        assert dealt.count("#") == 3 and COLLECT_DAY not in dealt and "event_day" in dealt
+        assert [report.schema[day].dataType.simpleString() for day in ("collectDay", "eventDay")] == ["string", "string"]
+        got = {(r.extollstationid, r.collectDay, r.eventDay): r.totalVeCnt for r in report.collect()}
+        assert got == {("S7", COLLECT_DAY, "2024-01-05"): 2, ("S7", COLLECT_DAY, None): 2, (None, COLLECT_DAY, "2024-01-06"): 1}

@@ -108,20 +108,26 @@ def _report(df: DataFrame, keys: dict[str, Column], codes: tuple[str, ...],
 
     With `cells` rows are first counted per cell, a cell being the key with one combination of the listed codes, and the
     measures come from the cells. A stream takes the measures from its rows in one step.
+
+    Tables are grouped by the key expressions themselves, so that Spark drops a constant, as a single collection day, from
+    the key.
     """
     sums = ["_n", *amounts]
-    rows = df.select(
-        *[expr.alias(name) for name, expr in keys.items()],
-        *[F.coalesce(F.when(F.col(c).isin(*CODES[c]), F.col(c)).cast("int"), F.lit(OTHER)).alias(c) for c in codes],
-        F.lit(1).cast("bigint").alias("_n"),
-        *[cents(column, wide, isinstance(df.schema[column].dataType, T.DecimalType)).alias(name)
-          for name, column in amounts.items()])
+    named = [expr.alias(name) for name, expr in keys.items()]
+    values = {c: F.coalesce(F.when(F.col(c).isin(*CODES[c]), F.col(c)).cast("int"), F.lit(OTHER)) for c in codes}
+    values["_n"] = F.lit(1).cast("bigint")
+    values |= {name: cents(column, wide, isinstance(df.schema[column].dataType, T.DecimalType))
+               for name, column in amounts.items()}
+    if df.isStreaming:
+        rows, by = df.select(*named, *[value.alias(name) for name, value in values.items()]), list(keys)
+    else:
+        rows, by = df.withColumns(values), named
     if cells and not df.isStreaming:
-        rows = rows.groupBy(*keys, *codes).agg(*[F.sum(c).alias(c) for c in sums])
+        rows, by = rows.groupBy(*by, *codes).agg(*[F.sum(c).alias(c) for c in sums]), list(keys)
     flat: dict[str, str] = {}
     for name, measure in measures.items():
         flat |= {_cell(name, i): sql for i, sql in enumerate(measure)} if isinstance(measure, list) else {name: measure}
-    return rows.groupBy(*keys).agg(*[F.expr(f"{sql} as {name}") for name, sql in flat.items()])
+    return rows.groupBy(*by).agg(*[F.expr(f"{sql} as {name}") for name, sql in flat.items()])
 
 
 def _cell(name: str, index: int) -> str:
@@ -150,7 +156,8 @@ _AMOUNTS = {"_fee": "fee", "_discount": "discount_fee"}
 
 def exit_station_daily(df: DataFrame, collect_day: Column, event_day: Column, packed: bool = True,
                        legacy: bool = False, cells: bool = False, wide: bool = False) -> DataFrame:
-    """Exit-station report per station, collection day and event day: 34 columns, matrices as `|1|2|` text.
+    """Exit-station report per station, collection day and event day: 34 columns, matrices as `|1|2|` text. The days keep
+    their type; an event day as a date makes a smaller key than as text.
 
     `packed=False` keeps the matrices as arrays. Without `wide` amounts of a million and more count as zero, as they did in
     the reports of old; the jobs sum them.
