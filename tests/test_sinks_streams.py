@@ -1,8 +1,9 @@
 import json
 import time
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row, functions as F, types as T
 
@@ -300,6 +301,48 @@ def test_keyed_state_asks_its_store_by_bucket(closing):
         assert ("a", 7, 1100, 1) in late and len(late) == 2
 
 
+def test_keyed_counts_cross_by_bucket(spark):
+    """Rows of many Arrow batches are counted together, and all keys of a bucket travel in one value."""
+    df = spark.range(0, 30000, 1, 1).selectExpr("cast(id % 15000 as string) k", "nullif(id % 3, 2) + 9007199254740992 i")
+    parts = stateful._partial_counts(df, df.schema.fields, 8).collect()
+    assert sorted(r["_bucket"] for r in parts) == list(range(8))
+    schema = pa.schema([("k", pa.string()), ("i", pa.int64()), ("_n", pa.int64())])
+    found = {(k, i): n for r in parts for k, i, n in stateful._rows(r["_packed"], schema)}
+    assert found == {(str(k), None if k % 3 == 2 else k % 3 + 2 ** 53): 2 for k in range(15000)}
+
+
+def test_packed_state_holds_a_bucket_in_one_value():
+    out = T.StructType().add("k", "string").add("at", "timestamp").add("session", "long").add("n", "long").add("closed", "boolean")
+    store, day = Store(), datetime(2024, 1, 1, tzinfo=timezone.utc)
+    counts = stateful.PackedIdleCounts(T.StructType(out.fields[:2]), out, 100, True, True)
+    counts.init(store)
+    at = lambda now: SimpleNamespace(getCurrentProcessingTimeInMs=lambda: now)
+    given = lambda *rows: Row(_packed=stateful._pack(rows, counts.given))
+    read = lambda found: [row for one in found for row in stateful._rows(one["_packed"], counts.out)]
+
+    first = read(counts.handleInputRows((0,), iter([given(("a", day, 2), (None, None, 1)), given(("a", day, 3))]), at(1000)))
+    assert first == [("a", day, 1000, 5, False), (None, None, 1000, 1, False)] and len(store.rows) == 1
+    second = read(counts.handleInputRows((0,), iter([given(("a", day, 1))]), at(1050)))
+    assert second == [("a", day, 1000, 6, False)] and store.asked == 4
+    assert read(counts.handleExpiredTimer((0,), at(1100), None)) == [(None, None, 1000, 1, True)]
+    assert read(counts.handleExpiredTimer((0,), at(1150), None)) == [("a", day, 1000, 6, True)] and store.rows == []
+    assert list(counts.handleExpiredTimer((0,), at(1200), None)) == []
+
+
+def test_keyed_count_keeps_keys_of_any_type(spark, rows, tmp_path):
+    """Long numbers beside nulls keep their last digits, and zeros and times are one key each."""
+    frame = spark.sql("select explode(array(named_struct('l', 9007199254740993, 'd', 0.0d, 't', timestamp'2024-01-01', 'b', x'01'), "
+                      "named_struct('l', 9007199254740992, 'd', -0.0d, 't', timestamp'2024-01-01', 'b', x'01'), "
+                      "named_struct('l', 9007199254740992, 'd', 0.0d, 't', timestamp'2024-01-01', 'b', x'01'), "
+                      "named_struct('l', null, 'd', null, 't', null, 'b', null))) r").select("r.*")
+    frame.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = sources.stream_table(spark, str(tmp_path / "in"), frame.schema)
+    target, _ = run(spark, stateful.keyed_count(stream, ["l", "d", "t", "b"], 86400000, "n", buckets=2), ["l", "d", "t", "b"])
+    assert rows(target.read(spark).select("l", "d", "b", "n")) == [
+        (9007199254740992, 0.0, b"\x01", 2), (9007199254740993, 0.0, b"\x01", 1), (None, None, None, 1)]
+    assert target.read(spark).exceptAll(frame.groupBy("l", "d", "t", "b").agg(F.count("*").alias("n"))).count() == 0
+
+
 def test_pv_windows_count_like_the_keyed_state(spark):
     t = datetime(2024, 1, 1, 8, 0, 30)
     views_ = spark.createDataFrame([(t, "v", "u"), (t, "v", "u"), (t, None, "u"), (None, "v", "u"), (t + timedelta(minutes=1), "v", "u")],

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tollspark.functions import times
 from tollspark.sources import decode as decoding, records, tables
@@ -68,6 +68,13 @@ def test_decode_with_schema_json(spark, rows):
     assert decoding.decode_with_schema_json(frame, schema, required=[]).count() == 3
 
 
+def test_decode_with_schema_json_parses_once(spark):
+    schema = T.StructType().add("eventTime", "string").add("userID", "string").json()
+    flat = decoding.decode_with_schema_json(messages(spark, {"eventTime": "2024-01-01", "userID": 7}), schema)
+    plan = flat.where("userID <> eventTime").select("userID")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
 def test_kafka_options():
     assert tables.kafka_options("h:9092", ["a", "b"], "earliest", 10) == {
         "kafka.bootstrap.servers": "h:9092", "subscribe": "a,b", "startingOffsets": "earliest",

@@ -1,30 +1,94 @@
 """Keyed state with an idle timeout. `keyed_count` and what is made of it are the package's only Python operators.
 
-Rows are counted per key inside each Arrow batch before the shuffle, so what a busy key sends to its one state row is
-a partial count per batch and not its rows. Counts are kept by bucket of keys, with the time of each key's last row, in a
+Rows are counted per key inside each task before the shuffle, so what a busy key sends to its one state row is a partial
+count per half a million rows and not its rows. Counts are kept by bucket of keys, with the time of each key's last row, in a
 state list with a time to live: a key that stays away begins again, and a bucket that does is forgotten by the state store
 itself. With `closing` a timer per bucket forgets keys instead, and reports the counts that are about to go, in the first
-batch after their time.
+batch after their time. Between the processes and in the store the counts of a bucket travel as one Arrow record batch in a
+binary column, since a row of its own costs each key many times what counting it does.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, Row, functions as F, types as T
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+_PACKED = T.StructType([T.StructField("_packed", T.BinaryType())])
 
-def _partial_counts(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Key columns and `_n`, one row per key and Arrow batch."""
-    schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("_n", T.LongType())])
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.groupby(keys, dropna=False, sort=False).size().reset_index(name="_n")
+def _pack(rows: list[tuple], schema: pa.Schema) -> bytes:
+    columns = zip(*rows, strict=True)
+    arrays = [pa.array(column, field.type) for column, field in zip(columns, schema, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema).serialize().to_pybytes()
 
-    return df.select(*keys).mapInPandas(count, schema)
+
+def _unpack(packed: bytes, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.ipc.read_record_batch(pa.py_buffer(packed), schema)
+
+
+def _plain(column: pa.Array) -> list:
+    """`to_pylist`, for the usual keys and counts without a step per value."""
+    if pa.types.is_string(column.type) or pa.types.is_integer(column.type) and not column.null_count:
+        return column.to_numpy(zero_copy_only=False).tolist()
+    return column.to_pylist()
+
+
+def _rows(packed: bytes, schema: pa.Schema) -> Iterator[tuple]:
+    return zip(*[_plain(column) for column in _unpack(packed, schema).columns], strict=True)
+
+
+def _gathered(batches: Iterable[pa.RecordBatch], rows: int, size: int = 1 << 26) -> Iterator[pa.Table]:
+    """Batches put together into tables of about `rows` rows, or of `size` bytes where that is less."""
+    held, n, weight = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        n, weight = n + batch.num_rows, weight + batch.nbytes
+        if n >= rows or weight >= size:
+            yield pa.Table.from_batches(held)
+            held, n, weight = [], 0, 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def _plain_key(field: T.StructField) -> Column:
+    """A key as Arrow can group it: no two zeros, and NULL for NaN."""
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        return F.nanvl(F.col(field.name), F.lit(None).cast(field.dataType)) + F.lit(0).cast(field.dataType)
+    return F.col(field.name)
+
+
+def _arrow(fields: Iterable[T.StructField], *longs: str) -> pa.Schema:
+    return to_arrow_schema(T.StructType([*[T.StructField(f.name, f.dataType) for f in fields],
+                                         *[T.StructField(n, T.LongType()) for n in longs]]))
+
+
+def _partial_counts(df: DataFrame, fields: list[T.StructField], buckets: int, rows: int = 500_000) -> DataFrame:
+    """`_bucket` and, packed, its keys with their counts in `_n`: one row per bucket and `rows` rows of a task."""
+    schema = _arrow(fields, "_n")
+    places = [str(i) for i in range(len(fields))]  # names that no result of Arrow's has
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _gathered(batches, rows):
+            named = table.rename_columns([*places, "_bucket"])
+            counts = named.group_by([*places, "_bucket"], use_threads=False).aggregate([([], "count_all")])
+            counts = counts.sort_by("_bucket")
+            bucket = counts["_bucket"].to_numpy()
+            starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            pairs = counts.select([*places, "count_all"]).rename_columns(schema.names).cast(schema)
+            whole = pairs.combine_chunks().to_batches()[0]
+            packed = [whole.slice(at, n).serialize().to_pybytes()
+                      for at, n in zip(starts, np.diff(starts, append=len(bucket)), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[starts]), pa.array(packed, pa.binary())],
+                                             names=["_bucket", "_packed"])
+
+    keyed = df.select(*[_plain_key(f).alias(f.name) for f in fields])
+    bucket = F.pmod(F.xxhash64(*keyed.columns), F.lit(buckets).cast("bigint")).alias("_bucket")
+    return keyed.select("*", bucket).mapInArrow(count, T.StructType([T.StructField("_bucket", T.LongType()), *_PACKED]))
 
 
 class IdleCounts(StatefulProcessor):
@@ -37,21 +101,31 @@ class IdleCounts(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        held = T.StructType([*self.keys.fields, *[T.StructField(n, T.LongType()) for n in ("_n", "_session", "_last")]])
         # With a timer the counts have to stay until a batch comes that can report them.
-        self.held = handle.getListState("held", held, None if self.closing else self.timeout_ms)
+        self.held = handle.getListState("held", self._held_schema(), None if self.closing else self.timeout_ms)
+
+    def _held_schema(self) -> T.StructType:
+        return T.StructType([*self.keys.fields, *[T.StructField(n, T.LongType()) for n in ("_n", "_session", "_last")]])
+
+    def _held_rows(self) -> Iterable[tuple]:
+        return self.held.get()
+
+    def _hold(self, rows: list[tuple]) -> None:
+        self.held.put(rows)
+
+    def _values(self, key: tuple, session: int, n: int, closed: bool) -> tuple:
+        return (*key, *([session] if self.sessions else []), n, *([closed] if self.closing else []))
 
     def _row(self, key: tuple, session: int, n: int, closed: bool) -> Row:
-        values = (*key, *([session] if self.sessions else []), n, *([closed] if self.closing else []))
-        return Row(**dict(zip(self.names, values, strict=True)))
+        return Row(**dict(zip(self.names, self._values(key, session, n, closed), strict=True)))
 
     def _counts(self) -> dict[tuple, tuple[int, int, int]]:
         """(count, session, time of the last row) of each key of the bucket."""
-        return {tuple(row[:-3]): tuple(row[-3:]) for row in self.held.get()}
+        return {tuple(row[:-3]): tuple(row[-3:]) for row in self._held_rows()}
 
     def _keep(self, counts: dict[tuple, tuple[int, int, int]]) -> None:
         if counts:
-            self.held.put([(*key, *count) for key, count in counts.items()])
+            self._hold([(*key, *count) for key, count in counts.items()])
         else:
             self.held.clear()
         if self.closing:
@@ -76,7 +150,7 @@ class IdleCounts(StatefulProcessor):
                 del counts[gone]
         for row in rows:
             one = tuple(row[:width])
-            seen[one] = seen.get(one, 0) + row["_n"]
+            seen[one] = seen.get(one, 0) + row[width]
         for one, n in seen.items():
             before, session, _ = counts.get(one, (0, now, now))
             counts[one] = (before + n, session, now)
@@ -95,6 +169,37 @@ class IdleCounts(StatefulProcessor):
         pass
 
 
+class PackedIdleCounts(IdleCounts):
+    """`IdleCounts` whose rows, held counts and results are packed, all of a bucket in one value."""
+
+    def __init__(self, keys: T.StructType, out: T.StructType, timeout_ms: int, sessions: bool, closing: bool):
+        super().__init__(keys, out.fieldNames(), timeout_ms, sessions, closing)
+        self.given, self.kept, self.out = _arrow(keys, "_n"), _arrow(keys, "_n", "_session", "_last"), _arrow(out)
+
+    def _held_schema(self) -> T.StructType:
+        return _PACKED
+
+    def _held_rows(self) -> Iterable[tuple]:
+        return [row for held in self.held.get() for row in _rows(held[0], self.kept)]
+
+    def _hold(self, rows: list[tuple]) -> None:
+        self.held.put([(_pack(rows, self.kept),)])
+
+    def _row(self, key: tuple, session: int, n: int, closed: bool) -> tuple:
+        return self._values(key, session, n, closed)
+
+    def _packed(self, found: Iterator[tuple]) -> Iterator[Row]:
+        if rows := list(found):
+            yield Row(_packed=_pack(rows, self.out))
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        counted = (one for row in rows for one in _rows(row["_packed"], self.given))
+        yield from self._packed(super().handleInputRows(key, counted, timerValues))
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._packed(super().handleExpiredTimer(key, timerValues, expiredTimerInfo))
+
+
 def keyed_count(df: DataFrame, keys: list[str], timeout_ms: int, name: str, sessions: bool = False,
                 closing: bool = False, buckets: int = 4096) -> DataFrame:
     """Running count per key in update mode. A key idle for `timeout_ms` of processing time loses its state and
@@ -110,9 +215,17 @@ def keyed_count(df: DataFrame, keys: list[str], timeout_ms: int, name: str, sess
     names = ["session", name] if sessions else [name]
     out = T.StructType([*fields, *[T.StructField(n, T.LongType()) for n in names],
                         *([T.StructField("closed", T.BooleanType())] if closing else [])])
-    parts = _partial_counts(df, keys).withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
-    return parts.groupBy("_bucket").transformWithState(
-        IdleCounts(T.StructType(fields), out.fieldNames(), timeout_ms, sessions, closing), out, "Update", "ProcessingTime")
+    schema = _arrow(out)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = (_unpack(packed, schema) for batch in batches for packed in batch.column(0).to_pylist())
+        for table in _gathered(found, 10_000):
+            yield from table.combine_chunks().to_batches()
+
+    state = PackedIdleCounts(T.StructType(fields), out, timeout_ms, sessions, closing)
+    counts = _partial_counts(df, fields, buckets).groupBy("_bucket") \
+        .transformWithState(state, _PACKED, "Update", "ProcessingTime")
+    return counts.mapInArrow(unpack, out)
 
 
 def session_totals(counts: DataFrame, keys: list[str], name: str) -> DataFrame:
